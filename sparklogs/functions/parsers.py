@@ -5,7 +5,7 @@ on success; `bad_types` names text fields that held something else, for validati
 Helper columns keep costly expressions (one regular expression, one JSON parse) evaluated once per row.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,14 +39,17 @@ def parse_struct(**fields: Column) -> Column:
     ])
 
 
-def parse(raw: DataFrame, out: str = "_parse") -> DataFrame:
-    """Add column `out`: the parse struct of `raw_message` under its `source_format`."""
+def parse(raw: DataFrame, out: str = "_parse", parsers: Mapping[str, Parser] | None = None) -> DataFrame:
+    """Add column `out`: the parse struct of `raw_message` under its `source_format`.
+
+    `parsers` replaces or adds parsers for this call only.
+    """
     frame, columns = raw, raw.columns
     failed = parse_struct(error=F.concat(
         F.lit("unknown source_format '"), F.coalesce(F.col("source_format"), F.lit("")), F.lit("'")
     ))
     chosen = None
-    for source_format, parser in _PARSERS.items():
+    for source_format, parser in {**_PARSERS, **(parsers or {})}.items():
         mine = F.coalesce(F.col("source_format") == source_format, F.lit(False))
         frame, parsed = parser(frame, F.col("raw_message"), mine)
         chosen = F.when(mine, parsed) if chosen is None else chosen.when(mine, parsed)

@@ -4,13 +4,14 @@ All stages are projections over one row, so a batch or a stream passes through t
 The first failure decides: later stages do not look at a row that has one.
 """
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed
 from ..functions import enrich, jsonvalue as J, redact
-from ..functions.parsers import parse
+from ..functions.parsers import Parser, parse
 from ..functions.text import best_effort_time
 from ..functions.validate import first_problem
 from ..schemas import DLQ_COLUMNS, DLQ_SCHEMA, PARSED_COLUMNS, PARSED_SCHEMA, RAW_SCHEMA
@@ -23,6 +24,8 @@ _WORK = ["_stage", "_reason", "_bad_types", "_original"]
 class Options:
     salt: str = fixed.DEFAULT_SALT
     keep_client: bool = True
+    # Parsers by source format, in place of or besides the registered ones.
+    parsers: Mapping[str, Parser] | None = None
 
 
 def decode(frame: DataFrame, value: str = "value") -> DataFrame:
@@ -101,7 +104,7 @@ def process(raw: DataFrame, as_of: Column, options: Options = Options()) -> Data
     # A row that failed already is given no format, so that no parser works on it.
     frame = raw.withColumn("_format", F.col("source_format")).withColumn(
         "source_format", F.when(fine, F.col("source_format")))
-    frame = parse(frame)
+    frame = parse(frame, parsers=options.parsers)
     p = {name: F.col(f"_parse.{name}") for name in (
         "timestamp client_ip http_method path status_code response_bytes response_time_ms log_level "
         "message user_agent referer trace_id").split()}

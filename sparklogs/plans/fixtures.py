@@ -108,7 +108,7 @@ def log_lines_from(events: DataFrame) -> DataFrame:
         F.coalesce("client_ip", F.lit("unknown")), F.lit(" - - ["), stamp, F.lit(' +0000] "GET '), F.col("path"),
         F.lit(' HTTP/1.1" '), status, F.lit(" "), F.col("response_bytes"), F.coalesce(seconds, F.lit("")),
     )
-    broken = _by_remainder(_div(i, 20), [F.lit(line.format(stamp="bad")) for line in BROKEN_LINES])
+    broken = _by_remainder(_div(i, 20), [F.lit(line.format(stamp="01/Jan/2024:00:00:00 +0000")) for line in BROKEN_LINES])
     return frame.select(
         "id", "event_id",
         F.date_format("ingested_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("ingested_at"),

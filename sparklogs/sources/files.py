@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed
+from ..functions import jsonvalue as J
 from ..functions.text import SPACES
 from ..schemas import CHANGE_SCHEMA
 
@@ -58,9 +59,15 @@ def read_json_array(spark: SparkSession, path: str, largest: int = fixed.MAX_BOD
     bodies = files.filter(F.col("_metadata.file_size") <= largest).select(
         F.col("_metadata.file_path").alias("body"),
         F.btrim(F.regexp_replace("value", _BOM, ""), F.lit(SPACES)).alias("text"))
-    parsed = bodies.filter(F.col("text").startswith("[")).select("body", F.try_parse_json("text").alias("items"))
-    elements = parsed.lateralJoin(spark.tvf.variant_explode(F.col("items").outer()))
-    return elements.select("body", (F.col("pos") + 1).alias("line"), F.to_json("value").alias("value"))
+    return json_array_items(bodies.filter(F.col("text").startswith("[")), "text").select("body", "line", "value")
+
+
+def json_array_items(frame: DataFrame, text: str) -> DataFrame:
+    """One row per element of the JSON array in column `text`: its number from 1 and its JSON text."""
+    kept = [c for c in frame.columns if c != text]
+    parsed = frame.select(*kept, F.when(J.is_json(F.col(text)), F.try_parse_json(text)).alias("_items"))
+    elements = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("_items").outer()))
+    return elements.select(*kept, (F.col("pos") + 1).alias("line"), F.to_json("value").alias("value"))
 
 
 def read_changes(spark: SparkSession, path: str, stream: bool = False, **options) -> DataFrame:

@@ -1,6 +1,9 @@
 """The day-partitioned event table with a hot and a cold tier."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import uuid
+from datetime import date, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import fixed
 from ..functions.text import best_effort_time
@@ -25,45 +28,42 @@ def typed_rows(rows: DataFrame, stored_at: Column) -> DataFrame:
     return rows.select(*columns, stored_at.alias("stored_at"))
 
 
-def _write_days(frame: DataFrame, path: str, mode: str) -> None:
-    """Write one folder per day. The rebalance gathers a day's rows and splits days that are large, so
-    neither many small files nor one huge task results; files are sorted for row-group skipping."""
+def _write_days(frame: DataFrame, path: str, batch: str) -> None:
+    """Write folders event_date=../batch=.., replacing what the same batch wrote before.
+
+    The rebalance gathers a day's rows and splits days that are large, so neither many small files nor
+    one huge task results; files are sorted for row-group skipping.
+    """
     (
-        frame.withColumn("event_date", F.to_date("timestamp"))
+        frame.withColumn("event_date", F.to_date("timestamp")).withColumn("batch", F.lit(batch))
         .hint("rebalance", "event_date")
         .sortWithinPartitions("event_date", "service", "timestamp", "event_id")
-        .write.mode(mode).partitionBy("event_date").parquet(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date", "batch").parquet(path)
     )
 
 
 def append_hot(rows: DataFrame, root: str, stored_at: Column | None = None, batch: str | None = None) -> None:
-    """Add rows to the hot tier. With `batch` the rows go to a folder of that name, which a repeated
-    write of the same batch replaces instead of doubling."""
+    """Add rows to the hot tier. Writing the same `batch` again replaces it; without a name it is new."""
     frame = typed_rows(rows, F.current_timestamp() if stored_at is None else stored_at)
-    if batch is None:
-        _write_days(frame, f"{root}/hot", "append")
-    else:
-        _write_days(frame, f"{root}/hot_batches/batch={batch}", "overwrite")
+    _write_days(frame, f"{root}/hot", batch or uuid.uuid4().hex)
 
 
 def read_tier(spark: SparkSession, root: str, tier: str) -> DataFrame:
-    """Rows of `hot`, `hot_batches` or `cold`; an empty frame when the tier does not exist yet."""
+    """Rows of `hot` or `cold`; an empty frame when the tier does not exist yet."""
     path = f"{root}/{tier}"
-    schema = PARSED_SCHEMA.simpleString()[len("struct<"):-1].replace(":", " ") + ", stored_at timestamp, event_date date"
-    if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema)
-    if tier == "hot_batches":
-        reader = spark.read.schema(schema + ", batch string")
-    frame = reader.parquet(path)
+    schema = T.StructType([
+        *PARSED_SCHEMA, T.StructField("stored_at", T.TimestampType()),
+        T.StructField("event_date", T.DateType()), T.StructField("batch", T.StringType()),
+    ])
+    frame = spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
     return frame.select(*STORED_COLUMNS, "event_date")
 
 
 def read_store(spark: SparkSession, root: str, final: bool = False) -> DataFrame:
     """All tiers with column `tier`. `final` keeps only the latest copy of every event."""
-    hot = read_tier(spark, root, "hot").unionByName(read_tier(spark, root, "hot_batches"))
-    cold = read_tier(spark, root, "cold")
-    frame = cold.withColumn("tier", F.lit("cold")).unionByName(hot.withColumn("tier", F.lit("hot")))
+    cold = read_tier(spark, root, "cold").withColumn("tier", F.lit("cold"))
+    frame = cold.unionByName(read_tier(spark, root, "hot").withColumn("tier", F.lit("hot")))
     return latest_copy(frame) if final else frame
 
 
@@ -84,25 +84,22 @@ def tiered(rows: DataFrame, as_of: Column, hot_days: int = fixed.HOT_DAYS) -> Da
 
 
 def move_to_cold(spark: SparkSession, root: str, as_of_day: str, hot_days: int = fixed.HOT_DAYS) -> list[str]:
-    """Move whole days that are past the hot window to the cold tier; returns the days.
+    """Move whole days that are past the hot window to the cold tier in one job; returns the days.
 
-    Every day is first written to cold under the name of this run, then dropped from hot. Running it
-    again after a failure repeats unfinished days; `read_store(final=True)` hides the overlap.
+    Days are written to cold first and dropped from hot after. Rows that are in cold already are not
+    written again, so a run that failed half-way can simply be repeated, and late rows of a day moved
+    before join it.
     """
-    moved = []
-    limit = _day_before(spark, as_of_day, hot_days)
-    for day in days(spark, f"{root}/hot"):
-        if day < limit:
-            rows = spark.read.parquet(f"{root}/hot/event_date={day}")
-            target = f"{root}/cold/event_date={day}"
-            earlier = spark.read.parquet(target) if _exists(spark, target) else None
-            frame = cold_form(rows)
-            if earlier is not None:
-                # Rows that came late for a day moved before are added; the same move twice adds nothing.
-                frame = frame.join(earlier.select("event_id", "processed_at").distinct(), ["event_id", "processed_at"], "left_anti")
-            frame.sortWithinPartitions("service", "timestamp", "event_id").write.mode("append").parquet(target)
+    limit = _day_before(as_of_day, hot_days)
+    moved = [day for day in days(spark, f"{root}/hot") if day < limit]
+    if moved:
+        expired = F.col("event_date") < F.lit(limit).cast("date")
+        copy = ["event_date", "event_id", "processed_at"]
+        known = read_tier(spark, root, "cold").filter(expired).select(*copy).distinct()
+        rows = read_tier(spark, root, "hot").filter(expired).join(known, copy, "left_anti")
+        _write_days(cold_form(rows).drop("event_date"), f"{root}/cold", uuid.uuid4().hex)
+        for day in moved:
             drop_day(spark, f"{root}/hot", day)
-            moved.append(day)
     return moved
 
 
@@ -113,7 +110,7 @@ def kept(rows: DataFrame, stream: str, as_of: Column, time: str = "timestamp") -
 
 def drop_expired_days(spark: SparkSession, path: str, stream: str, as_of_day: str) -> list[str]:
     """Drop day folders of a stream whose last moment is past its retention."""
-    limit = _day_before(spark, as_of_day, fixed.RETENTION_HOURS[stream] // 24)
+    limit = _day_before(as_of_day, fixed.RETENTION_HOURS[stream] // 24)
     expired = [day for day in days(spark, path) if day < limit]
     for day in expired:
         drop_day(spark, path, day)
@@ -121,13 +118,17 @@ def drop_expired_days(spark: SparkSession, path: str, stream: str, as_of_day: st
 
 
 def compact_day(spark: SparkSession, root: str, day: str) -> None:
-    """Rewrite one hot day without superseded copies."""
-    source = f"{root}/hot/event_date={day}"
-    rows = latest_copy(spark.read.parquet(source))
-    staged = f"{root}/staged/event_date={day}"
-    rows.sortWithinPartitions("service", "timestamp", "event_id").write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(source)
-    _delete(spark, staged)
+    """Rewrite one hot day as one batch without superseded copies.
+
+    The new batch is complete before the old ones are dropped; until then readers of the final view see
+    every event once.
+    """
+    path = f"{root}/hot/event_date={day}"
+    old = [name for name in _children(spark, path) if name.startswith("batch=")]
+    rows = read_tier(spark, root, "hot").filter(F.col("event_date") == F.lit(day).cast("date"))
+    _write_days(latest_copy(rows).drop("event_date"), f"{root}/hot", f"compact-{uuid.uuid4().hex}")
+    for name in old:
+        _delete(spark, f"{path}/{name}")
 
 
 # ---- folders --------------------------------------------------------------------------------
@@ -142,6 +143,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return system.exists(hadoop)
 
 
+def _children(spark: SparkSession, path: str) -> list[str]:
+    hadoop, system = _folder(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(hadoop)] if system.exists(hadoop) else []
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     hadoop, system = _folder(spark, path)
     system.delete(hadoop, True)
@@ -149,18 +155,12 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def days(spark: SparkSession, path: str) -> list[str]:
     """Day folders of a table, oldest first."""
-    hadoop, system = _folder(spark, path)
-    if not system.exists(hadoop):
-        return []
-    names = [status.getPath().getName() for status in system.listStatus(hadoop)]
-    return sorted(name.split("=", 1)[1] for name in names if name.startswith("event_date="))
+    return sorted(name.split("=", 1)[1] for name in _children(spark, path) if name.startswith("event_date="))
 
 
 def drop_day(spark: SparkSession, path: str, day: str) -> None:
     _delete(spark, f"{path}/event_date={day}")
 
 
-def _day_before(spark: SparkSession, day: str, count: int) -> str:
-    from datetime import date, timedelta
-
+def _day_before(day: str, count: int) -> str:
     return (date.fromisoformat(day) - timedelta(days=count)).isoformat()
