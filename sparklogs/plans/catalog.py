@@ -932,8 +932,9 @@ def wiki_source(spark, sf_dir):
 # ---- streams --------------------------------------------------------------------------------
 
 def _event_stream(spark, sf_dir):
-    path = f"{sf_dir}/events.parquet"
-    return files.read_stream_files(spark, path, spark.read.parquet(path).schema)
+    # A stream watches folders; a pattern also takes a table that is a single file.
+    schema = X.table(spark, sf_dir, "events").schema
+    return files.read_stream_files(spark, f"{sf_dir}/events.parque[t]", schema)
 
 
 def _finish(running) -> None:

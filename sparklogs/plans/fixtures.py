@@ -271,7 +271,8 @@ def offset_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     so_far = Window.partitionBy("partition").orderBy("ts")
     index = F.floor(F.unix_seconds("ts") / 60)
     groups = F.explode(F.array(F.lit("parser"), F.lit("store"), F.lit("_internal")))
-    return counts.select("ts", "partition", F.sum("n").over(so_far).alias("latest"), groups.alias("consumergroup")).select(
+    positions = counts.select("ts", "partition", F.sum("n").over(so_far).alias("latest"))
+    return positions.select("*", groups.alias("consumergroup")).select(
         "ts", "consumergroup", F.lit("raw").alias("topic"), "partition",
         F.greatest(
             F.lit(0), F.col("latest") - F.when(F.col("consumergroup") == "store", index % 13).otherwise(index % 5)

@@ -32,6 +32,8 @@ def build_session(app: str = "sparklogs", master: str | None = None, **conf: str
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Without call sites in error messages, building a long chain of columns takes half the time.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **RUNTIME_SETTINGS,
         **conf,
     }
