@@ -82,7 +82,7 @@ PRIVATE_IPV6 = (
     "|3fff0)"               # 3fff::/20 documentation
 )
 GLOBAL_IPV6 = (
-    "^(?:200100010{19}[12]$"  # 2001:1::1, 2001:1::2
+    "^(?:200100010{23}[12]$"  # 2001:1::1, 2001:1::2
     "|20010003"               # 2001:3::/32
     "|200100040112"           # 2001:4:112::/48
     "|2001002|2001003)"       # 2001:20::/28, 2001:30::/28
