@@ -60,3 +60,12 @@ def iso_text(time: Column) -> Column:
 def best_effort_time(text: Column) -> Column:
     """Time text, or the epoch when it cannot be read; never null."""
     return F.coalesce(iso_timestamp(text), F.timestamp_seconds(F.lit(0)))
+
+
+def settled(*columns) -> Column:
+    """Columns as the output of a generator of one row.
+
+    The optimizer moves filters on a projection's output into its input, with the expressions copied
+    into the filter. For a parser that means parsing twice; it does not happen across a generator.
+    """
+    return F.inline(F.array(F.struct(*columns)))

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed
 from ..functions import envelope as E, jsonvalue as J
-from ..functions.text import iso_text
+from ..functions.text import iso_text, settled
 from ..schemas import RAW_SCHEMA
 
 
@@ -54,11 +54,11 @@ def build_envelope(
         "source_format": F.lit(source_format),
         "raw_message": raw,
     }
-    return frame.select(
+    return frame.select(settled(
         *extra,
         *[built[name].alias(name) for name in RAW_SCHEMA.fieldNames()],
         *[F.lit(value).alias(name) for name, value in (tags or {}).items()],
-    )
+    ))
 
 
 def check_bodies(lines: DataFrame, body: str, longest: int = fixed.MAX_BODY_LINES) -> DataFrame:
@@ -96,13 +96,13 @@ def judge_json(lines: DataFrame, line: str = "value", as_of: Column | None = Non
     return (
         frame.withColumn("_reject", reject)
         .withColumn("_short", F.when(F.col("_ok"), J.minify(text)))
-        .select(
+        .select(settled(
             *extra,
             F.when(F.col("_ok"), F.when(F.col("_timed"), F.col("_short")).otherwise(stamped)).otherwise(text).alias(line),
             F.col("_reject").alias("reject"),
             reason.alias("error"),
             F.coalesce(~F.col("_timed"), F.lit(False)).alias("timestamp_defaulted"),
-        )
+        ))
     )
 
 

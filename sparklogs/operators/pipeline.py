@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed
 from ..functions import enrich, jsonvalue as J, redact
 from ..functions.parsers import Parser, parse
-from ..functions.text import best_effort_time
+from ..functions.text import best_effort_time, settled
 from ..functions.validate import first_problem
 from ..schemas import DLQ_COLUMNS, DLQ_SCHEMA, PARSED_COLUMNS, PARSED_SCHEMA, RAW_SCHEMA
 
@@ -28,15 +28,6 @@ class Options:
     parsers: Mapping[str, Parser] | None = None
 
 
-def _settled(*columns) -> Column:
-    """Columns as the output of a generator of one row.
-
-    The optimizer moves filters on a projection's output into its input, with the expressions copied
-    into the filter. For a parser that means parsing twice; it does not happen across a generator.
-    """
-    return F.inline(F.array(F.struct(*columns)))
-
-
 def decode(frame: DataFrame, value: str = "value") -> DataFrame:
     """JSON envelopes in column `value` (text or bytes) to raw columns plus the failure, if any."""
     payload = F.col(value)
@@ -169,7 +160,7 @@ def process(raw: DataFrame, as_of: Column, options: Options = Options()) -> Data
         "event_id", F.col("_ingested_at").alias("ingested_at"), "host", "service", "source_format", "raw_message"))
     original = F.coalesce(
         "_original", F.when(F.col("_stage").isNotNull() | failed_parse | failed_check, F.nullif(whole, F.lit("{}"))))
-    return frame.select(_settled(
+    return frame.select(settled(
         *extra,
         *[typed[name].alias(name) for name in PARSED_COLUMNS],
         F.coalesce("_stage", F.when(failed_parse, "parse"), F.when(failed_check, "validate")).alias("_stage"),
