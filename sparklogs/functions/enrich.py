@@ -1,10 +1,9 @@
 """Derived fields: country, path group, error flag, live-view class."""
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed
+from .text import constant_map
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
@@ -23,13 +22,14 @@ def _number(dotted: str) -> int:
     return total
 
 
-def _is_private_ipv4(number: Column) -> Column:
-    inside = F.lit(False)
+def _is_private_ipv4(number: str) -> Column:
+    ranges = []
     for block in fixed.PRIVATE_IPV4:
         base, bits = block.split("/")
         first = _number(base)
-        inside = inside | number.between(first, first + (1 << (32 - int(bits))) - 1)
-    return inside & ~number.isin([_number(dotted) for dotted in fixed.GLOBAL_IPV4])
+        ranges.append(f"{number} BETWEEN {first} AND {first + (1 << (32 - int(bits))) - 1}")
+    reachable = ", ".join(str(_number(dotted)) for dotted in fixed.GLOBAL_IPV4)
+    return F.expr(f"({' OR '.join(ranges)}) AND {number} NOT IN ({reachable})")
 
 
 def with_ipv6_digits(frame: DataFrame, text: Column, out: str) -> DataFrame:
@@ -83,13 +83,13 @@ def with_geo(frame: DataFrame, client: Column, out: str = "_geo") -> DataFrame:
     client, digits = F.col("_client"), F.col("_digits")
     frame = frame.withColumn("_ipv4", F.when(client.rlike(IPV4), ipv4_number(client)))
     suffix = F.lower(F.substring_index(client, ".", -1))
-    by_tld = F.create_map(*[F.lit(x) for x in chain.from_iterable(fixed.COUNTRY_BY_TLD.items())])
-    country = F.when(F.length(suffix) == 2, F.try_element_at(by_tld, suffix)).when(
+    by_tld = F.try_element_at(constant_map(fixed.COUNTRY_BY_TLD), suffix)
+    country = F.when(F.length(suffix) == 2, by_tld).when(
         suffix.isin(fixed.US_ONLY_TLDS), "US")
     private_ipv6 = digits.rlike(fixed.PRIVATE_IPV6) & ~digits.rlike(fixed.GLOBAL_IPV6)
     frame = frame.withColumn("_kind", (
         F.when(client.isNull() | (client == ""), "none")
-        .when(F.col("_ipv4").isNotNull(), F.when(_is_private_ipv4(F.col("_ipv4")), "private").otherwise("public"))
+        .when(F.col("_ipv4").isNotNull(), F.when(_is_private_ipv4("_ipv4"), "private").otherwise("public"))
         .when(digits.isNotNull(), F.when(private_ipv6, "private").otherwise("public"))
         .otherwise("name")
     ))

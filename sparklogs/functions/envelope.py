@@ -1,12 +1,10 @@
 """What a raw line says about itself: time stamp, path, service, host, identity."""
 
-from itertools import chain
-
 from pyspark.sql import Column, functions as F
 
 from .. import fixed
 from . import jsonvalue as J
-from .text import SPACE, SPACES
+from .text import SPACE, SPACES, constant_map
 
 _CLF_STAMP = r"(?s)^(.*?)\[\d{2}/[A-Za-z]{3}/\d{4}:\d{2}:\d{2}:\d{2}" rf"[{SPACE}]*(?:[+-]\d{{4}})?\]"
 _REQUEST_PATH = rf'"[A-Z]+[{SPACE}]+([^{SPACE}]+)(?:[{SPACE}]+HTTP/[\d.]+)?"'
@@ -36,10 +34,9 @@ def _pick(names: list[str], index: Column) -> Column:
 def derive_service(path: Column) -> Column:
     """Service that owns the first path segment; unknown segments are spread over a fixed few."""
     segment = F.lower(F.regexp_extract(path, "^/*([^/?]*)", 1))
-    known = F.create_map(*[F.lit(x) for x in chain.from_iterable(fixed.SERVICE_BY_SEGMENT.items())])
     return F.coalesce(
         F.when(segment == "", fixed.ROOT_SERVICE),
-        F.try_element_at(known, segment),
+        F.try_element_at(constant_map(fixed.SERVICE_BY_SEGMENT), segment),
         _pick(fixed.FALLBACK_SERVICES, stable_index(segment, len(fixed.FALLBACK_SERVICES))),
     )
 

@@ -56,9 +56,11 @@ def kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def first_present(parsed: Column, keys: list[str]) -> Column:
-    """The first member that is neither null nor the empty string, as VARIANT."""
-    return F.coalesce(*[F.when(text_of(member(parsed, key)) != "", member(parsed, key)) for key in keys])
+def first_present(parsed: str, keys: list[str]) -> Column:
+    """The first member of column `parsed` that is neither null nor the empty string, as VARIANT."""
+    members = [f"get({parsed}, 0).`{_slot(key)}`" for key in keys]
+    return F.expr("coalesce(" + ", ".join(
+        f"CASE WHEN try_variant_get({m}, '$', 'string') <> '' THEN {m} END" for m in members) + ")")
 
 
 def is_truthy(value: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed
 from . import jsonvalue as J
-from .text import ASCII_SPACE, SPACE, is_ascii, iso_timestamp, strip
+from .text import ASCII_SPACE, SPACE, constant_map, is_ascii, iso_timestamp, strip
 
 PARSE_FIELDS = {
     "error": "string", "timestamp": "timestamp", "client_ip": "string", "http_method": "string",
@@ -104,10 +104,13 @@ def parse_access_log(frame: DataFrame, line: Column, mine: Column) -> tuple[Data
     ).otherwise(F.split(joined, _CUT))
     frame = frame.withColumn("_g", groups)
     g = [F.get(F.col("_g"), i) for i in range(_GROUPS)]
-    frame = frame.withColumn("_access_time", clf_timestamp(g[1])).withColumn(
-        "_request", F.split(strip(g[2]), rf"[{SPACE}]+")
-    )
-    method, path = F.get("_request", 0), F.get("_request", 1)
+    request = rf"^[{SPACE}]*([^{SPACE}]+)[{SPACE}]+([^{SPACE}]+)"
+    frame = frame.withColumns({
+        "_access_time": clf_timestamp(g[1]),
+        "_method": F.regexp_extract(g[2], request, 1),
+        "_path": F.regexp_extract(g[2], request, 2),
+    })
+    method, path = F.col("_method"), F.col("_path")
     matched = F.size("_g") == _GROUPS
     status = g[3].try_cast("bigint")
     both = g[5] != ""
@@ -115,7 +118,7 @@ def parse_access_log(frame: DataFrame, line: Column, mine: Column) -> tuple[Data
         F.when(F.col("_line") == "", "empty line")
         .when(~matched, "does not match access-log format")
         .when(F.col("_access_time").isNull(), F.concat(F.lit("unparseable timestamp '"), g[1], F.lit("'")))
-        .when(path.isNull(), F.concat(F.lit("malformed request line '"), g[2], F.lit("'")))
+        .when(path == "", F.concat(F.lit("malformed request line '"), g[2], F.lit("'")))
         .when(~method.rlike(r"^\p{L}+$"), F.concat(F.lit("invalid HTTP method '"), method, F.lit("'")))
     )
     return frame, parse_struct(
@@ -150,8 +153,7 @@ def json_timestamp(value: Column) -> Column:
 def json_level_name(value: Column) -> Column:
     """Upper-case level text under its usual name; null when the value is not text."""
     name = F.when(J.kind(value) == "STRING", F.upper(strip(J.text_of(value))))
-    usual = F.create_map(*[F.lit(x) for x in chain.from_iterable(fixed.LEVEL_SYNONYMS.items())])
-    return F.coalesce(F.try_element_at(usual, name), name)
+    return F.coalesce(F.try_element_at(constant_map(fixed.LEVEL_SYNONYMS), name), name)
 
 
 def json_app_parser(**aliases: list[str]) -> Parser:
@@ -170,7 +172,7 @@ def json_app_parser(**aliases: list[str]) -> Parser:
         names = list(dict.fromkeys(chain(*keys.values(), ("user_agent", "referer"))))
         frame = frame.withColumn("_json", F.when(text.startswith("{"), J.members(text, names)))
         parsed = F.col("_json")
-        picked = [J.first_present(parsed, names).alias(field) for field, names in keys.items()]
+        picked = [J.first_present("_json", names).alias(field) for field, names in keys.items()]
         picked += [J.member(parsed, name).alias(name) for name in ("user_agent", "referer")]
         frame = frame.withColumn("_v", F.when(J.is_object(parsed), F.struct(*picked)))
         v = {name: F.col(f"_v.{name}") for name in [*keys, "user_agent", "referer"]}

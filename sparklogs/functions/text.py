@@ -27,6 +27,14 @@ _ISO_GAPS = [
 ]
 
 
+def constant_map(entries: dict[str, str | int]) -> Column:
+    """A map of constants, built in one expression."""
+    def literal(value) -> str:
+        return str(value) if isinstance(value, int) else f"'{value}'"
+
+    return F.expr("map(" + ", ".join(f"{literal(k)}, {literal(v)}" for k, v in entries.items()) + ")")
+
+
 def strip(text: Column) -> Column:
     """Cut Unicode whitespace from both ends."""
     return F.btrim(text, F.lit(SPACES))

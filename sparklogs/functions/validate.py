@@ -27,35 +27,39 @@ _TEXT = {
 _NUMBERS = {"response_bytes": (0, None), "response_time_ms": (0, None), "status_code": (100, 599)}
 
 
-def first_problem(bad_types: Column | None = None, columns: dict[str, Column] | None = None) -> Column:
+def first_problem(bad_types: str | None = None) -> Column:
     """`<field>: <problem>` of the first failing field in name order, or null when all is well.
 
-    `bad_types` lists fields whose source value was not text. `columns` replaces a field's column.
+    Column `bad_types` lists fields whose source value was not text. One CASE, so that nothing after
+    the first failure is evaluated.
     """
-    columns = columns or {}
     problems = []
+
+    def reject(field: str, condition: str, text: str) -> None:
+        problems.append(f"WHEN {condition} THEN '{field}: {text}'")
+
     for field in sorted([*_TEXT, *_NUMBERS, "timestamp"]):
-        value = columns.get(field, F.col(field))
         if field in _TEXT:
             nullable, shortest, longest, allowed = _TEXT[field]
-            if bad_types is not None:
-                problems.append((F.array_contains(bad_types, field), f"{field}: is not text"))
+            if bad_types:
+                reject(field, f"array_contains({bad_types}, '{field}')", "is not text")
             if not nullable:
-                problems.append((value.isNull(), f"{field}: is missing"))
+                reject(field, f"{field} IS NULL", "is missing")
             if shortest:
-                problems.append((F.length(value) < shortest, f"{field}: is shorter than {shortest}"))
+                reject(field, f"length({field}) < {shortest}", f"is shorter than {shortest}")
             if longest:
-                problems.append((F.length(value) > longest, f"{field}: is longer than {longest}"))
+                reject(field, f"length({field}) > {longest}", f"is longer than {longest}")
             if allowed:
-                problems.append((~value.isin(allowed), f"{field}: is not one of {', '.join(allowed)}"))
+                quoted = ", ".join(f"'{value}'" for value in allowed)
+                reject(field, f"{field} NOT IN ({quoted})", f"is not one of {', '.join(allowed)}")
         elif field in _NUMBERS:
             lowest, highest = _NUMBERS[field]
-            problems.append((value < lowest, f"{field}: is less than {lowest}"))
+            reject(field, f"{field} < {lowest}", f"is less than {lowest}")
             if highest:
-                problems.append((value > highest, f"{field}: is greater than {highest}"))
+                reject(field, f"{field} > {highest}", f"is greater than {highest}")
         else:
-            problems.append((value.isNull(), f"{field}: is missing"))
-    return F.coalesce(*[F.when(failed, text) for failed, text in problems])
+            reject(field, f"{field} IS NULL", "is missing")
+    return F.expr(f"CASE {' '.join(problems)} END")
 
 
 def unknown_json_fields(text: Column, known: list[str]) -> Column:

@@ -159,13 +159,13 @@ def burst_report(lags: DataFrame, burst_end: Column, limit_seconds: int = 60) ->
 
 
 def throughput(rows: DataFrame, interval: str = "2 seconds", time: str = "timestamp", failed: str = "failed") -> DataFrame:
-    """Events, events per second and success share per interval."""
+    """Events, failures, events per second and success share per interval."""
     window = F.window(time, interval)
     seconds = F.unix_seconds("_w.end") - F.unix_seconds("_w.start")
     return rows.groupBy(window.alias("_w")).agg(
         F.count("*").alias("events"), F.count_if(failed).alias("failures")
     ).select(
-        F.col("_w.start").alias("time"), "events",
+        F.col("_w.start").alias("time"), "events", "failures",
         F.round(F.col("events") / seconds, 1).alias("per_second"),
         F.round(100 * (F.col("events") - F.col("failures")) / F.col("events")).cast("bigint").alias("success_pct"),
     )

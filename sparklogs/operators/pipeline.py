@@ -147,8 +147,8 @@ def process(raw: DataFrame, as_of: Column, options: Options = Options()) -> Data
     if not options.keep_client:
         # With the raw client dropped its type is no longer looked at.
         bad = F.array_remove(bad, "client_ip")
-    frame = frame.withColumn(
-        "_problem", F.when(F.col("_stage").isNull() & F.col("_parse_error").isNull(), first_problem(bad))
+    frame = frame.withColumn("_bad", bad).withColumn(
+        "_problem", F.when(F.col("_stage").isNull() & F.col("_parse_error").isNull(), first_problem("_bad"))
     )
     failed_parse, failed_check = F.col("_parse_error").isNotNull(), F.col("_problem").isNotNull()
     typed = {

@@ -22,13 +22,14 @@ def loss_report(acknowledged: DataFrame, readable: DataFrame, keys: list[str]) -
         F.count("*").alias("acknowledged"), F.count_if(F.col("_seen").isNull()).alias("lost"))
 
 
-def conservation(routed: DataFrame) -> DataFrame:
-    """One row: consumed records against parsed plus dead-lettered ones, by distinct record."""
-    per_record = routed.groupBy("id").agg(
-        F.count_if(F.col("route") == "parsed").alias("_p"), F.count_if(F.col("route") == "dlq").alias("_d"))
-    return per_record.agg(
-        F.count("*").alias("consumed"), F.sum("_p").alias("parsed"), F.sum("_d").alias("dead_lettered"),
-    ).withColumn("balanced", F.col("consumed") == F.col("parsed") + F.col("dead_lettered"))
+def conservation(raw: DataFrame, routed: DataFrame) -> DataFrame:
+    """One row: raw records against parsed plus dead-lettered ones. Each side is only counted."""
+    totals = routed.agg(
+        F.count_if(F.col("route") == "parsed").alias("parsed"), F.count_if(F.col("route") == "dlq").alias("dead_lettered"))
+    consumed = raw.agg(F.count("*")).scalar()
+    return totals.select(
+        consumed.alias("consumed"), "parsed", "dead_lettered",
+        (consumed == F.col("parsed") + F.col("dead_lettered")).alias("balanced"))
 
 
 def replay(dead: DataFrame, stored: DataFrame, as_of: Column, options: Options = Options()) -> DataFrame:

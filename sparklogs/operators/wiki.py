@@ -1,10 +1,9 @@
 """Page-edit feed as JSON application logs."""
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import fixed
+from ..functions.text import constant_map
 
 LOG_FIELDS = [
     "timestamp", "service", "host", "level", "message", "client_ip", "http_method", "path", "status_code",
@@ -50,7 +49,6 @@ def map_changes(changes: DataFrame, extra: tuple[str, ...] = (), **choice) -> Da
 
     kind = F.coalesce("type", F.lit("unknown"))
     comment, title = F.coalesce("comment", F.lit("")), F.coalesce("title", F.lit(""))
-    status = F.create_map(*[F.lit(x) for x in chain.from_iterable(fixed.STATUS_BY_CHANGE.items())])
     epoch = F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     bot = F.coalesce("bot", F.lit(False))
     built = {
@@ -63,7 +61,7 @@ def map_changes(changes: DataFrame, extra: tuple[str, ...] = (), **choice) -> Da
         "client_ip": F.col("user"),
         "http_method": F.when(kind.isin("edit", "new"), "POST").otherwise("GET"),
         "path": quoted_path(title),
-        "status_code": F.coalesce(F.try_element_at(status, kind), F.lit(200)),
+        "status_code": F.coalesce(F.try_element_at(constant_map(fixed.STATUS_BY_CHANGE), kind), F.lit(200)),
         "response_bytes": F.col("length.new"),
         "trace_id": filled("meta.id"),
         "wiki_change_type": kind,

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import fixed
 from ..functions import enrich, envelope, redact
@@ -10,7 +10,7 @@ from ..functions.parsers import json_app_parser, parse
 from ..functions.text import iso_text
 from ..functions.validate import unknown_json_fields
 from ..operators import alerts, dedupe, intake, lookup, metrics, pipeline, recon, reports, sequences, wiki
-from ..session import configure, scratch_path
+from ..session import configure, scratch_path, spread
 from ..sources import files, kafka, sinks, store
 from ..streaming import alert_state, jobs
 from . import fixtures as X, oracle as O
@@ -155,7 +155,7 @@ def run_totals(spark, sf_dir):
 SELECT count(*) AS consumed, count(*) FILTER (stage IS NULL) AS parsed,
   count(*) FILTER (stage IS NOT NULL) AS dead_lettered, true AS balanced FROM log_lines""")
 def conservation(spark, sf_dir):
-    return recon.conservation(_routed_lines(spark, sf_dir))
+    return recon.conservation(X.table(spark, sf_dir, "events"), _routed_lines(spark, sf_dir))
 
 
 @query("failures_over_time", f"""WITH {O.LOG_LINES}
@@ -375,7 +375,7 @@ def client_hash(spark, sf_dir):
 ), d AS (SELECT doc_id, regexp_replace(t, '\b(?:\d[ -]?){13,19}\b', '[redacted-number]', 'g') AS t FROM c)
 SELECT doc_id, replace(replace(t, '_' || chr(1), ''), chr(1) || '_', '') AS text FROM d""")
 def scrub_text(spark, sf_dir):
-    return X.table(spark, sf_dir, "documents").select("doc_id", redact.scrub_text(F.col("text")).alias("text"))
+    return spread(X.table(spark, sf_dir, "documents")).select("doc_id", redact.scrub_text(F.col("text")).alias("text"))
 
 
 @query("live_class", f"""WITH {O.LOG_LINES}
@@ -712,8 +712,6 @@ def service_order(spark, sf_dir):
     placed = ordered.select("service", "timestamp", F.monotonically_increasing_id().alias("place"))
     by_place = placed.groupBy("service", F.window("timestamp", "1 day").alias("w")).agg(
         F.count("*").alias("rows"), F.min("place").alias("first"), F.max("place").alias("last"))
-    from pyspark.sql import Window
-
     before = F.lag("last").over(Window.partitionBy("service").orderBy("w"))
     late = by_place.withColumn("late", F.coalesce(before > F.col("first"), F.lit(False)))
     return late.groupBy("service").agg(F.sum("rows").alias("rows"), F.count_if("late").alias("out_of_order"))
@@ -725,10 +723,7 @@ SELECT time_bucket(INTERVAL 2 SECOND, timestamp) AS time, count(*) AS events, co
   CAST(round(100 * (count(*) - count(*) FILTER (is_error)) / count(*)::DOUBLE) AS BIGINT) AS success_pct
 FROM dense GROUP BY 1""")
 def throughput_2s(spark, sf_dir):
-    rows = X.dense(spark, sf_dir).withColumn("failed", F.col("is_error"))
-    return metrics.throughput(rows).withColumn(
-        "failures", F.round(F.col("events") * 0).cast("bigint")).drop("failures").join(
-        rows.groupBy(F.window("timestamp", "2 seconds").start.alias("time")).agg(F.count_if("failed").alias("failures")), "time")
+    return metrics.throughput(X.dense(spark, sf_dir), failed="is_error")
 
 
 # ---- metrics --------------------------------------------------------------------------------

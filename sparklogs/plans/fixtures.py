@@ -4,11 +4,12 @@ Every function is a projection of a whole table, written with integers and text
 projection in SQL (see `oracle.py`) gives the same values to the last digit.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.enrich import is_error
 from ..functions.parsers import level_from_status
 from ..schemas import CHANGE_SCHEMA
+from ..session import spread
 
 START = "2024-01-01 00:00:00"
 AS_OF = "2024-01-31 00:00:00"
@@ -118,7 +119,7 @@ def log_lines_from(events: DataFrame) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_lines_from(table(spark, sf_dir, "events"))
+    return log_lines_from(spread(table(spark, sf_dir, "events")))
 
 
 # Names the same fields go by, one list per kind of client.
@@ -154,7 +155,7 @@ def json_lines_from(events: DataFrame) -> DataFrame:
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return json_lines_from(table(spark, sf_dir, "events"))
+    return json_lines_from(spread(table(spark, sf_dir, "events")))
 
 
 def raw_json_from(events: DataFrame) -> DataFrame:
@@ -174,7 +175,7 @@ def raw_json_from(events: DataFrame) -> DataFrame:
 
 
 def raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_json_from(table(spark, sf_dir, "events"))
+    return raw_json_from(spread(table(spark, sf_dir, "events")))
 
 
 def dup_from(events: DataFrame) -> DataFrame:
@@ -249,8 +250,6 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A counter per event type, sampled every minute with events; it starts again on the 16th day."""
-    from pyspark.sql import Window
-
     minute = F.date_trunc("minute", F.col("ts").cast("timestamp"))
     counts = table(spark, sf_dir, "events").groupBy("event_type", minute.alias("ts")).agg(F.count("*").alias("n"))
     life = Window.partitionBy("event_type", F.col("ts") >= time("2024-01-16 00:00:00")).orderBy("ts")
@@ -262,8 +261,6 @@ def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def offset_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of two consumer groups, and of a hidden one, per minute with events."""
-    from pyspark.sql import Window
-
     minute = F.date_trunc("minute", F.col("ts").cast("timestamp"))
     partition = (F.col("user_id") % 6).cast("int")
     counts = table(spark, sf_dir, "events").groupBy(

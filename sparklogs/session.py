@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,3 +54,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="sparklogs-")
     return f"{base.rstrip('/')}/sparklogs/{name}-{uuid.uuid4().hex}"
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than there are cores, as one small file has.
+
+    Parsing is bound by the processor, so this pays for tiny inputs; anything larger stays as it is and
+    is not shuffled.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame

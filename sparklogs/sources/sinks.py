@@ -1,6 +1,6 @@
 """Where routed rows go: three folders from one pass, or topics."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.pipeline import dead_letters, error_rows, parsed_rows
 from ..schemas import PARSED_COLUMNS
@@ -59,8 +59,6 @@ def upsert_windows(changed: DataFrame, path: str, batch: int) -> None:
 
 def latest_windows(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     """Current version of every window: the one from its last batch."""
-    from pyspark.sql import Window
-
     rows = spark.read.parquet(path)
     last = Window.partitionBy(*keys).orderBy(F.desc("batch"))
     return rows.withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n", "batch")

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import reports
 from ..operators.pipeline import Options, decode, process, route
+from ..session import spread
 from ..sources.sinks import upsert_windows, write_routes
 
 GRACE = "30 seconds"
@@ -45,7 +46,7 @@ def run_pipeline(
     stamp = F.current_timestamp() if as_of is None else as_of
 
     def one_batch(batch: DataFrame, number: int) -> None:
-        write(route(process(decode(batch), stamp, options)), out, str(number))
+        write(route(process(decode(spread(batch)), stamp, options)), out, str(number))
 
     writer = values.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return _start(writer, trigger)

@@ -164,7 +164,7 @@ def test_nothing_is_lost_and_reruns_change_nothing(spark):
              rng.choice(lines)) for i in range(400)]
     frame = raw(spark, rows).withColumn("id", F.col("event_id"))
     once = pipeline.route(pipeline.process(frame, at(AS_OF)))
-    balance = recon.conservation(once).first()
+    balance = recon.conservation(frame, once).first()
     assert balance.balanced and balance.consumed == 400
     parsed = pipeline.parsed_rows(once)
     again = pipeline.parsed_rows(pipeline.route(pipeline.process(frame, at("2026-08-02"))))
