@@ -11,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import compare  # noqa: E402
 
 import __spark_entry__ as entry_point  # noqa: E402
+from sparklogs.plans import catalog  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not here")
@@ -21,7 +22,7 @@ def con():
     return compare.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", list(catalog.all_queries()))
 def test_query(spark, con, name):
     frame = entry_point.queries()[name](spark, SF_DIR)
     assert compare.differences(frame, con, entry_point.oracle_sql()[name]) is None
