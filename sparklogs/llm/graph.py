@@ -16,20 +16,19 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     linked = both.join(least, "u")
     if large:
-        return linked.filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        return linked.filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
     return linked.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
         least.select(F.col("u").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root (the smallest node of its component) for every node of the edges (a, b)."""
-    edges = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    seen = None
+    edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while True:
         edges = stored(_star(_star(edges, large=True), large=False), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
+        # Done when no root hangs on another node and every other node hangs on one root.
+        hanging = edges.groupBy(F.col("a").alias("h")).agg(F.count("*").alias("n"))
+        if edges.join(hanging, F.col("b") == F.col("h"), "left_semi").isEmpty() and hanging.filter("n > 1").isEmpty():
             break
-        seen = state
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -11,9 +11,9 @@ most pairs out, anchors (k-mers in common, in increasing order) usually prove th
 diagonal, exactly, up to the distance allowed.
 
 Groups: equal texts are one node, found by digest. In a bucket one pivot is compared with all members; then
-components are formed and only buckets that still hold several go on, with 1, 2, 4, ... further pivots, each compared
-with the members of other components. A round ends with every pair of a bucket compared or connected, so no
-link is lost, and a bucket of near copies costs its size, not its square.
+components are formed and only buckets that still hold several go on, with 2, 4, 8, ... pivots (all, when few pairs
+are left), each compared with the members of other components that are not too long or short. It ends with every pair
+of a bucket compared or connected, so no link is lost, and a bucket of near copies costs its size, not its square.
 
 Nulls and odd rows: equal texts (also empty ones) form a class; a null text is alone. Texts without words or
 with fewer than five are one k-mer. Classes are named by the smallest id of their rows, nulls last; repeated rows share a
@@ -35,6 +35,8 @@ from .common import free, quoted, stored
 K, PICKED, ROWS, BANDS, SIMILARITY = 5, 2, 3, 32, 0.8
 #: Tables of node names (16 bytes each) up to this many rows are broadcast; above it the join shuffles.
 BROADCAST_NODES = 500_000
+#: Pairs left after the first round are compared at once while there are at most so many per node, else by doubling.
+PAIRS_PER_NODE = 8
 
 _rng = np.random.default_rng(20240101)
 _ODD = _rng.integers(1 << 62, 1 << 63, (ROWS * BANDS, 1), dtype=np.uint64) | np.uint64(1)
@@ -215,49 +217,61 @@ def _verified(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array
         yield pa.array(out, pa.bool_())
 
 
-def _semi(big: DataFrame, names: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
-    """big restricted by a stored table of names; broadcast only when its counted size is within the bound."""
-    return big.join(F.broadcast(names) if names.count() <= BROADCAST_NODES else names, on, how)
+def _bounded(names: DataFrame) -> DataFrame:
+    """A stored table of names, to be broadcast only when its counted size is within the bound."""
+    return F.broadcast(names) if names.count() <= BROADCAST_NODES else names
+
+
+def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b, near for distinct pairs of nodes, written."""
+    joined = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(
+        texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+    return stored(joined.select("a", "b", _verified("text_a", "text_b").alias("near")), "omh-verified")
 
 
 def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """Verified links (a, b) between nodes, as many as connect all that share a bucket."""
-    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = stored(buckets.join(shared, "bucket"), "omh-members")
-    names = stored(members.select("node").distinct(), "omh-names")
-    texts = _semi(docs.select(F.unhex(F.md5("text")).alias("node"), "text").filter("text is not null"), names, "node")
-    texts = stored(texts.groupBy("node").agg(F.first("text").alias("text")), "omh-texts")
-    found, tried, pivots, first = None, None, 1, 0
+    buckets = nodes.select("id", "n_words", F.explode("bands").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).filter("n > 1")
+    members = stored(buckets.join(shared.select("bucket", "pivot"), "bucket"), "omh-members")
+    names = stored(members.select("id").distinct().join(nodes.select("id", "node"), "id"), "omh-names")
+    texts = docs.filter("text is not null").select(F.unhex(F.md5("text")).alias("node"), "text").join(_bounded(names), "node")
+    texts = stored(texts.groupBy("id").agg(F.first("text").alias("text")), "omh-texts")
+    first = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    tried = _verify(first, texts)
+    found, done, pivots, bound = tried.filter("near").select("a", "b"), 0, 2, PAIRS_PER_NODE * nodes.count()
+    live = _mixed(members.select("id", "n_words", "bucket"), found)
     while True:
-        live = members.withColumn("root", F.col("node"))
-        if found is not None:
-            roots = stored(graph.components(found), "omh-roots")
-            live = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            mixed = live.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-            live = stored(live.join(mixed.filter("low <> high").select("bucket"), "bucket"), "omh-live")
-            if live.isEmpty():
-                return found
-        if first:
-            order = Window.partitionBy("bucket").orderBy("node")
-            chosen = live.withColumn("rank", F.row_number().over(order)).filter((F.col("rank") > first) & (F.col("rank") <= first + pivots))
-        else:
-            chosen = live.groupBy("bucket").agg(F.min_by(F.struct("node", "root"), "node").alias("p")).select("bucket", "p.*")
-        chosen = chosen.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-        if first and chosen.isEmpty():
+        sizes = live.groupBy("bucket").agg(F.count("*").alias("n"))
+        largest, open_pairs = sizes.agg(F.max("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
+        if not largest or done >= largest:
             return found
-        pairs = live.join(chosen, "bucket").filter("root <> root_a").select(
-            F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "omh-pairs")
-        joined = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
-            texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        near = stored(joined.select("a", "b", _verified("text_a", "text_b").alias("near")), "omh-verified")
-        linked = near.filter("near").select("a", "b")
-        found = linked if found is None else found.unionByName(linked)
-        tried = near.select("a", "b") if tried is None else tried.unionByName(near.select("a", "b"))
-        first, pivots = (1, 1) if not first else (first + pivots, pivots * 2)
+        # What is left must be compared one way or other; in one go if it is in proportion to the input.
+        limit = largest if open_pairs <= bound else done + pivots
+        ranked = live.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("id")))
+        chosen = ranked.filter((F.col("rank") > done) & (F.col("rank") <= limit)).select(
+            "bucket", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("n_words").alias("words_a"), F.col("rank").alias("rank_a"))
+        longer = F.greatest("n_words", "words_a")
+        pairs = ranked.join(chosen, "bucket").filter(
+            (F.col("rank") > F.col("rank_a")) & (F.col("root") != F.col("root_a"))
+            & (longer - F.least("n_words", "words_a") <= (1 - SIMILARITY) * longer + 1e-9))
+        pairs = pairs.select("a", F.col("id").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        near = _verify(stored(pairs, "omh-pairs"), texts)
+        new = near.filter("near").select("a", "b")
+        found, tried, done, pivots = found.unionByName(new), tried.unionByName(near), limit, 2 * pivots
+        if done < largest and not new.isEmpty():
+            live = _mixed(live.select("id", "n_words", "bucket"), found)
+
+
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with their component's root.
+
+    Members keep their order within a bucket, so the pivots that were compared before stay the first ones.
+    """
+    roots = stored(graph.components(found), "omh-roots")
+    live = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = live.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    return stored(live.join(mixed.select("bucket"), "bucket"), "omh-live")
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -267,11 +281,13 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The sketched rows, and (node, class_node, class_id) of every distinct text."""
+    """The sketched rows, and (node, class_id, keeper) of every distinct text."""
     rows = sketched(docs)
-    nodes = stored(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")), "omh-nodes")
-    roots = stored(graph.components(_links(nodes, docs)), "omh-roots")
-    named = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_words").alias("n_words"), F.first("bands").alias("bands"))
+    # Numbers instead of digests from here on; written with the table, so they stay.
+    nodes = stored(nodes.withColumn("id", F.monotonically_increasing_id()), "omh-nodes")
+    roots = graph.components(_links(nodes, docs)).withColumnRenamed("node", "id")
+    named = nodes.select("id", "node", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     named = stored(named, "omh-named")
     smallest = named.groupBy("root").agg(F.min("least").alias("class_id"),
                                          F.min_by("node", F.struct(F.col("least").isNull(), "least", "node")).alias("keeper"))
@@ -302,8 +318,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     named = docs.withColumn(node, F.unhex(F.md5("text")))
 
     def drop(frame: DataFrame, names: DataFrame, a: str, b: str, how: str) -> DataFrame:
-        names = F.broadcast(names) if names.count() <= BROADCAST_NODES else names
-        return frame.join(names, (F.col(node) == F.col(a)) & F.col("doc_id").eqNullSafe(F.col(b)), how)
+        return frame.join(_bounded(names), (F.col(node) == F.col(a)) & F.col("doc_id").eqNullSafe(F.col(b)), how)
 
     left = drop(named, gone, "gone_node", "gone_id", "left_anti")
     once = drop(left, repeated, "again_node", "again_id", "left_anti")
