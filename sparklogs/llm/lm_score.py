@@ -11,8 +11,8 @@ The filter is built in blocks (all bits of an n-gram lie in one): each block is
 the driver only joins them. Its size follows the number of n-grams up to MAX_BITS; beyond that the least count
 admitted doubles until it fits, the usual pruning, for a proven size of what is broadcast.
 
-The base score needs exact counts. Words counted at least `head` times, at most HEAD_WORDS of them, are broadcast
-with their counts; all others of a document are looked up by a join that is pre-counted per document. Words are named by
+The base score needs exact counts. Words counted HEAD_LEAST times or more are broadcast with their counts (the
+least count doubles while there are more than HEAD_WORDS of them); all others of a document are looked up by a join that is pre-counted per document. Words are named by
 64-bit digests.
 
 Nulls and odd rows: a null or empty text has the end token only. A null id is that of the empty text for the split. Repeated rows
@@ -22,6 +22,7 @@ count each. With no training rows all counts are 0; an empty table gives an empt
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -34,7 +35,7 @@ DISCOUNT = 0.5
 MAX_BITS = 1 << 28
 BITS_PER_ENTRY, PROBES = 10, 5
 BLOCK_BITS = 1 << 19
-HEAD_WORDS = 1 << 21
+HEAD_LEAST, HEAD_WORDS = 8, 1 << 21
 FLUSH_TOKENS = 1 << 20
 FOLDS, HELD_OUT = 7, 2
 
@@ -42,6 +43,7 @@ _UPPER = bytes(range(0x41, 0x5B))
 _LOWER = bytes.maketrans(_UPPER, _UPPER.lower())
 _END = xxhash.xxh64_intdigest(b" ") & ~1  # no word holds a blank
 _PAIR, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+_INSIDE = np.uint64(BLOCK_BITS - 1)
 _CHUNK = 1 << 20
 
 
@@ -110,12 +112,11 @@ def _blocks(grams: np.ndarray, blocks: int) -> np.ndarray:
     return (grams >> np.uint64(20)) % np.uint64(blocks)
 
 
-def _places(grams: np.ndarray, level: int, probe: int) -> np.ndarray:
-    """The bit within its block that (gram, level) has for a probe."""
+def _places(grams: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first bit within its block that (gram, level) has, and the step to the next ones."""
     mixed = (grams + np.uint64(level * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)) * _PAIR
     mixed ^= mixed >> np.uint64(29)
-    step = (mixed * _MIX) >> np.uint64(40) | np.uint64(1)
-    return ((mixed >> np.uint64(20)) + np.uint64(probe) * step) % np.uint64(BLOCK_BITS)
+    return mixed >> np.uint64(20), (mixed * _MIX) >> np.uint64(40) | np.uint64(1)
 
 
 class Filter:
@@ -127,12 +128,17 @@ class Filter:
     def levels(self, grams: np.ndarray) -> np.ndarray:
         """Probe level after level; n-grams drop out at their first missing bit."""
         found = np.zeros(len(grams), np.int64)
-        active, own, level = np.arange(len(grams)), _blocks(grams, self.blocks), 1
+        bits, size = self.bits.reshape(-1), np.uint64(BLOCK_BITS // 8)
+        active, left, start, level = np.arange(len(grams)), grams, _blocks(grams, self.blocks) * size, 1
         while len(active):
-            for probe in range(PROBES):
-                at = _places(grams[active], level, probe)
-                byte = self.bits[own[active], at >> np.uint64(3)]
-                active = active[(byte >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+            at, step = _places(left, level)
+            alive = np.arange(len(left))
+            for _ in range(PROBES):
+                place = at & _INSIDE
+                hit = (bits[start[alive] + (place >> np.uint64(3))] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                alive, step = alive[hit], step[hit]
+                at = at[hit] + step
+            active, left, start = active[alive], left[alive], start[alive]
             found[active] = level
             level += 1
         return found
@@ -150,8 +156,10 @@ def _fill(blocks: int):
                 g, top = grams[inside], levels[inside]
                 level = 1
                 while len(g):
+                    at, step = _places(g, level)
                     for probe in range(PROBES):
-                        bits[_places(g, level, probe)] = True
+                        bits[at & _INSIDE] = True
+                        at = at + step
                     level += 1
                     g, top = g[top >= level], top[top >= level]
         for block, bits in made.items():
@@ -176,14 +184,13 @@ class Model:
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         return np.where(self.words[at] == words, self.counts[at], -1)
 
-    def probabilities(self, own: np.ndarray) -> np.ndarray:
-        """P(token | previous) of every token."""
-        before = np.concatenate((np.array([_END], np.uint64), own[:-1]))
-        words, at = np.unique(np.concatenate((own, before)), return_inverse=True)
-        counts = count_of(self.filter.levels(words))[at]
-        one, previous = counts[:len(own)], counts[len(own):]
-        grams, at = np.unique(pairs(own), return_inverse=True)
-        together = np.minimum(count_of(self.filter.levels(grams))[at], np.minimum(previous, one))
+    def probabilities(self, own: np.ndarray, at: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """P(token | previous) of every token; own is words[at]."""
+        one = count_of(self.filter.levels(words))[at]
+        end = count_of(self.filter.levels(np.array([_END], np.uint64)))
+        previous = np.concatenate((end, one[:-1]))
+        codes, grams = pd.factorize(pairs(own))
+        together = np.minimum(count_of(self.filter.levels(grams))[codes], np.minimum(previous, one))
         unigram = (one + 1) / (self.total + self.distinct + 1)
         seen = np.maximum(together - DISCOUNT, 0) / np.maximum(previous, 1)
         return np.where(previous > 0, np.minimum(seen + self.back_off * unigram, 1.0), unigram)
@@ -206,7 +213,7 @@ def train(texts: DataFrame) -> tuple[DataFrame, Model, int]:
     while sum(r["entries"] for r in rows if 1 << r["power"] >= (least if not r["word"] else least // 2)) * BITS_PER_ENTRY > MAX_BITS:
         least *= 2
     entries = sum(r["entries"] for r in rows if 1 << r["power"] >= (least if not r["word"] else least // 2))
-    head = 1
+    head = HEAD_LEAST
     while sum(r["grams"] for r in rows if r["word"] and 1 << r["power"] >= head) > HEAD_WORDS:
         head *= 2
     blocks = max(1, -(-entries * BITS_PER_ENTRY // BLOCK_BITS))
@@ -240,10 +247,10 @@ def _scorer(broadcast):
         def rows(group: list[np.ndarray]) -> list[dict]:
             """Many texts in one pass: their tokens in a row, each text ended by its end token."""
             own = np.concatenate(group)
-            words, at = np.unique(own, return_inverse=True)
+            at, words = pd.factorize(own)
             counts = model.exact(words)[at]
             base = np.where(counts >= 0, np.log10(np.maximum(counts, 0) + 1.0) - log_total, 0.0)
-            logs = np.log10(model.probabilities(own))
+            logs = np.log10(model.probabilities(own, at, words))
             out, start = [], 0
             for part in group:
                 end = start + len(part)
