@@ -28,7 +28,8 @@ _ANY = "Dr|Prof"
 _NAME_WORD = r"\p{Lu}\p{Ll}[\p{L}'-]*"
 TITLE = rf"(?:{_FEMALE}|{_MALE}|{_ANY})\.? "
 NAME = rf"\b{TITLE}{_NAME_WORD}(?: {_NAME_WORD})?"
-MAIL = r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"
+# Each run of address characters is tried once, from its start, so a long word costs its length.
+MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"
 SECRET_HEAD = r"""(?i:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key)["']?\s?[=:]\s?["']?"""
 SECRET = rf"{SECRET_HEAD}[A-Za-z0-9+/_=.-]{{8,}}"
 BARE_SECRET = r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9_-]{20,}|(?=[a-f]*[0-9])(?=[0-9]*[a-f])[a-f0-9]{32,})\b"
