@@ -75,8 +75,9 @@ def template_tree(urls: DataFrame, depth: int = DEPTH, min_support: int = MIN_SU
         named = merged.join(pool, ["host", "template"]).select(
             "host", "template", "kept", F.when(similar & (F.col("kept") != END), "~").otherwise(F.col("kept")).alias("branch"))
         step = branches.select(*key, "kept").join(named, ["host", "template", "kept"]).select(*key, "branch")
-        tree = tree.join(step, key).withColumn("template", F.concat("template", F.array("branch"))).drop("seg", "branch")
-    tree = stored(tree.select("host", "segs", "template", "n", "labelled", "n_bad"), "url-tree")
+        tree = tree.join(step, key).withColumn("template", F.concat("template", F.array("branch")))
+        # Written per level: each level's counts are read three times.
+        tree = stored(tree.select("host", "segs", "template", "n", "labelled", "n_bad"), "url-tree")
     labelled, bad = tree.agg(F.sum("labelled"), F.sum("n_bad")).first()
     prior = bad / labelled if labelled else 0.0
     templates = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "n_bad")])
