@@ -135,17 +135,17 @@ def fit_cutoffs(measured: DataFrame, alpha: float = ALPHA, delta: float = DELTA)
     cells = F.array(*[F.struct(F.lit(name).alias("feature"), F.least(F.floor(values[name] / (top / GRID)), F.lit(GRID)).cast("int").alias("cell"))
                       for name, top in FEATURES.items()])
     counts = good.select("stratum", F.inline(cells)).groupBy("stratum", "feature", "cell").agg(F.count("*").alias("n"))
+    counts = stored(counts, "quality-counts")
     # A document in the cell of cutoff j (lower edge j * top / GRID) may be above it, so it counts as rejected.
     by_feature = counts.groupBy("stratum", "feature").agg(
         F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("cell", "n"))).alias("cells"))
     above = F.transform(F.sequence(F.lit(0), F.lit(GRID - 1)), lambda j: F.aggregate(
         F.map_entries("cells"), F.lit(0).cast("bigint"), lambda a, e: a + F.when(e["key"] >= j, e["value"]).otherwise(0)))
     by_feature = by_feature.select("stratum", "feature", "total", F.posexplode(above).alias("cell", "rejected"))
-    strata = good.select("stratum").distinct().select(F.count("*").alias("strata"))
-    tests = by_feature.crossJoin(F.broadcast(strata))  # one row, a constant
+    strata = max(1, counts.select("stratum").distinct().count())
     share = alpha / len(FEATURES)
-    passed = binomial_tail(F.col("total"), F.col("rejected"), share) <= delta / (F.col("strata") * len(FEATURES))
-    lowest = tests.groupBy("stratum", "feature").agg(F.min(F.when(passed, F.col("cell"))).alias("cell"))
+    passed = binomial_tail(F.col("total"), F.col("rejected"), share) <= delta / (strata * len(FEATURES))
+    lowest = by_feature.groupBy("stratum", "feature").agg(F.min(F.when(passed, F.col("cell"))).alias("cell"))
     return lowest.groupBy("stratum").agg(*[
         F.max(F.when(F.col("feature") == name, F.col("cell") * (top / GRID))).alias(f"max_{name}") for name, top in FEATURES.items()])
 
