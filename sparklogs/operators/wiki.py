@@ -23,10 +23,15 @@ def quoted_path(title: Column) -> Column:
     return F.concat(F.lit("/wiki/"), path)
 
 
+def filled(column: str) -> Column:
+    """The column, an empty text as null."""
+    return F.nullif(F.col(column), F.lit(""))
+
+
 def skip_reason(server_names: list[str] | None = None, include_bots: bool = False) -> Column:
     """Why a change is not forwarded: wiki_filtered, bot, unmappable; null when it is."""
     reason = F.lit(None).cast("string")
-    unmappable = F.coalesce("server_name", "meta.domain", F.lit("")) == ""
+    unmappable = F.coalesce(filled("server_name"), filled("meta.domain")).isNull()
     untimed = F.coalesce("meta.dt", F.lit("")).isin("") & F.col("timestamp").isNull()
     reason = F.when(unmappable | untimed, "unmappable")
     if not include_bots:
@@ -44,9 +49,6 @@ def skipped_by_reason(changes: DataFrame, **choice) -> DataFrame:
 
 def map_changes(changes: DataFrame, extra: tuple[str, ...] = (), **choice) -> DataFrame:
     """Changes as application-log fields; those with a skip reason are left out."""
-    def filled(column: str) -> Column:
-        return F.nullif(F.col(column), F.lit(""))
-
     kind = F.coalesce("type", F.lit("unknown"))
     comment, title = F.coalesce("comment", F.lit("")), F.coalesce("title", F.lit(""))
     epoch = F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -37,6 +37,7 @@ def security_options(env: Mapping[str, str] | None = None) -> dict[str, str]:
         mechanism = env.get("KAFKA_SASL_MECHANISM", "PLAIN")
         module = "plain.PlainLoginModule" if mechanism == "PLAIN" else "scram.ScramLoginModule"
         options["kafka.sasl.mechanism"] = mechanism
+        user, password = (value.replace("\\", "\\\\").replace('"', '\\"') for value in (user, password))
         options["kafka.sasl.jaas.config"] = (
             f'org.apache.kafka.common.security.{module} required username="{user}" password="{password}";')
     if protocol.endswith("SSL"):
@@ -53,7 +54,9 @@ def source_options(
     env: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     options = {
-        "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, "failOnDataLoss": "false",
+        "kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting,
+        # Records that age out unread are an error, not a gap.
+        "failOnDataLoss": "true",
         **security_options(env),
     }
     if per_trigger:

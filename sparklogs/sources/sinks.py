@@ -13,9 +13,11 @@ _COMBINED = [*PARSED_COLUMNS, "_stage", "_reason", "_original", "route"]
 def write_routes(routed: DataFrame, path: str, batch: str = "0") -> None:
     """Write all outputs of a batch in one pass, as folders batch=../route=..
 
-    Writing the same batch again replaces it, so a batch that is repeated after a failure counts once.
+    Writing the same batch again replaces it with all its routes, so a batch that is repeated after a failure
+    counts once, and a record that has changed its route since is not left in the old one.
     """
-    routed.select(*_COMBINED).write.mode("overwrite").partitionBy("route").parquet(f"{path}/batch={batch}")
+    writer = routed.select(*_COMBINED).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("route").parquet(f"{path}/batch={batch}")
 
 
 def read_routes(spark: SparkSession, path: str) -> DataFrame:
