@@ -6,6 +6,8 @@ from ..session import scratch_path
 
 # Fixed values of the query contracts: what separates words there.
 BLANKS = " \t\n\x0b\x0c\r"
+#: Tables of names and numbers (some 16 bytes a row) up to this many rows are broadcast; above it the join shuffles.
+BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +21,11 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def bounded(names: DataFrame) -> DataFrame:
+    """A stored table of names, to be broadcast only when its counted size is within the bound."""
+    return F.broadcast(names) if names.count() <= BROADCAST_ROWS else names
+
+
 def free(frame: DataFrame, name: str) -> str:
     """A column name that the frame does not have in any case."""
     taken = {c.lower() for c in frame.columns}

@@ -10,10 +10,11 @@ overlap by 0.8 or more, in order, are; they meet with probability over 0.999. Th
 most pairs out, anchors (k-mers in common, in increasing order) usually prove the rest, and what is left is aligned diagonal by
 diagonal, exactly, up to the distance allowed.
 
-Groups: equal texts are one node, found by digest. In a bucket one pivot is compared with all members; then
-components are formed and only buckets that still hold several go on, with 2, 4, 8, ... pivots (all, when few pairs
-are left), each compared with the members of other components that are not too long or short. It ends with every pair
-of a bucket compared or connected, so no link is lost, and a bucket of near copies costs its size, not its square.
+Groups: equal texts are one node, found by digest. In a bucket one pivot is compared with all members, and
+components are formed. Buckets that still hold several are dealt into blocks of bounded size by hash, and
+one group of rows compares two blocks: members of different components, except those within the
+heaviest one. So every pair of a bucket is compared or connected and no link is lost; no pairs are written, and a
+bucket of near copies costs its size, not its square.
 
 Nulls and odd rows: equal texts (also empty ones) form a class; a null text is alone. Texts without words or
 with fewer than five are one k-mer. Classes are named by the smallest id of their rows, nulls last; repeated rows share a
@@ -30,13 +31,12 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
 from . import graph
-from .common import free, quoted, stored
+from .common import bounded, free, quoted, stored
 
 K, PICKED, ROWS, BANDS, SIMILARITY = 5, 2, 3, 32, 0.8
-#: Tables of node names (16 bytes each) up to this many rows are broadcast; above it the join shuffles.
-BROADCAST_NODES = 500_000
-#: Pairs left after the first round are compared at once while there are at most so many per node, else by doubling.
-PAIRS_PER_NODE = 8
+#: Texts compared with one another in one group have about so many words in all; each counts BASE_WORDS more.
+BLOCK_WORDS, BASE_WORDS = 60_000, 50
+_SHARES = 1024  # classes of words whose counts rule pairs out
 
 _rng = np.random.default_rng(20240101)
 _ODD = _rng.integers(1 << 62, 1 << 63, (ROWS * BANDS, 1), dtype=np.uint64) | np.uint64(1)
@@ -217,11 +217,6 @@ def _verified(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array
         yield pa.array(out, pa.bool_())
 
 
-def _bounded(names: DataFrame) -> DataFrame:
-    """A stored table of names, to be broadcast only when its counted size is within the bound."""
-    return F.broadcast(names) if names.count() <= BROADCAST_NODES else names
-
-
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b, near for distinct pairs of nodes, written."""
     joined = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(
@@ -229,49 +224,85 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(joined.select("a", "b", _verified("text_a", "text_b").alias("near")), "omh-verified")
 
 
-def _links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified links (a, b) between nodes, as many as connect all that share a bucket."""
+def _compared(block: pa.Table) -> pa.Table:
+    """Links (a, b) between the roots of one block, or of two, that are not yet connected.
+
+    A pair is compared in the first bucket it shares. The counts of words per class bound the words in common from above, so
+    what they rule out is no near-duplicate; the rest is aligned.
+    """
+    bucket, i, j = (block[c][0].as_py() for c in ("bucket", "i", "j"))
+    part, roots = block["part"].to_numpy(), block["root"].to_numpy()
+    bands = np.array(block["bands"].to_pylist(), np.int64)
+    numbers = _Numbers()
+    words = [word_numbers(t, numbers) for t in block["text"].to_pylist()]
+    lengths = np.array([len(w) for w in words])
+    shares = np.stack([np.bincount((w % np.uint64(_SHARES)).astype(np.int64), minlength=_SHARES) for w in words]).astype(np.int32)
+    above = {r: r for r in roots.tolist()}
+
+    def top(r: int) -> int:
+        while above[r] != r:
+            r = above[r]
+        return r
+
+    links, right = [], np.flatnonzero(part == j)
+    for x in np.flatnonzero(part == i).tolist():
+        others = right[right > x] if i == j else right
+        others = others[roots[others] != roots[x]]
+        longer = np.maximum(lengths[others], lengths[x])
+        allowed = ((1 - SIMILARITY) * longer + 1e-9).astype(np.int64)
+        fit = longer - np.minimum(lengths[others], lengths[x]) <= allowed
+        others, longer, allowed = others[fit], longer[fit], allowed[fit]
+        first = (bands[others] == bands[x]).argmax(axis=1)
+        fit = bands[x][first] == bucket
+        others, longer, allowed = others[fit], longer[fit], allowed[fit]
+        others = others[longer - np.minimum(shares[others], shares[x]).sum(axis=1) <= allowed]
+        for y in others.tolist():
+            a, b = top(int(roots[x])), top(int(roots[y]))
+            if a != b and within(words[x], words[y]):
+                above[max(a, b)] = min(a, b)
+                links.append((int(roots[x]), int(roots[y])))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
+def _roots(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and root of the nodes that are linked to others of a bucket, all pairs being compared or connected."""
     buckets = nodes.select("id", "n_words", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).filter("n > 1")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("id", "n_words")).alias("pivot")).filter("n > 1")
     members = stored(buckets.join(shared.select("bucket", "pivot"), "bucket"), "omh-members")
     names = stored(members.select("id").distinct().join(nodes.select("id", "node"), "id"), "omh-names")
-    texts = docs.filter("text is not null").select(F.unhex(F.md5("text")).alias("node"), "text").join(_bounded(names), "node")
+    texts = docs.filter("text is not null").select(F.unhex(F.md5("text")).alias("node"), "text").join(bounded(names), "node")
     texts = stored(texts.groupBy("id").agg(F.first("text").alias("text")), "omh-texts")
-    first = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    tried = _verify(first, texts)
-    found, done, pivots, bound = tried.filter("near").select("a", "b"), 0, 2, PAIRS_PER_NODE * nodes.count()
-    live = _mixed(members.select("id", "n_words", "bucket"), found)
-    while True:
-        sizes = live.groupBy("bucket").agg(F.count("*").alias("n"))
-        largest, open_pairs = sizes.agg(F.max("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()
-        if not largest or done >= largest:
-            return found
-        # What is left must be compared one way or other; in one go if it is in proportion to the input.
-        limit = largest if open_pairs <= bound else done + pivots
-        ranked = live.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("id")))
-        chosen = ranked.filter((F.col("rank") > done) & (F.col("rank") <= limit)).select(
-            "bucket", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("n_words").alias("words_a"), F.col("rank").alias("rank_a"))
-        longer = F.greatest("n_words", "words_a")
-        pairs = ranked.join(chosen, "bucket").filter(
-            (F.col("rank") > F.col("rank_a")) & (F.col("root") != F.col("root_a"))
-            & (longer - F.least("n_words", "words_a") <= (1 - SIMILARITY) * longer + 1e-9))
-        pairs = pairs.select("a", F.col("id").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        near = _verify(stored(pairs, "omh-pairs"), texts)
-        new = near.filter("near").select("a", "b")
-        found, tried, done, pivots = found.unionByName(new), tried.unionByName(near), limit, 2 * pivots
-        if done < largest and not new.isEmpty():
-            live = _mixed(live.select("id", "n_words", "bucket"), found)
-
-
-def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
-    """The members of buckets that hold several components, with their component's root.
-
-    Members keep their order within a bucket, so the pivots that were compared before stay the first ones.
-    """
-    roots = stored(graph.components(found), "omh-roots")
-    live = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = live.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    return stored(live.join(mixed.select("bucket"), "bucket"), "omh-live")
+    longer, shorter = F.greatest("n_words", "pivot.n_words"), F.least("n_words", "pivot.n_words")
+    first = members.filter((F.col("id") != F.col("pivot.id")) & (longer - shorter <= (1 - SIMILARITY) * longer + 1e-9))
+    tried = _verify(first.select(F.col("pivot.id").alias("a"), F.col("id").alias("b")).distinct(), texts)
+    roots = graph.components(tried.filter("near"))
+
+    # Buckets that hold several components: the heaviest is compared with the others, they also with each other.
+    live = graph.rooted(members.select("id", "n_words", "bucket", F.col("id").alias("root")), "root", roots)
+    live = stored(live, "omh-rooted")
+    each = live.groupBy("bucket", "root").agg(F.sum(F.col("n_words").cast("bigint") + BASE_WORDS).alias("weight"))
+    mixed = each.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("weight").alias("all"),
+                                       F.max(F.struct("weight", "root")).alias("top")).filter("n > 1")
+    mixed = mixed.select("bucket", F.col("top.root").alias("top"), F.ceil((F.col("all") - F.col("top.weight")) / BLOCK_WORDS).alias("others"),
+                         F.ceil(F.col("top.weight") / BLOCK_WORDS).alias("tops"))
+    live = stored(live.join(mixed, "bucket"), "omh-live")
+    wanted = bounded(stored(live.select("id").distinct(), "omh-wanted"))
+    known = texts.join(wanted, "id", "left_semi").join(nodes.select("id", "bands").join(wanted, "id", "left_semi"), "id")
+    # A member meets every block of the others; a member of the heaviest component only those.
+    is_other, place = F.col("root") != F.col("top"), F.xxhash64("id")
+    part = F.when(is_other, F.pmod(place, "others")).otherwise(F.col("others") + F.pmod(place, "tops"))
+    meets = F.sequence(F.lit(0).cast("bigint"), F.when(is_other, F.col("others") + F.col("tops")).otherwise(F.col("others")) - 1)
+    placed = live.select("id", "root", "bucket", part.alias("part"), meets.alias("meets")).join(known, "id")
+    placed = placed.select("root", "bucket", "bands", "text", "part", F.explode("meets").alias("met"))
+    placed = placed.withColumns({"i": F.least("part", "met"), "j": F.greatest("part", "met")}).drop("met")
+    links = placed.groupBy("bucket", "i", "j").applyInArrow(_compared, "a bigint, b bigint")
+    links = stored(links.distinct(), "omh-links")
+    if links.isEmpty():
+        return roots
+    later = graph.components(links)
+    # Roots without links so far are nodes of the later round only.
+    new = later.join(bounded(roots.select("node")), "node", "left_anti")
+    return graph.rooted(roots, "root", later).unionByName(new)
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -286,7 +317,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_words").alias("n_words"), F.first("bands").alias("bands"))
     # Numbers instead of digests from here on; written with the table, so they stay.
     nodes = stored(nodes.withColumn("id", F.monotonically_increasing_id()), "omh-nodes")
-    roots = graph.components(_links(nodes, docs)).withColumnRenamed("node", "id")
+    roots = _roots(nodes, docs).withColumnRenamed("node", "id")
     named = nodes.select("id", "node", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     named = stored(named, "omh-named")
     smallest = named.groupBy("root").agg(F.min("least").alias("class_id"),
@@ -318,7 +349,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     named = docs.withColumn(node, F.unhex(F.md5("text")))
 
     def drop(frame: DataFrame, names: DataFrame, a: str, b: str, how: str) -> DataFrame:
-        return frame.join(_bounded(names), (F.col(node) == F.col(a)) & F.col("doc_id").eqNullSafe(F.col(b)), how)
+        return frame.join(bounded(names), (F.col(node) == F.col(a)) & F.col("doc_id").eqNullSafe(F.col(b)), how)
 
     left = drop(named, gone, "gone_node", "gone_id", "left_anti")
     once = drop(left, repeated, "again_node", "again_id", "left_anti")
