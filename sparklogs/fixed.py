@@ -95,8 +95,6 @@ NUMBER_MARK = "[redacted-number]"
 
 # ---- dead letters ---------------------------------------------------------------------------
 ERROR_STAGES = ["decode", "parse", "enrich", "validate", "produce"]
-MAX_REASON_CHARS = 512
-MAX_ORIGINAL_CHARS = 16_384
 
 # ---- page-edit feed -------------------------------------------------------------------------
 REVERT_WORDS = ["revert", "reverted", "undo", "undid", "rollback", "rvv"]

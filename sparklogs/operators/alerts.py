@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import fixed
+from .reports import time_filter
 from .sequences import interval_key
 
 STEP = fixed.EVALUATE_SECONDS
@@ -33,7 +34,7 @@ def error_rate_evaluations(frame: DataFrame, rule: dict = fixed.ERROR_RATE_RULE)
 def error_rate_now(frame: DataFrame, as_of: Column, rule: dict = fixed.ERROR_RATE_RULE) -> DataFrame:
     """The error-rate rule's input at one moment."""
     start = as_of - F.expr(f"INTERVAL {rule['window_seconds']} SECONDS")
-    recent = frame.filter((F.col("timestamp") > start) & (F.col("timestamp") <= as_of))
+    recent = time_filter(frame, start, as_of)
     return recent.groupBy("service").agg(
         F.round(100 * F.count_if("is_error").cast("double") / F.count("*"), 3).alias("error_rate"),
         F.count("*").alias("requests"),

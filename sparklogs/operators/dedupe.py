@@ -12,7 +12,9 @@ def latest_copy(frame: DataFrame) -> DataFrame:
     of the table costs one row per task.
     """
     ties = [F.desc_nulls_last(c) for c in ("stored_at", "ingested_at") if c in frame.columns]
-    newest = Window.partitionBy(*KEY).orderBy(F.desc_nulls_last("processed_at"), *ties)
+    # The day follows from the time; in the key it lets day filters above reach the scan.
+    key = [*KEY, *(c for c in ("event_date",) if c in frame.columns)]
+    newest = Window.partitionBy(*key).orderBy(F.desc_nulls_last("processed_at"), *ties)
     return frame.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
 
 

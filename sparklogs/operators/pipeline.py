@@ -72,7 +72,8 @@ def decode(frame: DataFrame, value: str = "value") -> DataFrame:
         F.when(failed, "decode").alias("_stage"),
         "_reason",
         F.when(~failed, wrong).otherwise(F.array().cast("array<string>")).alias("_bad_types"),
-        F.when(failed, F.substring(text, 1, fixed.MAX_ORIGINAL_CHARS)).otherwise(text).alias("_original"),
+        # Whole, so that it can be replayed.
+        text.alias("_original"),
     )
 
 
@@ -188,15 +189,19 @@ def error_rows(routed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     return routed.filter(F.col("route") == "errors").select(*extra, *PARSED_COLUMNS)
 
 
-def dead_letters(routed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Dead-letter records: id and service are known unless decoding failed."""
-    rows = routed.filter(F.col("route") == "dlq")
+def dead_letter_columns() -> list[Column]:
+    """The columns of a dead-letter record, from a routed row."""
     build = {
         "event_id": F.col("event_id"),
         "failed_at": F.col("processed_at"),
-        "error_reason": F.substring("_reason", 1, fixed.MAX_REASON_CHARS),
+        "error_reason": F.col("_reason"),
         "error_stage": F.col("_stage"),
         "service": F.col("service"),
         "original": F.col("_original"),
     }
-    return rows.select(*extra, *[build[n].cast(DLQ_SCHEMA[n].dataType).alias(n) for n in DLQ_COLUMNS])
+    return [build[n].cast(DLQ_SCHEMA[n].dataType).alias(n) for n in DLQ_COLUMNS]
+
+
+def dead_letters(routed: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Dead-letter records: id and service are known unless decoding failed."""
+    return routed.filter(F.col("route") == "dlq").select(*extra, *dead_letter_columns())

@@ -35,14 +35,13 @@ def conservation(raw: DataFrame, routed: DataFrame) -> DataFrame:
 def replay(dead: DataFrame, stored: DataFrame, as_of: Column, options: Options = Options()) -> DataFrame:
     """Parsed rows from dead letters under today's parsers, without those stored already."""
     again = route(process(decode(dead.select(F.col("original").alias("value"))), as_of, options))
-    known = stored.select("event_id").distinct()
-    return parsed_rows(again).join(known, "event_id", "left_anti")
+    return parsed_rows(again).join(stored.select("event_id"), "event_id", "left_anti")
 
 
 def errors_not_parsed(errors: DataFrame, parsed: DataFrame) -> DataFrame:
     """Error copies without their parsed row. There must be none."""
-    return errors.join(parsed.select("event_id").distinct(), "event_id", "left_anti")
+    return errors.join(parsed.select("event_id"), "event_id", "left_anti")
 
 
 def errors_also_parsed(errors: DataFrame, parsed: DataFrame) -> DataFrame:
-    return errors.join(parsed.select("event_id").distinct(), "event_id", "left_semi")
+    return errors.join(parsed.select("event_id"), "event_id", "left_semi")

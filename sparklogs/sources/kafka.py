@@ -3,7 +3,7 @@
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import iso_text
 from ..schemas import PARSED_TEXT_SCHEMA, TIME_COLUMNS
@@ -100,10 +100,13 @@ def parse_rows(stream: DataFrame, value: str = "value", extra: tuple[str, ...] =
 
 def to_records(rows: DataFrame, key: str = "service") -> DataFrame:
     """(key, value) for a topic: the row as JSON with times as ISO text, keyed by service."""
-    columns = [
-        iso_text(F.col(c)).alias(c) if c in TIME_COLUMNS or c in ("failed_at", "window_start", "window_end") else F.col(c)
-        for c in rows.columns
-    ]
-    return rows.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*columns)).alias("value"))
+    return rows.select(F.col(key).cast("string").alias("key"), record_text({c: F.col(c) for c in rows.columns}).alias("value"))
+
+
+def record_text(columns: dict[str, Column]) -> Column:
+    """The columns as one JSON object, times as ISO text."""
+    return F.to_json(F.struct(*[
+        (iso_text(c) if name in TIME_COLUMNS or name in ("failed_at", "window_start", "window_end") else c).alias(name)
+        for name, c in columns.items()]))
 
 

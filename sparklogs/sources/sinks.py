@@ -2,9 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..operators.pipeline import dead_letters, error_rows, parsed_rows
-from ..schemas import PARSED_COLUMNS
-from .kafka import TOPICS, sink_options, to_records
+from ..operators.pipeline import dead_letter_columns, dead_letters, error_rows, parsed_rows
+from ..schemas import DLQ_COLUMNS, PARSED_COLUMNS
+from .kafka import TOPICS, record_text, sink_options
 
 # Columns of the combined table the three outputs are written to in one pass.
 _COMBINED = [*PARSED_COLUMNS, "_stage", "_reason", "_original", "route"]
@@ -38,14 +38,14 @@ def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
 
 def topic_records(routed: DataFrame) -> DataFrame:
     """Every output row as (topic, key, value): parsed rows keyed by service, dead letters likewise."""
-    def under(rows: DataFrame, topic: str) -> DataFrame:
-        return to_records(rows).select(F.lit(topic).alias("topic"), "key", "value")
-
-    return (
-        under(parsed_rows(routed), TOPICS["parsed"])
-        .unionByName(under(error_rows(routed), TOPICS["errors"]))
-        .unionByName(under(dead_letters(routed), TOPICS["dlq"]))
-    )
+    rows = routed.select("route", *PARSED_COLUMNS, F.struct(*dead_letter_columns()).alias("_letter"))
+    letter = record_text({c: F.col(f"_letter.{c}") for c in DLQ_COLUMNS})
+    whole = record_text({c: F.col(c) for c in PARSED_COLUMNS})
+    topic = F.col("route")
+    for name in ("parsed", "errors", "dlq"):
+        topic = F.when(F.col("route") == name, TOPICS[name]).otherwise(topic)
+    return rows.select(topic.alias("topic"), F.col("service").cast("string").alias("key"),
+                       F.when(F.col("route") == "dlq", letter).otherwise(whole).alias("value"))
 
 
 def write_topics(routed: DataFrame, servers: str) -> None:

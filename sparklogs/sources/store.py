@@ -11,6 +11,10 @@ from ..operators.dedupe import latest_copy
 from ..schemas import PARSED_COLUMNS, PARSED_SCHEMA, TIME_COLUMNS
 
 STORED_COLUMNS = [*PARSED_COLUMNS, "stored_at"]
+_TIER_SCHEMA = T.StructType([
+    *PARSED_SCHEMA, T.StructField("stored_at", T.TimestampType()),
+    T.StructField("event_date", T.DateType()), T.StructField("batch", T.StringType()),
+])
 
 
 def typed_rows(rows: DataFrame, stored_at: Column) -> DataFrame:
@@ -52,11 +56,7 @@ def append_hot(rows: DataFrame, root: str, stored_at: Column | None = None, batc
 def read_tier(spark: SparkSession, root: str, tier: str) -> DataFrame:
     """Rows of `hot` or `cold`; an empty frame when the tier does not exist yet."""
     path = f"{root}/{tier}"
-    schema = T.StructType([
-        *PARSED_SCHEMA, T.StructField("stored_at", T.TimestampType()),
-        T.StructField("event_date", T.DateType()), T.StructField("batch", T.StringType()),
-    ])
-    frame = spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+    frame = spark.read.schema(_TIER_SCHEMA).parquet(path) if _exists(spark, path) else spark.createDataFrame([], _TIER_SCHEMA)
     return frame.select(*STORED_COLUMNS, "event_date")
 
 
@@ -88,24 +88,35 @@ def move_to_cold(spark: SparkSession, root: str, as_of_day: str, hot_days: int =
 
     Days are written to cold first and dropped from hot after. Rows that are in cold already are not
     written again, so a run that failed half-way can simply be repeated, and late rows of a day moved
-    before join it.
+    before join it. Only the batches that were there at the start are read and dropped: one that lands in
+    the day meanwhile stays hot until the next move.
     """
     limit = _day_before(as_of_day, hot_days)
-    moved = [day for day in days(spark, f"{root}/hot") if day < limit]
-    if moved:
-        expired = F.col("event_date") < F.lit(limit).cast("date")
+    found = {day: [b for b in _children(spark, f"{root}/hot/event_date={day}") if b.startswith("batch=")]
+             for day in days(spark, f"{root}/hot") if day < limit}
+    batches = [f"{root}/hot/event_date={day}/{b}" for day, names in found.items() for b in names]
+    if batches:
+        hot = spark.read.schema(_TIER_SCHEMA).option("basePath", f"{root}/hot").parquet(*batches).select(*STORED_COLUMNS, "event_date")
         copy = ["event_date", "event_id", "processed_at"]
-        known = read_tier(spark, root, "cold").filter(expired).select(*copy).distinct()
-        rows = read_tier(spark, root, "hot").filter(expired).join(known, copy, "left_anti")
+        known = read_tier(spark, root, "cold").filter(F.col("event_date") < F.lit(limit).cast("date")).select(
+            *[F.col(c).alias(f"_{c}") for c in copy])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in copy]
+        rows = hot.join(known, same, "left_anti")
         _write_days(cold_form(rows).drop("event_date"), f"{root}/cold", uuid.uuid4().hex)
-        for day in moved:
-            drop_day(spark, f"{root}/hot", day)
-    return moved
+        for path in batches:
+            _delete(spark, path)
+        for day in found:
+            _drop_empty(spark, f"{root}/hot/event_date={day}")
+    return [day for day, names in found.items() if names]
 
 
 def kept(rows: DataFrame, stream: str, as_of: Column, time: str = "timestamp") -> DataFrame:
     """Rows a stream still holds at `as_of` under its retention."""
-    return rows.filter(F.col(time) >= as_of - F.expr(f"INTERVAL {fixed.RETENTION_HOURS[stream]} HOURS"))
+    start = as_of - F.expr(f"INTERVAL {fixed.RETENTION_HOURS[stream]} HOURS")
+    held = rows.filter(F.col(time) >= start)
+    if time == "timestamp" and "event_date" in rows.columns:
+        held = held.filter(F.col("event_date") >= F.to_date(start))
+    return held
 
 
 def drop_expired_days(spark: SparkSession, path: str, stream: str, as_of_day: str) -> list[str]:
@@ -153,6 +164,13 @@ def _delete(spark: SparkSession, path: str) -> None:
     system.delete(hadoop, True)
 
 
+def _drop_empty(spark: SparkSession, path: str) -> None:
+    """Remove a folder that holds nothing; the file system itself refuses any other."""
+    hadoop, system = _folder(spark, path)
+    if not system.listStatus(hadoop):
+        system.delete(hadoop, False)
+
+
 def days(spark: SparkSession, path: str) -> list[str]:
     """Day folders of a table, oldest first."""
     return sorted(name.split("=", 1)[1] for name in _children(spark, path) if name.startswith("event_date="))

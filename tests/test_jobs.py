@@ -252,6 +252,35 @@ def parsed_frame(spark, *rows):
     return spark.createDataFrame([tuple(r[n] for n in store.PARSED_COLUMNS) for r in rows], store.PARSED_SCHEMA)
 
 
+def test_a_batch_that_lands_during_the_move_stays(spark, tmp_path, monkeypatch):
+    root, write = str(tmp_path / "store"), store._write_days
+    store.append_hot(parsed_frame(spark, {**parsed_row(1, 1), "processed_at": None}), root, batch="1")
+
+    def meanwhile(frame, path, batch):
+        write(frame, path, batch)
+        if path.endswith("/cold"):
+            monkeypatch.setattr(store, "_write_days", write)
+            store.append_hot(parsed_frame(spark, parsed_row(2, 1), {**parsed_row(1, 1), "processed_at": None}), root, batch="2")
+
+    monkeypatch.setattr(store, "_write_days", meanwhile)
+    assert store.move_to_cold(spark, root, "2026-01-20") == ["2026-01-01"]
+    assert sorted(r.tier for r in store.read_store(spark, root).collect()) == ["cold", "hot", "hot"]
+    # The copy without a processing time is known in cold already.
+    store.move_to_cold(spark, root, "2026-01-20")
+    assert [r.tier for r in store.read_store(spark, root).collect()] == ["cold", "cold"]
+    assert store.days(spark, f"{root}/hot") == []
+
+
+def test_day_filters_reach_the_scan(spark, tmp_path, capsys):
+    root = str(tmp_path / "store")
+    store.append_hot(parsed_frame(spark, parsed_row(1, 1)), root, batch="1")
+    as_of = F.lit("2026-01-02").cast("timestamp")
+    final = store.read_store(spark, root, final=True)
+    for frame in (reports.time_filter(final, as_of), alerts.error_rate_now(final, as_of), store.kept(final, "parsed", as_of)):
+        frame.explain("formatted")
+        assert "event_date" in capsys.readouterr().out.split("PartitionFilters: [")[1].split("\n")[0]
+
+
 def test_store_repeats_tiers_and_compacts(spark, tmp_path):
     root = str(tmp_path / "store")
     frame = parsed_frame(spark, *[parsed_row(i, 1 + i % 20) for i in range(40)])
