@@ -23,12 +23,8 @@ SERVICE_BY_SEGMENT = {
 ROOT_SERVICE = "portal-web"
 FALLBACK_SERVICES = ["portal-web", "search-api", "media-service"]
 HOSTS = ["web-01", "web-02", "web-03", "web-04", "web-05", "web-06"]
-DEFAULT_SALT = "logpipe-dev-salt"
 REQUIRED_RAW_FIELDS = ["event_id", "host", "service", "source_format", "raw_message"]
 SOURCE_FORMATS = ["nginx_combined", "json_app"]
-MAX_BODY_BYTES = 10 * 1024 * 1024
-MAX_BODY_LINES = 10_000
-MAX_REPORTED_ERRORS = 20
 
 # ---- JSON application logs: names a field may go by, in order of preference -----------------
 TIMESTAMP_KEYS = ["timestamp", "time", "@timestamp", "ts", "eventTime"]
@@ -99,7 +95,6 @@ ERROR_STAGES = ["decode", "parse", "enrich", "validate", "produce"]
 # ---- page-edit feed -------------------------------------------------------------------------
 REVERT_WORDS = ["revert", "reverted", "undo", "undid", "rollback", "rvv"]
 STATUS_BY_CHANGE = {"edit": 200, "new": 201, "log": 204, "categorize": 304}
-MAX_COMMENT_CHARS = 500
 
 # ---- metrics, alerts, retention -------------------------------------------------------------
 EVENT_SECONDS_BOUNDS = [0.0001, 0.00025, 0.0005, 0.001, 0.0025, 0.005, 0.01, 0.05, 0.1]

@@ -11,7 +11,7 @@ CREDENTIAL = rf"(?iu){EDGE}(?:Bearer|token|api[_-]?key)[{SPACE}]*[=:]?[{SPACE}]*
 NUMBER = rf"{EDGE}(?:\p{{Nd}}[ -]?){{13,19}}{EDGE}"
 
 
-def client_hash(client: Column, salt: str = fixed.DEFAULT_SALT) -> Column:
+def client_hash(client: Column, salt: str) -> Column:
     """Salted hash of a client; null for null and for empty text."""
     return F.when(client != "", F.substring(F.sha2(F.concat(F.lit(f"{salt}|"), client), 256), 1, 32))
 

@@ -51,12 +51,14 @@ def iso_timestamp(text: Column) -> Column:
     times and short offsets are first rewritten to it.
     """
     text = strip(text)
-    parts = F.regexp_replace(text, _ISO_ANY, _ISO_PARTS)
+    # A day with a zone of Z alone is its midnight.
+    bare = F.regexp_replace(text, "^([0-9-]{8,10})Z$", "$1")
+    parts = F.regexp_replace(bare, _ISO_ANY, _ISO_PARTS)
     # Empty fields are zero: "2026-07-30 10::.|:" is ten o'clock UTC.
     for pattern, filled in _ISO_GAPS:
         parts = F.regexp_replace(parts, pattern, filled)
     return F.when(text.rlike(_ISO_USUAL), text.try_cast("timestamp")).when(
-        text.rlike(_ISO_ANY), parts.try_cast("timestamp")
+        bare.rlike(_ISO_ANY), parts.try_cast("timestamp")
     )
 
 

@@ -61,8 +61,8 @@ def build_envelope(
     ))
 
 
-def check_bodies(lines: DataFrame, body: str, longest: int = fixed.MAX_BODY_LINES) -> DataFrame:
-    """Add `too_many`: true for every line of a body with more lines than allowed.
+def check_bodies(lines: DataFrame, body: str, longest: int) -> DataFrame:
+    """Add `too_many`: true for every line of a body with more lines than allowed; `judge_json` rejects these.
 
     Lines per body are counted with partial aggregation; the counts come back by a join.
     """
@@ -74,7 +74,8 @@ def judge_json(lines: DataFrame, line: str = "value", as_of: Column | None = Non
     """JSON application logs at the door: `reject` (null: accepted), `error`, and the line to forward.
 
     Accepted lines are minified; one without a usable time gets `as_of` as its timestamp and is flagged
-    in `timestamp_defaulted`. A time that is there is never touched.
+    in `timestamp_defaulted`. A time that is there is never touched. Lines marked `too_many` by `check_bodies` are
+    rejected whatever they hold, so that every report tells the same.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     extra = [c for c in lines.columns if c != line]
@@ -86,8 +87,10 @@ def judge_json(lines: DataFrame, line: str = "value", as_of: Column | None = Non
     frame = frame.withColumn("_timed", F.when(
         F.col("_ok"), J.first_truthy(F.col("_json"), fixed.TIMESTAMP_KEYS).isNotNull()))
     reject = F.when(~F.col("_ok"), F.when(J.is_json(text), "not_an_object").otherwise("invalid_json"))
+    if "too_many" in extra:
+        reject = F.when(F.col("too_many"), "too_many_lines").otherwise(reject)
     reason = F.when(F.col("_reject") == "not_an_object", "not a JSON object").when(
-        F.col("_reject") == "invalid_json", "invalid JSON")
+        F.col("_reject") == "invalid_json", "invalid JSON").when(F.col("_reject") == "too_many_lines", "too many lines")
     stamped = F.concat(
         F.regexp_replace(F.col("_short"), r"\}$", ""),
         F.when(F.col("_short") == "{}", "").otherwise(","),
@@ -101,13 +104,13 @@ def judge_json(lines: DataFrame, line: str = "value", as_of: Column | None = Non
             F.when(F.col("_ok"), F.when(F.col("_timed"), F.col("_short")).otherwise(stamped)).otherwise(text).alias(line),
             F.col("_reject").alias("reject"),
             reason.alias("error"),
-            F.coalesce(~F.col("_timed"), F.lit(False)).alias("timestamp_defaulted"),
+            F.coalesce(~F.col("_timed") & F.col("_reject").isNull(), F.lit(False)).alias("timestamp_defaulted"),
         ))
     )
 
 
 def accepted_lines(judged: DataFrame) -> DataFrame:
-    return judged.filter(F.col("reject").isNull()).drop("reject", "error", "timestamp_defaulted")
+    return judged.filter(F.col("reject").isNull()).drop("reject", "error", "timestamp_defaulted", "too_many")
 
 
 def intake_report(judged: DataFrame, body: str) -> DataFrame:
@@ -119,17 +122,17 @@ def intake_report(judged: DataFrame, body: str) -> DataFrame:
     )
 
 
-def intake_errors(judged: DataFrame, body: str, line: str, most: int = fixed.MAX_REPORTED_ERRORS) -> DataFrame:
-    """The first rejected lines of each body, as many as a report lists."""
+def intake_errors(judged: DataFrame, body: str, line: str, most: int | None = None) -> DataFrame:
+    """The rejected lines of each body; with `most`, only so many from its start."""
     first = F.row_number().over(Window.partitionBy(body).orderBy(line))
     bad = judged.filter(F.col("reject").isNotNull()).select(body, line, "error")
+    if most is None:
+        return bad
     return bad.withColumn("_n", first).filter(F.col("_n") <= most).drop("_n")
 
 
 def rejects_by_reason(judged: DataFrame) -> DataFrame:
-    reason = F.when(F.col("too_many"), "too_many_lines").otherwise(F.col("reject")) \
-        if "too_many" in judged.columns else F.col("reject")
-    return judged.select(reason.alias("reason")).filter(F.col("reason").isNotNull()).groupBy("reason").agg(
+    return judged.select(F.col("reject").alias("reason")).filter(F.col("reason").isNotNull()).groupBy("reason").agg(
         F.count("*").alias("lines"))
 
 

@@ -22,7 +22,8 @@ _WORK = ["_stage", "_reason", "_bad_types", "_original"]
 
 @dataclass(frozen=True)
 class Options:
-    salt: str = fixed.DEFAULT_SALT
+    # Secret of the deployment; client hashes can be guessed by whoever knows it.
+    salt: str
     keep_client: bool = True
     # Parsers by source format, in place of or besides the registered ones.
     parsers: Mapping[str, Parser] | None = None
@@ -92,7 +93,7 @@ def accept(raw: DataFrame) -> DataFrame:
     )
 
 
-def process(raw: DataFrame, as_of: Column, options: Options = Options()) -> DataFrame:
+def process(raw: DataFrame, as_of: Column, options: Options) -> DataFrame:
     """Parse, enrich, redact and validate. Takes `decode` or `accept` output, or plain raw columns.
 
     The result has the parsed columns, `_stage` and `_reason` of the first failure (null: none) and the

@@ -32,7 +32,7 @@ def conservation(raw: DataFrame, routed: DataFrame) -> DataFrame:
         (consumed == F.col("parsed") + F.col("dead_lettered")).alias("balanced"))
 
 
-def replay(dead: DataFrame, stored: DataFrame, as_of: Column, options: Options = Options()) -> DataFrame:
+def replay(dead: DataFrame, stored: DataFrame, as_of: Column, options: Options) -> DataFrame:
     """Parsed rows from dead letters under today's parsers, without those stored already."""
     again = route(process(decode(dead.select(F.col("original").alias("value"))), as_of, options))
     return parsed_rows(again).join(stored.select("event_id"), "event_id", "left_anti")

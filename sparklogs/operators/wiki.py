@@ -48,7 +48,7 @@ def skipped_by_reason(changes: DataFrame, **choice) -> DataFrame:
 
 
 def map_changes(changes: DataFrame, extra: tuple[str, ...] = (), **choice) -> DataFrame:
-    """Changes as application-log fields; those with a skip reason are left out."""
+    """Changes as application-log fields, comments whole; those with a skip reason are left out."""
     kind = F.coalesce("type", F.lit("unknown"))
     comment, title = F.coalesce("comment", F.lit("")), F.coalesce("title", F.lit(""))
     epoch = F.date_format(F.timestamp_seconds("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -58,7 +58,7 @@ def map_changes(changes: DataFrame, extra: tuple[str, ...] = (), **choice) -> Da
         "service": F.coalesce(filled("server_name"), filled("meta.domain")),
         "host": F.coalesce(filled("wiki"), F.lit("wikimedia")),
         "level": F.when(is_revert(comment), "WARN").when(bot, "DEBUG").otherwise("INFO"),
-        "message": F.when(comment != "", F.substring(comment, 1, fixed.MAX_COMMENT_CHARS)).otherwise(
+        "message": F.when(comment != "", comment).otherwise(
             F.concat(kind, F.lit(" on "), title)),
         "client_ip": F.col("user"),
         "http_method": F.when(kind.isin("edit", "new"), "POST").otherwise("GET"),

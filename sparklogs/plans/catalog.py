@@ -84,7 +84,7 @@ def parse_json_app(spark, sf_dir):
 
 @query("process_events", f"""WITH {O.RAW_JSON}
 SELECT id, event_id, {_SECOND} AS timestamp, ingested_at, host, service, coalesce(client_ip, 'unknown') AS client_ip,
-  substr(sha256('{fixed.DEFAULT_SALT}|' || coalesce(client_ip, 'unknown')), 1, 32) AS client_ip_hash,
+  substr(sha256('{X.OPTIONS.salt}|' || coalesce(client_ip, 'unknown')), 1, 32) AS client_ip_hash,
   CASE id % 6 WHEN 2 THEN 'JP' WHEN 4 THEN 'US' END AS geo_country,
   CASE id % 6 WHEN 0 THEN 'private' WHEN 2 THEN 'tld' WHEN 4 THEN 'tld' ELSE 'unresolved' END AS geo_source,
   path, status_code, response_bytes, response_time_ms, log_level, is_error
@@ -97,11 +97,11 @@ def process_events(spark, sf_dir):
 
 
 def _routed_json(spark, sf_dir):
-    return pipeline.route(pipeline.process(pipeline.decode(X.raw_json(spark, sf_dir)), as_of()))
+    return pipeline.route(pipeline.process(pipeline.decode(X.raw_json(spark, sf_dir)), as_of(), X.OPTIONS))
 
 
 def _routed_lines(spark, sf_dir):
-    return pipeline.route(pipeline.process(X.log_lines(spark, sf_dir), as_of()))
+    return pipeline.route(pipeline.process(X.log_lines(spark, sf_dir), as_of(), X.OPTIONS))
 
 
 @query("decode_validate_dlq", f"""WITH {O.RAW_JSON}
@@ -111,7 +111,7 @@ SELECT id, CASE WHEN stage <> 'decode' THEN event_id END AS event_id, stage AS e
     WHEN id % 60 = 33 THEN 'envelope missing required field(s): host'
     WHEN stage = 'decode' THEN 'envelope missing required field(s): raw_message'
     WHEN stage = 'validate' THEN 'status_code: is greater than 599'
-    WHEN (id // 20) % 8 = 3 THEN 'malformed request line '''''
+    WHEN (id // 20) % {len(X.BROKEN_LINES)} = 2 THEN 'malformed request line ''/depot/7'''
     ELSE 'does not match access-log format' END AS error_reason,
   {_AS_OF_SQL} AS failed_at
 FROM raw_json WHERE stage IS NOT NULL""")
@@ -164,7 +164,7 @@ FROM log_lines WHERE stage IS NOT NULL GROUP BY 1, 2""")
 def failures_over_time(spark, sf_dir):
     """Dead letters by hour of arrival and stage."""
     lines = X.log_lines(spark, sf_dir)
-    dead = pipeline.dead_letters(pipeline.route(pipeline.process(lines, F.col("ingested_at").cast("timestamp"))))
+    dead = pipeline.dead_letters(pipeline.route(pipeline.process(lines, F.col("ingested_at").cast("timestamp"), X.OPTIONS)))
     return metrics.failures_over_time(dead, "1 hour")
 
 
@@ -251,10 +251,8 @@ def intake_report(spark, sf_dir):
     return intake.intake_report(_judged(spark, sf_dir), "body")
 
 
-@query("intake_errors", f"""WITH {O.JSON_LINES}, bad AS (
-  SELECT id // 1000 AS body, id % 1000 + 1 AS line, row_number() OVER (PARTITION BY id // 1000 ORDER BY id) AS n
-  FROM json_lines WHERE cut)
-SELECT body, line, 'invalid JSON' AS error FROM bad WHERE n <= 20""")
+@query("intake_errors", f"""WITH {O.JSON_LINES}
+SELECT id // 1000 AS body, id % 1000 + 1 AS line, 'invalid JSON' AS error FROM json_lines WHERE cut""")
 def intake_errors(spark, sf_dir):
     return intake.intake_errors(_judged(spark, sf_dir), "body", "line")
 
@@ -306,13 +304,15 @@ def read_ndjson(spark, sf_dir):
 
 @query("json_array_items", f"""WITH {O.JSON_LINES}, items AS (
   SELECT id, CAST(1 AS INTEGER) AS line, 'object' AS kind FROM json_lines WHERE NOT cut
-  UNION ALL SELECT id, 2, 'number' FROM json_lines WHERE NOT cut)
+  UNION ALL SELECT id, 2, 'number' FROM json_lines WHERE NOT cut
+  UNION ALL SELECT id, 1, 'broken' FROM json_lines WHERE cut)
 SELECT id, line, kind FROM items""")
 def json_array_items(spark, sf_dir):
     text = F.concat(F.lit("["), F.col("raw_message"), F.lit(", "), F.col("id"), F.lit("]"))
     arrays = X.json_lines(spark, sf_dir).select("id", text.alias("text"))
-    items = files.json_array_items(arrays, "text").filter(F.col("value").isNotNull())
-    return items.select("id", "line", F.when(F.col("value").startswith("{"), "object").otherwise("number").alias("kind"))
+    value = F.col("value")
+    kind = F.when(value.startswith("{"), "object").when(value.startswith("["), "broken").otherwise("number")
+    return files.json_array_items(arrays, "text").select("id", "line", kind.alias("kind"))
 
 
 # ---- enrich, redact -------------------------------------------------------------------------
@@ -358,9 +358,9 @@ def path_group(spark, sf_dir):
 
 
 @query("client_hash", f"""WITH {O.PARSED}
-SELECT id, substr(sha256('{fixed.DEFAULT_SALT}|' || client_ip), 1, 32) AS client_ip_hash FROM parsed""")
+SELECT id, substr(sha256('{X.OPTIONS.salt}|' || client_ip), 1, 32) AS client_ip_hash FROM parsed""")
 def client_hash(spark, sf_dir):
-    return X.parsed(spark, sf_dir).select("id", redact.client_hash(F.col("client_ip")).alias("client_ip_hash"))
+    return X.parsed(spark, sf_dir).select("id", redact.client_hash(F.col("client_ip"), X.OPTIONS.salt).alias("client_ip_hash"))
 
 
 # The word boundary of DuckDB's patterns knows ASCII letters only: letters beyond them that touch a
@@ -382,7 +382,7 @@ def scrub_text(spark, sf_dir):
 SELECT CASE WHEN stage IS NOT NULL THEN 'dead_letter' WHEN is_error OR log_level IN ('ERROR', 'FATAL') OR status_code >= 500
     THEN 'error' WHEN log_level = 'WARN' THEN 'warn' ELSE 'info' END AS class, count(*) AS n FROM log_lines GROUP BY 1""")
 def live_class(spark, sf_dir):
-    rows = pipeline.process(X.log_lines(spark, sf_dir), as_of())
+    rows = pipeline.process(X.log_lines(spark, sf_dir), as_of(), X.OPTIONS)
     kind = enrich.live_class(F.col("_stage"), F.col("log_level"), F.col("is_error"), F.col("status_code"))
     return rows.groupBy(kind.alias("class")).agg(F.count("*").alias("n"))
 
@@ -570,10 +570,10 @@ SELECT event_id, {_SECOND} AS timestamp, service FROM json_lines WHERE id % 3 =
 def dlq_replay(spark, sf_dir):
     """A third of the clients call their time `when`, which no parser knew; odd ids were replayed before."""
     lines = X.json_lines(spark, sf_dir).withColumn("raw_message", F.replace("raw_message", F.lit('"ts":'), F.lit('"when":')))
-    dead = pipeline.dead_letters(pipeline.route(pipeline.process(lines, as_of())))
+    dead = pipeline.dead_letters(pipeline.route(pipeline.process(lines, as_of(), X.OPTIONS)))
     stored = X.parsed(spark, sf_dir).filter("id % 2 = 1").select("event_id")
     knows_when = json_app_parser(timestamp=[*fixed.TIMESTAMP_KEYS, "when"])
-    again = recon.replay(dead, stored, as_of(), pipeline.Options(parsers={"json_app": knows_when}))
+    again = recon.replay(dead, stored, as_of(), pipeline.Options(salt=X.OPTIONS.salt, parsers={"json_app": knows_when}))
     return again.select("event_id", "timestamp", "service")
 
 
@@ -668,7 +668,7 @@ SELECT event_id, stage AS error_stage, ingested_at AS failed_at FROM log_lines W
 ORDER BY ingested_at DESC LIMIT 20""")
 def peek(spark, sf_dir):
     lines = X.log_lines(spark, sf_dir)
-    dead = pipeline.dead_letters(pipeline.route(pipeline.process(lines, F.col("ingested_at").cast("timestamp"))))
+    dead = pipeline.dead_letters(pipeline.route(pipeline.process(lines, F.col("ingested_at").cast("timestamp"), X.OPTIONS)))
     return metrics.peek(dead.select("event_id", "error_stage", "failed_at"), 20, "failed_at")
 
 
@@ -874,7 +874,7 @@ def dlq_alert(spark, sf_dir):
 @query("wiki_map", f"""WITH {O.CHANGES}
 SELECT p AS page_id, strftime(make_timestamp((p * 60 + 1704067200) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS timestamp,
   server_name AS service, coalesce(wiki, 'wikimedia') AS host, level,
-  CASE WHEN coalesce(comment, '') <> '' THEN substr(comment, 1, 500) ELSE kind || ' on ' || title END AS message,
+  CASE WHEN coalesce(comment, '') <> '' THEN comment ELSE kind || ' on ' || title END AS message,
   usr AS client_ip, CASE WHEN kind IN ('edit', 'new') THEN 'POST' ELSE 'GET' END AS http_method,
   '/wiki/' || replace(replace(url_encode(replace(title, ' ', '_')), '%2F', '/'), '%3A', ':') AS path,
   CAST(CASE kind WHEN 'new' THEN 201 WHEN 'log' THEN 204 WHEN 'categorize' THEN 304 ELSE 200 END AS INTEGER) AS status_code,
@@ -913,7 +913,7 @@ def wiki_parsed(spark, sf_dir):
     """Page edits through intake and pipeline."""
     lines = wiki.as_json_lines(wiki.map_changes(X.changes(spark, sf_dir), extra=("page_id",)), extra=("page_id",))
     raw = intake.build_envelope(lines, "json_app", as_of(), rewrite=False)
-    rows = pipeline.parsed_rows(pipeline.route(pipeline.process(raw, as_of())), extra=("page_id",))
+    rows = pipeline.parsed_rows(pipeline.route(pipeline.process(raw, as_of(), X.OPTIONS)), extra=("page_id",))
     return rows.select("page_id", "service", "timestamp", "log_level")
 
 
@@ -948,8 +948,8 @@ def service_metrics_1m_stream(spark, sf_dir):
 def stream_parse(spark, sf_dir):
     path = scratch_path(spark, "pipeline")
     _finish(jobs.run_pipeline(
-        X.raw_json_from(_event_stream(spark, sf_dir)).select("value"), f"{path}/out", f"{path}/checkpoint", as_of(),
-        trigger=None))
+        X.raw_json_from(_event_stream(spark, sf_dir)).select("value"), f"{path}/out", f"{path}/checkpoint", X.OPTIONS,
+        as_of(), trigger=None))
     return _count_routes(sinks.read_routes(spark, f"{path}/out"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.enrich import is_error
 from ..functions.parsers import level_from_status
+from ..operators.pipeline import Options
 from ..schemas import CHANGE_SCHEMA
 from ..session import spread
 
@@ -85,17 +86,20 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed_from(table(spark, sf_dir, "events"))
 
 
-# One line per way an access line can be broken.
+# The fields of a good access line, and for each that can be wrong a value that makes the line unreadable.
+_FIELDS = {
+    "client": "192.0.2.7", "ident": "-", "user": "-", "stamp": "[{stamp}]", "request": '"PUT /depot/7 HTTP/1.1"',
+    "status": "202", "size": "31",
+}
+_WRONG = {"ident": "", "stamp": "[{stamp}", "request": '"/depot/7"', "status": "2x2", "size": "much"}
+# One line per wrong field, one that ends after its stamp, and one without anything, which has no payload to decode.
 BROKEN_LINES = [
-    '192.0.2.1 - - [{stamp}] "GET /cut',
-    '192.0.2.1 - - {stamp} "GET / HTTP/1.1" 200 1',
-    '192.0.2.1 - - [{stamp}] "GET / HTTP/1.1" 99 1',
-    '192.0.2.1 - - [{stamp}] "" 200 1',
-    "Mar 3 01:02:03 relay kernel: link is down",
-    "\x02\x7f noise \x02",
-    '{{"half": "an object without a time"}}',
+    *[" ".join({**_FIELDS, name: value}.values()) for name, value in _WRONG.items()],
+    " ".join(list(_FIELDS.values())[:4]),
     "",
 ]
+# The salt of client hashes in the queries.
+OPTIONS = Options(salt="salt of the query tables")
 
 
 def log_lines_from(events: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ log_lines AS (
       || CASE WHEN response_time_ms IS NULL THEN ''
          ELSE ' ' || response_time_ms // 1000 || '.' || lpad(CAST(response_time_ms % 1000 AS VARCHAR), 3, '0') END
     END AS raw_message,
-    CASE WHEN id % 20 = 0 THEN CASE WHEN (id // 20) % {len(BROKEN_LINES)} = 7 THEN 'decode' ELSE 'parse' END
+    CASE WHEN id % 20 = 0 THEN CASE WHEN (id // 20) % {len(BROKEN_LINES)} = {len(BROKEN_LINES) - 1} THEN 'decode' ELSE 'parse' END
       WHEN id % 97 = 5 THEN 'validate' END AS stage
   FROM parsed
 )"""

@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .. import fixed
 from ..functions import jsonvalue as J
 from ..functions.text import SPACES
 from ..schemas import CHANGE_SCHEMA
@@ -35,39 +34,56 @@ def read_ndjson(spark: SparkSession, path: str, stream: bool = False, **options)
     return lines.select(F.regexp_replace("value", _BOM, "").alias("value")).filter(_not_blank("value"))
 
 
-def read_bodies(spark: SparkSession, path: str, largest: int = fixed.MAX_BODY_BYTES) -> DataFrame:
+def _whole(spark: SparkSession, path: str, largest: int | None) -> DataFrame:
+    """(body, text) of each file, without a byte-order mark."""
+    files = spark.read.format("text").option("wholetext", True).load(path)
+    if largest is not None:
+        files = files.filter(F.col("_metadata.file_size") <= largest)
+    return files.select(F.col("_metadata.file_path").alias("body"), F.regexp_replace("value", _BOM, "").alias("text"))
+
+
+def _is_array(text: str) -> Column:
+    return F.btrim(F.col(text), F.lit(SPACES)).startswith("[")
+
+
+def read_bodies(spark: SparkSession, path: str, largest: int | None = None) -> DataFrame:
     """One row per non-blank line of each file that is one request body: (body, line, value).
 
-    Files above the size limit are left out before they are opened; `oversized_bodies` lists them.
+    With `largest`, files above that size are left out before they are opened; `oversized_bodies` lists them.
     """
-    files = spark.read.format("text").option("wholetext", True).load(path)
-    bodies = files.filter(F.col("_metadata.file_size") <= largest).select(
-        F.col("_metadata.file_path").alias("body"), F.regexp_replace("value", _BOM, "").alias("text"))
+    bodies = _whole(spark, path, largest)
     split = F.filter(F.split("text", _LINE_END), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    numbered = bodies.filter(~F.ltrim(F.col("text")).startswith("[")).select("body", F.posexplode(split))
+    numbered = bodies.filter(~_is_array("text")).select("body", F.posexplode(split))
     return numbered.select("body", (F.col("pos") + 1).alias("line"), F.col("col").alias("value"))
 
 
-def oversized_bodies(spark: SparkSession, path: str, largest: int = fixed.MAX_BODY_BYTES) -> DataFrame:
+def oversized_bodies(spark: SparkSession, path: str, largest: int) -> DataFrame:
     files = spark.read.format("binaryFile").load(path).select("path", "length")
     return files.filter(F.col("length") > largest)
 
 
-def read_json_array(spark: SparkSession, path: str, largest: int = fixed.MAX_BODY_BYTES) -> DataFrame:
-    """Elements of files that are each one JSON array: (body, line, value), numbered from 1."""
-    files = spark.read.format("text").option("wholetext", True).load(path)
-    bodies = files.filter(F.col("_metadata.file_size") <= largest).select(
-        F.col("_metadata.file_path").alias("body"),
-        F.btrim(F.regexp_replace("value", _BOM, ""), F.lit(SPACES)).alias("text"))
-    return json_array_items(bodies.filter(F.col("text").startswith("[")), "text").select("body", "line", "value")
+def read_json_array(spark: SparkSession, path: str, largest: int | None = None) -> DataFrame:
+    """Elements of files that are each one JSON array: (body, line, value), numbered from 1.
+
+    A file that starts like an array but is none gives one row, its whole text, for intake to reject.
+    """
+    bodies = _whole(spark, path, largest)
+    return json_array_items(bodies.filter(_is_array("text")), "text").select("body", "line", "value")
 
 
 def json_array_items(frame: DataFrame, text: str) -> DataFrame:
-    """One row per element of the JSON array in column `text`: its number from 1 and its JSON text."""
+    """One row per element of the JSON array in column `text`: its number from 1 and its JSON text.
+
+    Text that is not JSON is one row as it is; an empty array has none.
+    """
     kept = [c for c in frame.columns if c != text]
-    parsed = frame.select(*kept, F.when(J.is_json(F.col(text)), F.try_parse_json(text)).alias("_items"))
-    elements = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("_items").outer()))
-    return elements.select(*kept, (F.col("pos") + 1).alias("line"), F.to_json("value").alias("value"))
+    bare = F.btrim(F.col(text), F.lit(SPACES))
+    items = F.when(J.is_json(bare), F.try_parse_json(bare))
+    parsed = frame.select(*kept, items.alias("_items"), F.when(items.isNull(), F.col(text)).alias("_broken"))
+    elements = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode_outer(F.col("_items").outer()))
+    elements = elements.filter(F.col("value").isNotNull() | F.col("_broken").isNotNull())
+    return elements.select(*kept, F.coalesce(F.col("pos") + 1, F.lit(1)).alias("line"),
+                           F.coalesce("_broken", F.to_json("value")).alias("value"))
 
 
 def read_changes(spark: SparkSession, path: str, stream: bool = False, **options) -> DataFrame:

@@ -1,6 +1,7 @@
 """Options and frames for topics. The connector itself is a package of the cluster."""
 
 import os
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -8,7 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.text import iso_text
 from ..schemas import PARSED_TEXT_SCHEMA, TIME_COLUMNS
 
-PROTOCOLS = ["PLAINTEXT", "SASL_PLAINTEXT", "SASL_SSL", "SSL"]
+_SECURITY = "org.apache.kafka.common.security"
+LOGIN_MODULES = {
+    "PLAIN": f"{_SECURITY}.plain.PlainLoginModule",
+    "SCRAM-SHA-256": f"{_SECURITY}.scram.ScramLoginModule",
+    "SCRAM-SHA-512": f"{_SECURITY}.scram.ScramLoginModule",
+}
 # A trigger takes at most this many records; raise it with the size of the cluster.
 MAX_OFFSETS_PER_TRIGGER = 65_536
 TOPICS = {
@@ -20,32 +26,43 @@ WINDOW_COLUMNS = [
 ]
 
 
+def _login(env: Mapping[str, str]) -> dict[str, str]:
+    names = ["KAFKA_SASL_USERNAME", "KAFKA_SASL_PASSWORD"]
+    missing = [name for name in names if not env.get(name)]
+    if missing:
+        raise ValueError(f"a login needs {' and '.join(missing)}")
+    # Quoted, so that no character of a credential can end its value or add an option.
+    user, password = (re.sub(r'([\\"])', r"\\\1", env[name]) for name in names)
+    mechanism = env.get("KAFKA_SASL_MECHANISM", "PLAIN")
+    module = LOGIN_MODULES.get(mechanism)
+    if module is None:
+        raise ValueError(f"no login module for mechanism {mechanism!r}")
+    return {
+        "kafka.sasl.mechanism": mechanism,
+        "kafka.sasl.jaas.config": f'{module} required username="{user}" password="{password}";',
+    }
+
+
+def _certificate(env: Mapping[str, str]) -> dict[str, str]:
+    authority, unchecked = env.get("KAFKA_SSL_CA_LOCATION"), env.get("KAFKA_SSL_SKIP_VERIFY") == "1"
+    return ({"kafka.ssl.truststore.type": "PEM", "kafka.ssl.truststore.location": authority} if authority else {}) | (
+        {"kafka.ssl.endpoint.identification.algorithm": ""} if unchecked else {})
+
+
+# What a protocol adds to a plain connection.
+PROTOCOLS = {"PLAINTEXT": [], "SSL": [_certificate], "SASL_PLAINTEXT": [_login], "SASL_SSL": [_login, _certificate]}
+
+
 def security_options(env: Mapping[str, str] | None = None) -> dict[str, str]:
     """Connection options from the environment; unknown protocols and missing credentials are refused."""
     env = os.environ if env is None else env
     protocol = env.get("KAFKA_SECURITY_PROTOCOL", "PLAINTEXT").upper()
     if protocol not in PROTOCOLS:
-        raise ValueError(f"KAFKA_SECURITY_PROTOCOL {protocol!r} is not one of {PROTOCOLS}")
-    options: dict[str, str] = {}
-    if protocol == "PLAINTEXT":
-        return options
-    options["kafka.security.protocol"] = protocol
-    if protocol.startswith("SASL"):
-        user, password = env.get("KAFKA_SASL_USERNAME"), env.get("KAFKA_SASL_PASSWORD")
-        if not user or not password:
-            raise ValueError(f"{protocol} needs KAFKA_SASL_USERNAME and KAFKA_SASL_PASSWORD")
-        mechanism = env.get("KAFKA_SASL_MECHANISM", "PLAIN")
-        module = "plain.PlainLoginModule" if mechanism == "PLAIN" else "scram.ScramLoginModule"
-        options["kafka.sasl.mechanism"] = mechanism
-        user, password = (value.replace("\\", "\\\\").replace('"', '\\"') for value in (user, password))
-        options["kafka.sasl.jaas.config"] = (
-            f'org.apache.kafka.common.security.{module} required username="{user}" password="{password}";')
-    if protocol.endswith("SSL"):
-        if env.get("KAFKA_SSL_CA_LOCATION"):
-            options["kafka.ssl.truststore.type"] = "PEM"
-            options["kafka.ssl.truststore.location"] = env["KAFKA_SSL_CA_LOCATION"]
-        if env.get("KAFKA_SSL_SKIP_VERIFY", "0") == "1":
-            options["kafka.ssl.endpoint.identification.algorithm"] = ""
+        raise ValueError(f"KAFKA_SECURITY_PROTOCOL {protocol!r} is not one of {list(PROTOCOLS)}")
+    parts = PROTOCOLS[protocol]
+    options = {"kafka.security.protocol": protocol} if parts else {}
+    for part in parts:
+        options |= part(env)
     return options
 
 

@@ -37,7 +37,7 @@ def run_windowed_metrics(
 
 
 def run_pipeline(
-    values: DataFrame, out: str, checkpoint: str, as_of: Column | None = None, options: Options = Options(),
+    values: DataFrame, out: str, checkpoint: str, options: Options, as_of: Column | None = None,
     trigger: str | None = TRIGGER, write: Callable[[DataFrame, str, str], None] = write_routes,
 ) -> StreamingQuery:
     """Envelopes to outputs, at least once: a batch is done when its write is, and a batch that is

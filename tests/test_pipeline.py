@@ -1,10 +1,12 @@
 import hashlib
 import ipaddress
+import itertools
 import random
 import re
 
 from pyspark.sql import functions as F
 
+from sparklogs import fixed
 from sparklogs.functions import enrich, redact
 from sparklogs.functions.validate import check_columns, first_problem
 from sparklogs.operators import dedupe, pipeline, recon
@@ -27,15 +29,18 @@ def geo(spark, clients):
 
 
 def test_private_addresses(spark):
-    clients = ["10.0.4.12", "192.168.1.1", "172.16.0.5", "127.0.0.1", "169.254.10.1", "203.0.113.9", "198.51.100.4"]
+    ends = [str(address) for block in fixed.PRIVATE_IPV4 for address in (ipaddress.ip_network(block)[0], ipaddress.ip_network(block)[-1])]
+    clients = [c for c in ends if c not in fixed.GLOBAL_IPV4]
     assert geo(spark, clients) == [(None, "private")] * len(clients)
+    assert geo(spark, fixed.GLOBAL_IPV4) == [(None, "unresolved")] * len(fixed.GLOBAL_IPV4)
 
 
 def test_countries(spark):
-    cases = {
-        "kgtyk4.kj.yamagata-u.ac.jp": "JP", "www.example.co.uk": "GB", "host.uni-hamburg.de": "DE", "piweba3y.prodigy.com": None,
-        "nasa.gov": "US", "mit.edu": "US", "HOST.JP": "JP", "jp": "JP", "8.8.8.8": None, "": None, None: None, "a:b.de": "DE",
-    }
+    known = {**fixed.COUNTRY_BY_TLD, **{tld: "US" for tld in fixed.US_ONLY_TLDS}}
+    cases = {form.format(tld): country for tld, country in known.items() if len(tld) == 2 or country == "US"
+             for form in ("{}", "host.{}", "a-1.b.c.{}")}
+    cases |= {name.upper(): country for name, country in cases.items()}
+    cases |= {"host.invalid": None, "host": None, "host.": None, "": None, None: None, "1.1.1.1": None}
     assert geo(spark, list(cases)) == [(c, "tld" if c else "unresolved") for c in cases.values()]
 
 
@@ -61,26 +66,32 @@ def test_addresses_as_in_the_standard_library(spark):
         assert (source if want != "name" else source in ("tld", "unresolved")) == (want if want != "name" else True), text
 
 
-def test_path_group_and_error_flag(spark):
-    paths = {"/shuttle/missions/x.txt": "/shuttle", "/images/logo.gif": "/images", "/": "/", "/search?q=a/b": "/search",
-             None: None, "//x": "/x", "x/y": None}
-    frame = spark.createDataFrame([(p,) for p in paths], "p string")
-    assert [r.g for r in frame.select(enrich.path_group(F.col("p")).alias("g")).collect()] == list(paths.values())
-    flags = [(200, "INFO", False), (404, "WARN", False), (500, "ERROR", True), (None, "ERROR", True), (None, "FATAL", False)]
-    frame = spark.createDataFrame([(s, level) for s, level, _ in flags], "s int, l string")
+def test_path_group(spark):
+    tails = ["", "/", "/x", "/x/y.txt", "?k=/v", "/?k"]
+    cases = {start + name + tail: "/" + name for start in ("/", "//") for name in ("depot", "a.b", "ü") for tail in tails}
+    cases |= {"/": "/", "depot/x": None, "": None, None: None}
+    frame = spark.createDataFrame([(p,) for p in cases], "p string")
+    assert [r.g for r in frame.select(enrich.path_group(F.col("p")).alias("g")).collect()] == list(cases.values())
+
+
+def test_error_flag(spark):
+    cases = list(itertools.product([None, 100, 499, 500, 599], [None, "DEBUG", "WARN", "ERROR", "FATAL"]))
+    frame = spark.createDataFrame(cases, "s int, l string")
     got = [r.e for r in frame.select(enrich.is_error(F.col("s"), F.col("l")).alias("e")).collect()]
-    assert got == [e for *_, e in flags]
+    assert got == [(s or 0) >= 500 or level == "ERROR" for s, level in cases]
 
 
 def test_scrub_as_in_python(spark):
     email = re.compile(r"\b[\w.+-]+@[\w-]+\.[\w.-]+\b")
     credential = re.compile(r"\b(?:Bearer|token|api[_-]?key)\s*[=:]?\s*\S{8,}", re.IGNORECASE)
     number = re.compile(r"\b(?:\d[ -]?){13,19}\b")
-    texts = ["contact alice@example.com now", "Authorization: Bearer sk-abc123def456", "card 4111 1111 1111 1111 charged",
-             "GET /checkout returned 500", "tokenized12345 api-key:abcdefgh", "é4111111111111111 4111111111111111é", "ü@ü.de x",
-             "4111 1111 1111 1111 é", "a.b+c@d-e.f.g.", "", "TOKEN=12345678 x", None]
     rng = random.Random(3)
+    texts = ["", None]
     texts += ["".join(rng.choice("ab1 @.-é_ token9") for _ in range(60)) for _ in range(200)]
+    # Each kind of value, whole and nearly so, between each kind of neighbour.
+    values = ["q.r+s@mail.example.org", "q@ü.example", "bearer ZYXW9876vuts", "Token=ZYXW9876", "API_KEY: ZYXW9876", "token ZYX",
+              *["".join(str(n % 10) + gap for n in range(length)) for length in (12, 13, 19, 20) for gap in ("", " ", "-")]]
+    texts += [left + value + right for value in values for left in ("", "x", "é", "= ") for right in ("", "é", ".", " x")]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = [r.s for r in frame.select("i", redact.scrub_text(F.col("t")).alias("s")).orderBy("i").collect()]
     for text, out in zip(texts, got):
@@ -92,11 +103,14 @@ def test_scrub_as_in_python(spark):
 
 def test_client_hash(spark):
     row = spark.createDataFrame([("203.0.113.9", "", None)], "a string, b string, c string").select(
-        *[redact.client_hash(F.col(c)).alias(c) for c in "abc"]).first()
-    assert row.a == hashlib.sha256(b"logpipe-dev-salt|203.0.113.9").hexdigest()[:32]
+        *[redact.client_hash(F.col(c), "pinch").alias(c) for c in "abc"]).first()
+    assert row.a == hashlib.sha256(b"pinch|203.0.113.9").hexdigest()[:32]
     assert row.b is None and row.c is None
 
 
+OPTIONS = pipeline.Options(salt="pinch")
+
+
 def raw(spark, rows):
     names = "event_id string, ingested_at string, host string, service string, source_format string, raw_message string"
     return spark.createDataFrame(rows, names)
@@ -135,7 +149,7 @@ def test_decode_failures(spark):
         (good.replace("abcdefgh", "abc").encode(), "event_id: is shorter than 8"),
     ]
     frame = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(payloads)], "i int, value binary")
-    rows = pipeline.process(pipeline.decode(frame), at(AS_OF)).orderBy("i").collect()
+    rows = pipeline.process(pipeline.decode(frame), at(AS_OF), OPTIONS).orderBy("i").collect()
     assert [r["_reason"] for r in rows] == [reason for _, reason in payloads]
     assert [r["_stage"] for r in rows] == [None] + ["decode"] * 6 + ["validate"] * 3
     assert rows[0].event_id == "abcdefgh" and rows[0].geo_country == "JP" and rows[0].path_group == "/a"
@@ -143,17 +157,17 @@ def test_decode_failures(spark):
 
 def test_dead_letters_keep_the_original(spark):
     rows = [("event-0001", "2026", "h", "s", "nginx_combined", "x" * 20000), ("event-0002", "2026", "h", "s", "odd", "y")]
-    dead = pipeline.dead_letters(pipeline.route(pipeline.process(raw(spark, rows), at(AS_OF)))).orderBy("event_id").collect()
+    dead = pipeline.dead_letters(pipeline.route(pipeline.process(raw(spark, rows), at(AS_OF), OPTIONS))).orderBy("event_id").collect()
     assert [d.error_stage for d in dead] == ["parse", "parse"]
     assert "x" * 20000 in dead[0].original and dead[1].service == "s"
     text = spark.createDataFrame([("z" * 20000,)], "value string")
-    (letter,) = pipeline.dead_letters(pipeline.route(pipeline.process(pipeline.decode(text), at(AS_OF)))).collect()
+    (letter,) = pipeline.dead_letters(pipeline.route(pipeline.process(pipeline.decode(text), at(AS_OF), OPTIONS))).collect()
     assert letter.original == "z" * 20000 and letter.event_id is None and letter.service is None
 
 
 def test_client_can_be_dropped(spark):
     rows = [("event-0001", "2026-07-30T10:15:32Z", "h", "s", "nginx_combined", LINE)]
-    out = pipeline.process(raw(spark, rows), at(AS_OF), pipeline.Options(keep_client=False)).first()
+    out = pipeline.process(raw(spark, rows), at(AS_OF), pipeline.Options(salt="pinch", keep_client=False)).first()
     assert out.client_ip is None and out.client_ip_hash and out.geo_country == "JP" and out["_stage"] is None
 
 
@@ -163,11 +177,11 @@ def test_nothing_is_lost_and_reruns_change_nothing(spark):
     rows = [(f"event-{i:05d}", "2026-07-30T10:15:32Z", "h", f"s{i % 3}", rng.choice(["nginx_combined", "json_app", "odd"]),
              rng.choice(lines)) for i in range(400)]
     frame = raw(spark, rows).withColumn("id", F.col("event_id"))
-    once = pipeline.route(pipeline.process(frame, at(AS_OF)))
+    once = pipeline.route(pipeline.process(frame, at(AS_OF), OPTIONS))
     balance = recon.conservation(frame, once).first()
     assert balance.balanced and balance.consumed == 400
     parsed = pipeline.parsed_rows(once)
-    again = pipeline.parsed_rows(pipeline.route(pipeline.process(frame, at("2026-08-02"))))
+    again = pipeline.parsed_rows(pipeline.route(pipeline.process(frame, at("2026-08-02"), OPTIONS)))
     final = dedupe.latest_copy(parsed.unionByName(again))
     assert final.count() == parsed.count()
     assert {str(r.processed_at) for r in final.select("processed_at").distinct().collect()} == {"2026-08-02 00:00:00"}
@@ -175,7 +189,7 @@ def test_nothing_is_lost_and_reruns_change_nothing(spark):
 
 def test_later_filters_do_not_repeat_the_parser(spark):
     frame = raw(spark, [("event-0001", "2026", "h", "s", "nginx_combined", LINE)])
-    plan = pipeline.parsed_rows(pipeline.route(pipeline.process(frame, at(AS_OF)))).filter("timestamp > '2026-01-01'")
+    plan = pipeline.parsed_rows(pipeline.route(pipeline.process(frame, at(AS_OF), OPTIONS))).filter("timestamp > '2026-01-01'")
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in text.splitlines() if line.strip(" +-:").startswith("Filter")]
     assert filters and not any("regexp_replace" in line for line in filters)
