@@ -4,16 +4,13 @@ Counts of words and word pairs are quantised to levels: count c has level 1 + fl
 holds (n-gram, 1) ... (n-gram, level); a count is read by probing level after level until one is missing, so
 false positives fall off geometrically. P(word | previous) is the pair's discounted
 count by that of the previous word, plus the word's own frequency (smoothed by one) times the mass that pairs leave: what
-discounting and pairs outside the filter hold of all training tokens.
+discounting holds of all training tokens.
 
-Counting: tasks hash and pre-count n-grams in batches, so a frequent n-gram is a few rows per task, and Spark sums them.
-The filter is built in blocks (all bits of an n-gram lie in one): each block is filled by one task, and
-the driver only joins them. Its size follows the number of n-grams up to MAX_BITS; beyond that the least count
-admitted doubles until it fits, the usual pruning, for a proven size of what is broadcast.
-
-The base score needs exact counts. Words counted HEAD_LEAST times or more are broadcast with their counts (the
-least count doubles while there are more than HEAD_WORDS of them); all others of a document are looked up by a join that is pre-counted per document. Words are named by
-64-bit digests.
+Texts are cut into parts of about PART_TOKENS tokens, written as numbers. A part sends each of its distinct n-grams once,
+with its count in the training texts, to the shard of that n-gram, so a frequent n-gram is one row per part. A shard is
+one group: it sums the counts, fills its own filter and answers each part with levels, in the order asked, and with the
+exact counts of words, which the base score needs. All words and pairs are admitted; shards hold about SHARD_GRAMS requests,
+and their number grows with the tokens. Words are named by 64-bit digests.
 
 Nulls and odd rows: a null or empty text has the end token only. A null id is that of the empty text for the split. Repeated rows
 count each. With no training rows all counts are 0; an empty table gives an empty result.
@@ -22,21 +19,20 @@ count each. With no training rows all counts are 0; an empty table gives an empt
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.functions import arrow_udf
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import stored
 
 BASE = 1.5
 DISCOUNT = 0.5
-MAX_BITS = 1 << 28
 BITS_PER_ENTRY, PROBES = 10, 5
 BLOCK_BITS = 1 << 19
-HEAD_LEAST, HEAD_WORDS = 8, 1 << 21
-FLUSH_TOKENS = 1 << 20
+PART_TOKENS, SHARD_GRAMS = 1 << 20, 1 << 21
+HEAD_LEAST = 8  # without use since words are counted in shards; tests set it
 FOLDS, HELD_OUT = 7, 2
 
 _UPPER = bytes(range(0x41, 0x5B))
@@ -80,25 +76,6 @@ def pairs(own: np.ndarray) -> np.ndarray:
     return mixed | np.uint64(1)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    numbers, held, n = _Numbers(), [], 0
-
-    def flush() -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["gram", "n"])
-
-    for batch in batches:
-        for text in batch.column(0):
-            own = tokens(text.as_py(), numbers)
-            held += [own, pairs(own)]
-            n += len(own)
-            if n >= FLUSH_TOKENS:
-                yield flush()
-                held, n = [], 0
-    if held:
-        yield flush()
-
-
 def level_of(count: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(np.maximum(count, 1)) / np.log(BASE) + 1e-9).astype(np.int64)
 
@@ -169,127 +146,127 @@ def _fill(blocks: int):
     return fill
 
 
-class Model:
-    """What is broadcast: the filter, exact counts of the most frequent words, totals."""
-
-    def __init__(self, filter_: Filter, words: np.ndarray, counts: np.ndarray, total: int, distinct: int, back_off: float):
-        order, self.back_off = np.argsort(words), back_off
-        self.filter, self.words, self.counts = filter_, words[order], counts[order]
-        self.total, self.distinct = total, distinct
-
-    def exact(self, words: np.ndarray) -> np.ndarray:
-        """Counts of distinct words, -1 for those outside the head."""
-        if not len(self.words):
-            return np.full(len(words), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, self.counts[at], -1)
-
-    def probabilities(self, own: np.ndarray, at: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """P(token | previous) of every token; own is words[at]."""
-        one = count_of(self.filter.levels(words))[at]
-        end = count_of(self.filter.levels(np.array([_END], np.uint64)))
-        previous = np.concatenate((end, one[:-1]))
-        codes, grams = pd.factorize(pairs(own))
-        together = np.minimum(count_of(self.filter.levels(grams))[codes], np.minimum(previous, one))
-        unigram = (one + 1) / (self.total + self.distinct + 1)
-        seen = np.maximum(together - DISCOUNT, 0) / np.maximum(previous, 1)
-        return np.where(previous > 0, np.minimum(seen + self.back_off * unigram, 1.0), unigram)
-
-
-def train(texts: DataFrame) -> tuple[DataFrame, Model, int]:
-    """The table of counts (gram, n; pairs from 2 on), the model, and the least count of its head of words."""
-    spark = texts.sparkSession
-    raw = texts.select("text").mapInArrow(_count, "gram bigint, n bigint")
-    word = F.col("gram").bitwiseAND(1) == 0
-    # Shuffled as they come: tasks have counted already, another partial count would find little.
-    counts = raw.repartition("gram").groupBy("gram").agg(F.sum("n").alias("n"))
-    counts = stored(counts.filter(word | (F.col("n") > 1)), "lm-counts")
-    level = (1 + F.floor(F.log("n") / F.log(F.lit(BASE)) + 1e-9)).cast("int")
-    power = F.floor(F.log2(F.col("n").cast("double")) + 1e-12).cast("int")
-    rows = counts.groupBy(word.alias("word"), power.alias("power")).agg(
-        F.count("*").alias("grams"), F.sum("n").alias("n"), F.sum(level).alias("entries")).collect()  # 128 rows at most
-    total, distinct = (sum(r[c] for r in rows if r["word"]) for c in ("n", "grams"))
-    least = 1
-    while sum(r["entries"] for r in rows if 1 << r["power"] >= (least if not r["word"] else least // 2)) * BITS_PER_ENTRY > MAX_BITS:
-        least *= 2
-    entries = sum(r["entries"] for r in rows if 1 << r["power"] >= (least if not r["word"] else least // 2))
-    head = HEAD_LEAST
-    while sum(r["grams"] for r in rows if r["word"] and 1 << r["power"] >= head) > HEAD_WORDS:
-        head *= 2
-    blocks = max(1, -(-entries * BITS_PER_ENTRY // BLOCK_BITS))
-    admitted = counts.filter(F.col("n") >= F.when(word, least // 2).otherwise(least))
-    made = Filter(blocks)
-    filled = admitted.repartition(F.shiftrightunsigned("gram", 20) % blocks).mapInArrow(_fill(blocks), "block int, bits binary")
-    for row in filled.toLocalIterator():
-        made.bits[row["block"]] |= np.frombuffer(row["bits"], np.uint8)
-    frequent = counts.filter(word & (F.col("n") >= head)).toArrow()
-    words = frequent["gram"].to_numpy().view(np.uint64) if frequent.num_rows else np.empty(0, np.uint64)
-    n = frequent["n"].to_numpy() if frequent.num_rows else np.empty(0, np.int64)
-    inside = [r for r in rows if not r["word"] and 1 << r["power"] >= least]
-    held = sum(r["n"] for r in inside) - DISCOUNT * sum(r["grams"] for r in inside)
-    model = Model(made, words, n, int(total), int(distinct), 1 - held / max(total, 1))
-    return counts, model, head
-
-
-SCORED = T.StructType([
-    T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()),
-    T.StructField("score", T.DoubleType()), T.StructField("rare", T.ArrayType(T.LongType())), T.StructField("times", T.ArrayType(T.IntegerType()))])
-_SCORED = pa.struct([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()),
-                     ("rare", pa.list_(pa.int64())), ("times", pa.list_(pa.int32()))])
-
-
-def _scorer(broadcast):
-    @arrow_udf(SCORED)
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model, numbers = broadcast.value, _Numbers()
-        log_total = np.log10(model.total + model.distinct + 1)
-
-        def rows(group: list[np.ndarray]) -> list[dict]:
-            """Many texts in one pass: their tokens in a row, each text ended by its end token."""
-            own = np.concatenate(group)
-            at, words = pd.factorize(own)
-            counts = model.exact(words)[at]
-            base = np.where(counts >= 0, np.log10(np.maximum(counts, 0) + 1.0) - log_total, 0.0)
-            logs = np.log10(model.probabilities(own, at, words))
-            out, start = [], 0
-            for part in group:
-                end = start + len(part)
-                c = counts[start:end]
-                rare, times = np.unique(part[c < 0], return_counts=True)
-                out.append({"n_tokens": len(part), "n_known": int((c >= 0).sum()), "base_score": float(base[start:end].sum()),
-                            "score": float(logs[start:end].sum()), "rare": rare.view(np.int64), "times": times.astype(np.int32)})
-                start = end
-            return out
-
-        for texts in batches:
-            out, group, n = [], [], 0
-            for text in texts:
+def _parter(size: int, schema: pa.Schema):
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of whole texts: ids, folds and lengths, tokens as places in the sorted words, the words."""
+        numbers, number = _Numbers(), TaskContext.get().partitionId() << 32
+        for batch in batches:
+            start, group, n = 0, [], 0
+            for i, text in enumerate(batch.column("text")):
                 group.append(tokens(text.as_py(), numbers))
                 n += len(group[-1])
-                if n >= FLUSH_TOKENS // 4:
-                    out += rows(group)
-                    group, n = [], 0
-            yield pa.array(out + (rows(group) if group else []), _SCORED)
+                if n >= size or i + 1 == batch.num_rows:
+                    words, codes = np.unique(np.concatenate(group), return_inverse=True)
+                    offsets = pa.array([0, len(group)], pa.int32())
+                    lists = [pa.ListArray.from_arrays(offsets, pa.concat_arrays([c])) for c in (
+                        batch.column("doc_id").slice(start, len(group)), batch.column("held_out").slice(start, len(group)),
+                        pa.array(map(len, group), pa.int64()))]
+                    own = [pa.array([number]), *lists, pa.array([codes.astype(np.int32).tobytes()]), pa.array([words.tobytes()])]
+                    yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(own, schema)], schema=schema)
+                    start, group, n, number = i + 1, [], 0, number + 1
+
+    return part
+
+
+def _grams(codes: bytes, words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of a part in increasing order, and the places of each token's word and pair."""
+    own = np.frombuffer(words, np.uint64)[np.frombuffer(codes, np.int32)]
+    grams, at = np.unique(np.concatenate((own, pairs(own))), return_inverse=True)
+    return grams, at[:len(own)], at[len(own):]
+
+
+def _asker(bits: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per part and shard (the first bits of an n-gram) the n-grams and their counts in training texts."""
+        for batch in batches:
+            for row in batch.to_pylist():
+                grams, word, pair = _grams(row["codes"], row["words"])
+                trained = np.repeat(~np.array(row["held_out"], bool), row["lengths"])
+                n = np.bincount(word[trained], minlength=len(grams)) + np.bincount(pair[trained], minlength=len(grams))
+                edges = np.searchsorted(grams >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+                cells = [(i, a, b) for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if b > a]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([i for i, _, _ in cells], pa.int64()), pa.array([row["part"]] * len(cells), pa.int64()),
+                    pa.array([grams[a:b].tobytes() for _, a, b in cells], pa.binary()),
+                    pa.array([n[a:b].astype(np.uint32).tobytes() for _, a, b in cells], pa.binary())], ["shard", "part", "grams", "n"])
+
+    return ask
+
+
+def _answered(cells: pa.Table) -> pa.Table:
+    """Levels and counts of words for each part that asks one shard; its totals are in the first row."""
+    asked = [np.frombuffer(g.as_py(), np.uint64) for g in cells["grams"]]
+    grams, at = np.unique(np.concatenate(asked), return_inverse=True)
+    counts = np.bincount(at, np.concatenate([np.frombuffer(n.as_py(), np.uint32) for n in cells["n"]])).astype(np.int64)
+    trained, word = counts > 0, grams & np.uint64(1) == 0
+    blocks = max(1, -(-int(level_of(counts[trained]).sum()) * BITS_PER_ENTRY // BLOCK_BITS))
+    made = Filter(blocks)
+    batch = pa.RecordBatch.from_arrays([pa.array(grams[trained].view(np.int64)), pa.array(counts[trained])], ["gram", "n"])
+    for out in _fill(blocks)([batch]):
+        made.bits[out.column(0)[0].as_py()] |= np.frombuffer(out.column(1)[0].as_py(), np.uint8)
+    levels = np.minimum(made.levels(grams), 255).astype(np.uint8)
+    answers, exact, start = [], [], 0
+    for cell in asked:
+        own = at[start:start + len(cell)]
+        answers.append(levels[own].tobytes())
+        exact.append(counts[own][word[own]].tobytes())
+        start += len(cell)
+    totals = [int(counts[word].sum()), int((word & trained).sum()), int((~word & trained).sum())]
+    return pa.table([cells["shard"], cells["part"], pa.array(answers, pa.binary()), pa.array(exact, pa.binary()),
+                     *[pa.array([t] + [0] * (len(asked) - 1), pa.int64()) for t in totals]],
+                    ["shard", "part", "levels", "counts", "tokens", "words", "pairs"])
+
+
+def _finisher(total: int, distinct: int, back_off: float, schema: pa.Schema):
+    log_total = float(np.log10(total + distinct + 1))
+
+    def finish(part: pa.Table, answers: pa.Table) -> pa.Table:
+        """The scores of the texts of one part."""
+        answers = answers.sort_by("shard")
+        grams, word, pair = _grams(part["codes"][0].as_py(), part["words"][0].as_py())
+        middle = count_of(np.frombuffer(b"".join(answers["levels"].to_pylist()), np.uint8).astype(np.int64))
+        is_word = grams & np.uint64(1) == 0
+        exact = np.zeros(len(grams), np.int64)
+        exact[is_word] = np.frombuffer(b"".join(answers["counts"].to_pylist()), np.int64)
+        base = np.log10(exact[word] + 1.0) - log_total
+        one = middle[word]
+        previous = np.concatenate((middle[np.searchsorted(grams, np.array([_END], np.uint64))], one[:-1]))
+        together = np.minimum(middle[pair], np.minimum(previous, one))
+        # P(token | previous)
+        unigram = (one + 1) / (total + distinct + 1)
+        seen = np.maximum(together - DISCOUNT, 0) / np.maximum(previous, 1)
+        logs = np.log10(np.where(previous > 0, np.minimum(seen + back_off * unigram, 1.0), unigram))
+        lengths = part["lengths"].combine_chunks().flatten()
+        starts = np.concatenate(([0], np.cumsum(lengths.to_numpy())[:-1]))
+        sums = [np.add.reduceat(v, starts) for v in ((exact[word] > 0).astype(np.int64), base, logs)]
+        own = [part["doc_id"].combine_chunks().flatten(), part["held_out"].combine_chunks().flatten(), lengths, pa.array(sums[0]),
+               pa.array(np.full(len(starts), total, np.int64)), pa.array(sums[1]), pa.array(sums[2])]
+        return pa.table([c.cast(f.type) for c, f in zip(own, schema)], schema=schema)
 
-    return score
+    return finish
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS == HELD_OUT
-    counts, model, head = train(docs.filter(~held_out))
-    log_total = float(np.log10(model.total + model.distinct + 1))
-    scorer = _scorer(docs.sparkSession.sparkContext.broadcast(model))
-    # Written, so that the row numbers stay what they are when a task is repeated.
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out.alias("held_out"),
-                              scorer("text").alias("s")).select("row", "doc_id", "held_out", "s.*"), "lm-scored")
-    word = F.col("gram").bitwiseAND(1) == 0
-    rest = counts.filter(word & (F.col("n") < head))
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("gram"), "r.times")
-    found = rare.join(rest, "gram", "left").groupBy("row").agg(
-        F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 1.0) - log_total)).alias("more"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known"))
-    return rows.drop("rare", "times").join(found, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("bigint").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score")
+    kind = docs.schema["doc_id"].dataType
+    cut = T.StructType([
+        T.StructField("part", T.LongType()), T.StructField("doc_id", T.ArrayType(kind)), T.StructField("held_out", T.ArrayType(T.BooleanType())),
+        T.StructField("lengths", T.ArrayType(T.LongType())), T.StructField("codes", T.BinaryType()), T.StructField("words", T.BinaryType())])
+    parter = _parter(PART_TOKENS, to_arrow_schema(cut))
+    # Written, so that the parts stay what they are when a task is repeated.
+    parts = stored(docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(parter, cut), "lm-parts")
+    size = parts.agg(F.sum(F.octet_length("codes") / 2)).first()[0] or 0  # two n-grams a token
+    bits = max(1, int(np.ceil(np.log2(max(size / SHARD_GRAMS, 1)))))
+    asked = parts.select("part", "held_out", "lengths", "codes", "words").mapInArrow(
+        _asker(bits), "shard bigint, part bigint, grams binary, n binary")
+    answers = stored(asked.groupBy("shard").applyInArrow(
+        _answered, "shard bigint, part bigint, levels binary, counts binary, tokens bigint, words bigint, pairs bigint"), "lm-levels")
+    total, distinct, pair_kinds = (n or 0 for n in answers.agg(F.sum("tokens"), F.sum("words"), F.sum("pairs")).first())
+    scored = T.StructType([
+        T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
+        T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()),
+        T.StructField("score", T.DoubleType())])
+    # Every pair is in the filter: what backs off is what discounting holds.
+    finish = _finisher(total, distinct, DISCOUNT * pair_kinds / max(total, 1), to_arrow_schema(scored))
+    return parts.groupBy("part").cogroup(answers.select("part", "shard", "levels", "counts").groupBy("part")).applyInArrow(finish, scored)

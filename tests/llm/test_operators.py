@@ -103,6 +103,24 @@ def test_lm_base_is_exact(spark, monkeypatch):
     assert lm_score.score_documents(docs_of(spark, texts[:3]).filter("false")).count() == 0
 
 
+def test_lm_keeps_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "PART_TOKENS", 100, raising=False)
+    import zlib
+    texts = [prose(1000 + i, 40) for i in range(60)]
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
+    seen = next(i for i in range(60) if i not in held)
+    texts[held[0]], texts[held[1]] = texts[seen], " ".join(texts[seen].split()[::-1])
+    rows = {r.doc_id: r for r in lm_score.score_documents(docs_of(spark, texts)).collect()}
+    # Pairs seen once count: the text in its order is likelier than the same words backwards.
+    assert rows[held[0]].score == pytest.approx(rows[seen].score)
+    assert rows[held[0]].score > rows[held[1]].score + 10
+    # Neither a bound on bits nor the size of parts changes a score.
+    monkeypatch.setattr(lm_score, "MAX_BITS", 1 << 12, raising=False)
+    monkeypatch.setattr(lm_score, "PART_TOKENS", 7, raising=False)
+    again = {r.doc_id: r.score for r in lm_score.score_documents(docs_of(spark, texts)).collect()}
+    assert again == pytest.approx({i: r.score for i, r in rows.items()})
+
+
 def test_bloom_levels():
     grams = np.arange(1, 40_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     counts = np.random.default_rng(1).zipf(1.6, 20_000).clip(1, 10**6)
