@@ -323,6 +323,20 @@ def test_edit_distance():
         assert order_minhash._anchored(a, b, 60) >= row[-1]
 
 
+def test_overlap_with_own_blocks(spark):
+    # Overlap from 0.80 to 0.82 with an own head on one side and an own foot on the other: up to 2/9 of the words are edits.
+    shared, texts = prose(90, 804).split(), []
+    for i, own in enumerate((100, 95, 89)):
+        words = [f"s{i}{w}" for w in shared]
+        texts += [" ".join([*(f"h{i}x{k}" for k in range(own)), *words]), " ".join([*words, *(f"f{i}x{k}" for k in range(own))])]
+        a, b = (order_minhash.word_numbers(t, order_minhash._Numbers()) for t in texts[-2:])
+        assert 0.8 <= order_minhash.ordered_overlap(a, b) < 0.825 and order_minhash.within(a, b) and order_minhash.within(b, a)
+    a, b = np.arange(904, dtype=np.uint64), np.arange(110, 1014, dtype=np.uint64)
+    assert order_minhash.ordered_overlap(a, b) < 0.8 and not order_minhash.within(a, b)
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs_of(spark, texts)).collect()}
+    assert [got[i] for i in range(6)] == [0, 0, 2, 2, 4, 4]
+
+
 # ---- 9 ----
 
 def test_warc(spark):
