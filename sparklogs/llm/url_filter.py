@@ -5,7 +5,7 @@ is built level by level from counts: below a host (and below each template prefi
 variable (digits, hex, dates) or is rarer than `min_support` becomes the wildcard `*`. Sibling branches whose
 labelled bad share does not differ significantly from that of their siblings together (two-proportion z-test)
 are merged into one branch `~`. A template is rejected when its bad share, smoothed by `prior_weight` urls at the
-overall share, reaches `max_bad` and at least half of its urls are labelled.
+overall share, reaches `max_bad`; how many of its urls have no label does not matter.
 
 The labels of the tree are whatever the caller passes; the query uses the verdicts of the rules. A template
 without labels has the overall share, and unlabelled branches are not merged into labelled ones.
@@ -82,7 +82,7 @@ def template_tree(urls: DataFrame, depth: int = DEPTH, min_support: int = MIN_SU
     prior = bad / labelled if labelled else 0.0
     templates = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "n_bad")])
     templates = templates.withColumn("bad_share", (F.col("n_bad") + prior_weight * prior) / (F.col("labelled") + prior_weight))
-    templates = templates.withColumn("rejected", (F.col("labelled") > 0) & (2 * F.col("labelled") >= F.col("n")) & (F.col("bad_share") >= max_bad))
+    templates = templates.withColumn("rejected", (F.col("labelled") > 0) & (F.col("bad_share") >= max_bad))
     return tree.select("host", "segs", "template"), templates
 
 

@@ -160,6 +160,13 @@ def test_url_filter(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id bigint, url string"), rules).count() == 0
 
 
+def test_url_few_labels(spark):
+    rows = [("h", f"/a/{i}", True if i < 40 else None) for i in range(100)] + [("h", f"/b/{i}", False if i < 40 else None) for i in range(100)]
+    frame = spark.createDataFrame(rows, "host string, path string, bad boolean")
+    _, templates = url_filter.template_tree(frame.select("host", url_filter.segments(F.col("path"), 3).alias("segs"), "bad"))
+    assert {r.template[0]: r.rejected for r in templates.collect()} == {"a": True, "b": False}
+
+
 # ---- 5 ----
 
 def test_mixing(spark):
