@@ -167,6 +167,17 @@ def test_url_few_labels(spark):
     assert {r.template[0]: r.rejected for r in templates.collect()} == {"a": True, "b": False}
 
 
+def test_url_deep_paths(spark):
+    rules = [("block", "h.net/a/b/c/spam/x"), ("allow", "h.net/a/b/c/good/x")]
+    paths = [f"/a/b/c/{kind}/{name}{chr(97 + i % 26)}{chr(97 + i // 26)}" for kind in ("spam", "good") for name in ("x", "new-") for i in range(40)]
+    deep = "/".join(["a", "b", "c", "spam"] + ["d"] * 300)
+    rows = [(i, f"http://h.net{p}") for i, p in enumerate(paths)] + [(999, f"http://h.net/{deep}"), (1000, f"http://h.net/{deep}"), (1001, "http://h.net/")]
+    out = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id bigint, url string"), rules).collect()}
+    assert {out[i].verdict for i in range(40, 80)} == {"block"} and {out[i].verdict for i in range(120, 160)} == {"allow"}
+    assert len(out) == len(rows) and out[999].template == out[1000].template and len(out[999].template) == 305
+    assert out[1001].template == [url_filter.END]
+
+
 # ---- 5 ----
 
 def test_mixing(spark):
