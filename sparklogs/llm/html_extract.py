@@ -6,6 +6,9 @@ no blocks. Each paragraph passes points for its length and commas to its ancesto
 container's points are discounted by its link density. The best container, raised to an enclosing article or
 main element, is kept with those of its siblings that score or read like text; all blocks in them come out in page order.
 
+When that leaves no text, the page is read again with forms and without regard to the words of class and id, as either may wrap the
+whole page; links alone are no text then. Lists of links go with all else inside the best container, and are left out beside it.
+
 Nulls and odd pages: a null or empty page has an empty text; so has one without any text outside the above. Text
 without any markup is one block. Unclosed, misnested and unknown elements are read as browsers roughly do; a page
 that is cut off inside a comment or script ends there. Long pages are read whole, in time linear in their length.
@@ -50,8 +53,8 @@ _CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": (
 _INSIDE_P = frozenset(_BLOCK) - {"body", "html", "head"}
 
 
-def _unwanted(tag: str, attributes: str) -> bool:
-    if tag in _DROPPED:
+def _unwanted(tag: str, attributes: str, wrapped: bool) -> bool:
+    if tag in _DROPPED and not (wrapped and tag == "form"):
         return True
     if not attributes or tag in _ROOTS:
         return False
@@ -61,7 +64,7 @@ def _unwanted(tag: str, attributes: str) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id"):
+        if name in ("class", "id") and not wrapped:
             for token in value.split():
                 words = [w.lower() for w in _WORDS.findall(token)]
                 bad = _BAD_WORDS.intersection(words)
@@ -73,7 +76,8 @@ def _unwanted(tag: str, attributes: str) -> bool:
 class _Page:
     """Nodes by number (parent before child) and the blocks of text in page order."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, wrapped: bool):
+        self.wrapped = wrapped
         self.parent, self.tag, self.dropped, self.cue = [-1], ["#root"], [False], [False]
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         self._read(source)
@@ -158,7 +162,7 @@ class _Page:
             node = len(self.parent)
             self.parent.append(stack[-1])
             self.tag.append(tag)
-            self.dropped.append(self.dropped[stack[-1]] or _unwanted(tag, attributes))
+            self.dropped.append(self.dropped[stack[-1]] or _unwanted(tag, attributes, self.wrapped))
             self.cue.append(tag in ("article", "main") or "articleBody" in attributes or 'role="main"' in attributes)
             if tag in _RAW:
                 stop = _RAW[tag].search(source, position)
@@ -178,8 +182,10 @@ def main_text(source: str | None) -> str:
     """The article of one page; see the module."""
     if not source:
         return ""
-    page = _Page(source)
+    page = _Page(source, False)
     if not page.blocks:
+        page = _Page(source, True)
+    if not page.blocks or page.wrapped and all(in_links >= 0.66 * len(text) for _, text, in_links in page.blocks):
         return ""
     parent, n = page.parent, len(page.parent)
     points, size, linked = [0.0] * n, [0] * n, [0] * n
@@ -216,10 +222,11 @@ def main_text(source: str | None) -> str:
         for node in range(n):
             if parent[node] == parent[best] and page.tag[node] == page.tag[best] and not page.dropped[node] and size[node]:
                 kept[node] = kept[node] or score[node] >= max(10.0, 0.2 * score[best])
-    menu = [False] * n  # lists that are mostly links, and what is in them
+    menu, inside = [False] * n, [node == best for node in range(n)]  # lists beside the best container that are mostly links
     for node in range(1, n):
+        inside[node] = inside[node] or inside[parent[node]]
         links_only = page.tag[node] in _LISTS and linked[node] > 0.66 * size[node]
-        menu[node] = node != best and (menu[parent[node]] or links_only)
+        menu[node] = not inside[node] and (menu[parent[node]] or links_only)
         kept[node] = kept[node] or kept[parent[node]]
     return "\n".join(text for node, text, _ in page.blocks if kept[node] and not menu[node])
 

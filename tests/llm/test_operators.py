@@ -83,6 +83,16 @@ def test_html(spark):
     assert frame.filter("false").select(html_extract.extract("html")).count() == 0
 
 
+def test_html_wrapped():
+    body = "<h1>Head</h1><p>First, with commas, and words.</p><p>Second one.</p>"
+    for wrapper in ("form", 'div class="page-with-sidebar"', 'div class="layout-sidebar-right"', 'div id="nav-open"'):
+        page = f"<html><body><{wrapper}><nav><a href=x>menu</a></nav>{body}</{wrapper.split()[0]}></body></html>"
+        assert html_extract.main_text(page) == "Head\nFirst, with commas, and words.\nSecond one."
+    assert html_extract.main_text('<div class="menu"><a href=x>one</a> <a href=y>two</a></div>') == ""
+    listed = f"<article>{body}<ul><li><a href=x>A reference</a></li></ul></article>"
+    assert html_extract.main_text(listed).endswith("Second one.\nA reference")
+
+
 # ---- 3 ----
 
 def test_lm_base_is_exact(spark, monkeypatch):
