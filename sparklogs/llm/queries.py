@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, html_extract, lm_score, mixing, order_minhash, pii, quality, url_filter, warc
+from . import chat, decontaminate, filter_audit, html_extract, lm_score, mixing, order_minhash, pii, quality, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +138,30 @@ def op9_warc(spark, sf_dir):
 def op10_quality(spark, sf_dir):
     measured = quality.measure(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), table(spark, sf_dir, "labels"))
     return measured.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op13_filter_audit", rf"""
+WITH d AS (SELECT doc_id, coalesce(CAST(source AS VARCHAR), '') AS part, coalesce(text, '') AS t, {_SPACE_WORDS} AS w FROM documents),
+s AS (SELECT doc_id, part, len(w) < 50 AS a, 100 * len(list_distinct(w)) < 65 * len(w) AS b,
+  100 * (length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 5 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+  coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM d),
+m AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM s LEFT JOIN m USING (doc_id)),
+l AS (SELECT i, substr('ABCDE', i + 1, 1) AS letter FROM range(5) r(i)),
+o AS (SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS ids FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+p AS (SELECT filter_order, n AS step, CAST(1 << ids[n] AS INT) AS own, CAST(coalesce(list_sum([1 << x for x in ids[1:n - 1]]), 0) AS INT) AS before
+  FROM o, range(1, 6) r(n)),
+g AS (SELECT part, filter_order, step, own,
+  count(*) FILTER (fails & (own | before) = 0) AS kept, count(*) FILTER (fails & own <> 0 AND fails & before = 0) AS removed,
+  count(*) FILTER (fails & own <> 0 AND fails & before <> 0) AS redundant, count(*) FILTER (fails = own) AS unique_fails,
+  count(*) FILTER (fails & own <> 0 AND fails & before = 0 AND good) AS good_lost,
+  count(*) FILTER (fails & own <> 0 AND fails & before = 0 AND toxic) AS toxic_lost
+  FROM f, p GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM g""")
+def op13_filter_audit(spark, sf_dir):
+    failed = filter_audit.failures(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return filter_audit.audit(failed, table(spark, sf_dir, "labels"))
