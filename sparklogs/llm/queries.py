@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, filter_audit, html_extract, lm_score, mixing, order_minhash, pii, quality, url_filter, warc
+from . import chat, decontaminate, filter_audit, html_extract, lm_score, mixing, order_minhash, pii, prefix_trie, quality, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,6 +140,31 @@ def op10_quality(spark, sf_dir):
     return measured.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ord(substr({0}, i::INT, 1))::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+
+@query("op12_prefix_trie", f"""
+WITH t AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) ORDER BY turn NULLS FIRST, role, text) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+c AS (SELECT *, conv_id - conv_id % 100 AS base, {_CRC32.format("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM t),
+b AS (SELECT c.conv_id, list_concat(coalesce(t.own[1:h], []), c.own[h + 1:]) AS w FROM c LEFT JOIN t ON t.conv_id = c.base),
+p AS (SELECT conv_id, d, len(w) = d AS is_end, w[1:d] AS pre, coalesce(length(w[d].x), 0) AS last FROM b, (SELECT unnest(range(0, (SELECT max(len(w)) FROM b) + 1)) AS d) WHERE d <= len(w)),
+n AS (SELECT pre, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(last) AS last,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256 FROM p GROUP BY pre, d),
+k AS (SELECT p.conv_id, p.d, n.conv_id AS id FROM p JOIN n ON p.pre = n.pre AND p.d = n.d),
+e AS (SELECT n.*, k.id AS parent FROM n LEFT JOIN k ON k.conv_id = n.conv_id AND k.d = n.d - 1),
+g AS (SELECT parent, d - 1 AS d, count(*) AS n_children FROM e WHERE parent IS NOT NULL GROUP BY parent, d),
+m AS (SELECT e.*, coalesce(n_children, 0) AS n_children FROM e LEFT JOIN g ON g.parent = e.conv_id AND g.d = e.d),
+s AS (SELECT k.id, k.d, count(*) FILTER (m.n_children = 0) AS n_leaves, CAST(sum((m.n_convs - 1) * m.last) AS BIGINT) AS saved_tokens
+  FROM m JOIN k ON k.conv_id = m.conv_id AND k.d <= m.d GROUP BY k.id, k.d)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, m.parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM m JOIN s ON s.id = m.conv_id AND s.d = m.d""")
+def op12_prefix_trie(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.trie(*prefix_trie.rebuilt(turns))
+
+
 @query("op13_filter_audit", rf"""
 WITH d AS (SELECT doc_id, coalesce(CAST(source AS VARCHAR), '') AS part, coalesce(text, '') AS t, {_SPACE_WORDS} AS w FROM documents),
 s AS (SELECT doc_id, part, len(w) < 50 AS a, 100 * len(list_distinct(w)) < 65 * len(w) AS b,
