@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, filter_audit, html_extract, lm_score, mixing, order_minhash, pii, prefix_trie, quality, url_filter, warc
+from . import chat, count_rtree, decontaminate, filter_audit, html_extract, lm_score, mixing, order_minhash, pii, prefix_trie, quality, url_filter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,6 +140,21 @@ def op10_quality(spark, sf_dir):
     return measured.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query("op11_jaccard_join", rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+u AS (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM u GROUP BY r),
+o AS (SELECT a.r AS x, b.r AS y, count(*) AS o FROM u a JOIN u b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r),
+l AS (SELECT x, y FROM o JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * o >= 80 * (a.n + b.n - o)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+c AS (SELECT r AS x, r AS y FROM d UNION SELECT c.x, e.y FROM c JOIN e ON e.x = c.y)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(t.doc_id) AS component_id
+FROM d LEFT JOIN n USING (r) JOIN c ON c.x = d.r JOIN d t ON t.r = c.y GROUP BY d.r, d.doc_id""")
+def op11_jaccard_join(spark, sf_dir):
+    return count_rtree.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 _CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ord(substr({0}, i::INT, 1))::BIGINT)),
   lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
 
