@@ -330,12 +330,14 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_words").alias("n_words"), F.first("bands").alias("bands"))
     # Numbers instead of digests from here on; written with the table, so they stay.
     nodes = stored(nodes.withColumn("id", F.monotonically_increasing_id()), "omh-nodes")
-    roots = _roots(nodes, docs).withColumnRenamed("node", "id")
-    named = nodes.select("id", "node", "least").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    named = stored(named, "omh-named")
-    smallest = named.groupBy("root").agg(F.min("least").alias("class_id"),
-                                         F.min_by("node", F.struct(F.col("least").isNull(), "least", "node")).alias("keeper"))
-    return rows, stored(named.join(smallest, "root").select("node", "class_id", "keeper"), "omh-classes")
+    roots = stored(_roots(nodes, docs).withColumnRenamed("node", "id"), "omh-roots")
+    members = stored(nodes.select("id", "node", "least").join(bounded(roots), "id"), "omh-grouped")
+    smallest = members.groupBy("root").agg(F.min("least").alias("class_id"),
+                                           F.min_by("node", F.struct(F.col("least").isNull(), "least", "node")).alias("keeper"))
+    # The classes of several texts are far fewer than texts; a hot one is no key of a shuffle while they are broadcast.
+    named = members.join(bounded(stored(smallest, "omh-smallest")), "root").select("node", "class_id", "keeper")
+    alone = nodes.join(bounded(roots.select("id")), "id", "left_anti").select("node", F.col("least").alias("class_id"), F.col("node").alias("keeper"))
+    return rows, stored(named.unionByName(alone), "omh-classes")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -356,18 +358,19 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     kept = counts.join(classes, "node").filter((F.col("node") == F.col("keeper")) & F.col("doc_id").eqNullSafe(F.col("class_id")))
     kept = stored(kept.select("node", "doc_id", "copies"), "omh-kept")
     gone = stored(counts.join(kept, (counts["node"] == kept["node"]) & counts["doc_id"].eqNullSafe(kept["doc_id"]), "left_anti")
-                  .select(F.col("node").alias("gone_node"), F.col("doc_id").alias("gone_id")), "omh-gone")
-    repeated = stored(kept.filter("copies > 1").select(F.col("node").alias("again_node"), F.col("doc_id").alias("again_id")), "omh-again")
-    node = free(docs, "_node")
+                  .select("node", "doc_id"), "omh-gone")
+    repeated = stored(kept.filter("copies > 1").select("node", "doc_id"), "omh-again")
+    node, name, number = (free(docs, n) for n in ("_node", "_name", "_number"))
     named = docs.withColumn(node, F.unhex(F.md5("text")))
 
-    def drop(frame: DataFrame, names: DataFrame, a: str, b: str, how: str) -> DataFrame:
-        return frame.join(bounded(names), (F.col(node) == F.col(a)) & F.col("doc_id").eqNullSafe(F.col(b)), how)
+    def drop(frame: DataFrame, names: DataFrame, how: str) -> DataFrame:
+        names = names.select(F.col("node").alias(name), F.col("doc_id").alias(number))
+        return frame.join(bounded(names), (F.col(node) == F.col(name)) & F.col("doc_id").eqNullSafe(F.col(number)), how)
 
-    left = drop(named, gone, "gone_node", "gone_id", "left_anti")
-    once = drop(left, repeated, "again_node", "again_id", "left_anti")
+    left = drop(named, gone, "left_anti")
+    once = drop(left, repeated, "left_anti")
     if not repeated.isEmpty():
-        again = drop(left, repeated, "again_node", "again_id", "left_semi")
+        again = drop(left, repeated, "left_semi")
         rank = free(docs, "_rank")
         order = Window.partitionBy(node, "doc_id").orderBy(F.to_json(F.struct(*quoted(docs.columns))))
         once = once.unionByName(again.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1).drop(rank))

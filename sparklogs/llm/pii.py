@@ -220,7 +220,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY, count: str | None = None) -> D
     Texts that can hold no value pass in one scan. The others are joined to the list of their surrogates by
     the digest of the text, so equal texts, however many, are looked up once.
     """
-    names = {n: free(docs, f"_pii_{n}") for n in ("key", "new")}
+    names = {n: free(docs, f"_pii_{n}") for n in ("key", "new", "own")}
     maybe = F.coalesce(F.col("text").rlike(MAYBE), F.lit(False))
     suspects = docs.filter(maybe).select(F.md5("text").alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"))
     units = suspects.select("key", F.posexplode(pieces(F.col("text"))[0]).alias("at", "unit"))
@@ -231,8 +231,8 @@ def pseudonymise(docs: DataFrame, key: str = KEY, count: str | None = None) -> D
     listed = shown.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("list"))
     listed = stored(listed.select(F.col("key").alias(names["key"]), F.col("list.new").alias(names["new"])), "pii-lists")
     columns = [c for c in docs.columns if c != count]
-    joined = docs.filter(maybe).withColumn(names["key"] + "_own", F.md5("text")).join(
-        listed, F.col(names["key"] + "_own") == F.col(names["key"]), "left")
+    joined = docs.filter(maybe).withColumn(names["own"], F.md5("text")).join(
+        listed, F.col(names["own"]) == F.col(names["key"]), "left")
     found, rest = pieces(F.col("text"))
     new = F.col(names["new"])
     text = F.when(new.isNull(), F.col("text")).otherwise(F.concat(F.array_join(F.zip_with(

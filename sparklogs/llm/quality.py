@@ -35,6 +35,8 @@ FEATURES = {
 ALPHA, DELTA = 0.02, 0.05
 #: A table of cutoffs up to so many rows (a few dozen bytes each) is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
+#: Labels (12 bytes each) up to so many rows are broadcast to the texts; beyond it the measured numbers are joined.
+LABEL_ROWS = 500_000
 
 
 def removed(text: Column, characters: str) -> Column:
@@ -151,10 +153,16 @@ def fit_cutoffs(measured: DataFrame, alpha: float = ALPHA, delta: float = DELTA)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, stratum: str) -> DataFrame:
-    """The base columns of the documents that have a label, with it. Reads only their texts further."""
-    marks = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select("doc_id", "quality")
-    rows = docs.select("doc_id", F.col(f"`{stratum}`").cast("string").alias("stratum"), "text").join(marks, "doc_id")
-    return with_base(rows, F.col("text"), ["stratum", "quality"])
+    """stratum, quality and the base columns of the documents that have a label.
+
+    Texts are never shuffled: few labels are broadcast and only labelled texts are measured; otherwise all are, and their
+    numbers are joined.
+    """
+    marks = stored(labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).select("doc_id", "quality"), "quality-marks")
+    rows = docs.select("doc_id", F.col(f"`{stratum}`").cast("string").alias("stratum"), "text")
+    if marks.count() <= LABEL_ROWS:
+        return with_base(rows.join(F.broadcast(marks), "doc_id"), F.col("text"), ["stratum", "quality"])
+    return stored(with_base(rows, F.col("text"), ["doc_id", "stratum"]), "quality-base").join(marks, "doc_id").drop("doc_id")
 
 
 def judged(frame: DataFrame, cutoffs: DataFrame, stratum: Column) -> DataFrame:
