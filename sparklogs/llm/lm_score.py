@@ -2,18 +2,21 @@
 
 Counts of words and word pairs are quantised to levels: count c has level 1 + floor(log_BASE c). The filter
 holds (n-gram, 1) ... (n-gram, level); a count is read by probing level after level until one is missing, so
-false positives fall off geometrically. P(word | previous) is the pair's discounted
-count by that of the previous word, plus the word's own frequency (smoothed by one) times the mass that pairs leave: what
-discounting holds of all training tokens.
+false positives fall off geometrically. P(word | previous) is WEIGHT times the pair's share of the previous word's count,
+plus the rest of the weight times the word's own frequency (smoothed by one, with one unknown word); after a word not seen it is that
+frequency alone. With exact counts it sums to one in every context; levels shift it by their rounding.
 
 Texts are cut into parts of about PART_TOKENS tokens, written as numbers. A part sends each of its distinct n-grams once,
 with its count in the training texts, to the shard of that n-gram, so a frequent n-gram is one row per part. A shard is
 one group: it sums the counts, fills its own filter and answers each part with levels, in the order asked, and with the
 exact counts of words, which the base score needs. All words and pairs are admitted; shards hold about SHARD_GRAMS requests,
-and their number grows with the tokens. Words are named by 64-bit digests.
+and their number grows with the tokens. One filter broadcast whole would outgrow every worker, and blocks broadcast in turn
+would need passes over all texts in proportion to their size; so n-grams travel to the filter's shards, not shards to the texts.
+Words are named by 64-bit digests. Sorted numbers travel as gaps, in planes of bytes, which compress well.
 
 Nulls and odd rows: a null or empty text has the end token only. A null id is that of the empty text for the split. Repeated rows
-count each. With no training rows all counts are 0; an empty table gives an empty result.
+count each. With no training rows all counts are 0; an empty table gives an empty result. A text is in one part however long it
+is: its tokens take 8 bytes each in the task. Further columns are ignored.
 """
 
 from collections.abc import Iterator
@@ -28,11 +31,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import stored
 
 BASE = 1.5
-DISCOUNT = 0.5
+WEIGHT = 0.6
 BITS_PER_ENTRY, PROBES = 10, 5
 BLOCK_BITS = 1 << 19
-PART_TOKENS, SHARD_GRAMS = 1 << 20, 1 << 21
-HEAD_LEAST = 8  # without use since words are counted in shards; tests set it
+PART_TOKENS, SHARD_GRAMS = 1 << 18, 1 << 20
 FOLDS, HELD_OUT = 7, 2
 
 _UPPER = bytes(range(0x41, 0x5B))
@@ -76,6 +78,24 @@ def pairs(own: np.ndarray) -> np.ndarray:
     return mixed | np.uint64(1)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as planes of bytes; the planes of zeros compress to nothing."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes()
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return planes.T.copy().view(kind).reshape(-1)
+
+
+def packed_sorted(values: np.ndarray) -> bytes:
+    return packed(np.diff(values, prepend=np.uint64(0)))
+
+
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
+
+
 def level_of(count: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(np.maximum(count, 1)) / np.log(BASE) + 1e-9).astype(np.int64)
 
@@ -161,7 +181,7 @@ def _parter(size: int, schema: pa.Schema):
                     lists = [pa.ListArray.from_arrays(offsets, pa.concat_arrays([c])) for c in (
                         batch.column("doc_id").slice(start, len(group)), batch.column("held_out").slice(start, len(group)),
                         pa.array(map(len, group), pa.int64()))]
-                    own = [pa.array([number]), *lists, pa.array([codes.astype(np.int32).tobytes()]), pa.array([words.tobytes()])]
+                    own = [pa.array([number]), *lists, pa.array([packed(codes.astype(np.uint32))]), pa.array([packed_sorted(words)])]
                     yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(own, schema)], schema=schema)
                     start, group, n, number = i + 1, [], 0, number + 1
 
@@ -170,7 +190,7 @@ def _parter(size: int, schema: pa.Schema):
 
 def _grams(codes: bytes, words: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct n-grams of a part in increasing order, and the places of each token's word and pair."""
-    own = np.frombuffer(words, np.uint64)[np.frombuffer(codes, np.int32)]
+    own = unpacked_sorted(words)[unpacked(codes, np.uint32)]
     grams, at = np.unique(np.concatenate((own, pairs(own))), return_inverse=True)
     return grams, at[:len(own)], at[len(own):]
 
@@ -179,25 +199,26 @@ def _asker(bits: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per part and shard (the first bits of an n-gram) the n-grams and their counts in training texts."""
         for batch in batches:
-            for row in batch.to_pylist():
-                grams, word, pair = _grams(row["codes"], row["words"])
-                trained = np.repeat(~np.array(row["held_out"], bool), row["lengths"])
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                grams, word, pair = _grams(row["codes"].as_buffer(), row["words"].as_buffer())
+                trained = np.repeat(~np.array(row["held_out"].as_py(), bool), row["lengths"].as_py())
                 n = np.bincount(word[trained], minlength=len(grams)) + np.bincount(pair[trained], minlength=len(grams))
                 edges = np.searchsorted(grams >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
                 cells = [(i, a, b) for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if b > a]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([i for i, _, _ in cells], pa.int64()), pa.array([row["part"]] * len(cells), pa.int64()),
-                    pa.array([grams[a:b].tobytes() for _, a, b in cells], pa.binary()),
-                    pa.array([n[a:b].astype(np.uint32).tobytes() for _, a, b in cells], pa.binary())], ["shard", "part", "grams", "n"])
+                    pa.array([i for i, _, _ in cells], pa.int64()), pa.array([row["part"].as_py()] * len(cells), pa.int64()),
+                    pa.array([packed_sorted(grams[a:b]) for _, a, b in cells], pa.binary()),
+                    pa.array([packed(n[a:b].astype(np.uint32)) for _, a, b in cells], pa.binary())], ["shard", "part", "grams", "n"])
 
     return ask
 
 
 def _answered(cells: pa.Table) -> pa.Table:
     """Levels and counts of words for each part that asks one shard; its totals are in the first row."""
-    asked = [np.frombuffer(g.as_py(), np.uint64) for g in cells["grams"]]
+    asked = [unpacked_sorted(g.as_buffer()) for g in cells["grams"]]
     grams, at = np.unique(np.concatenate(asked), return_inverse=True)
-    counts = np.bincount(at, np.concatenate([np.frombuffer(n.as_py(), np.uint32) for n in cells["n"]])).astype(np.int64)
+    counts = np.bincount(at, np.concatenate([unpacked(n.as_buffer(), np.uint32) for n in cells["n"]])).astype(np.int64)
     trained, word = counts > 0, grams & np.uint64(1) == 0
     blocks = max(1, -(-int(level_of(counts[trained]).sum()) * BITS_PER_ENTRY // BLOCK_BITS))
     made = Filter(blocks)
@@ -209,15 +230,21 @@ def _answered(cells: pa.Table) -> pa.Table:
     for cell in asked:
         own = at[start:start + len(cell)]
         answers.append(levels[own].tobytes())
-        exact.append(counts[own][word[own]].tobytes())
+        exact.append(packed(counts[own][word[own]]))
         start += len(cell)
-    totals = [int(counts[word].sum()), int((word & trained).sum()), int((~word & trained).sum())]
+    totals = [int(counts[word].sum()), int((word & trained).sum())]
     return pa.table([cells["shard"], cells["part"], pa.array(answers, pa.binary()), pa.array(exact, pa.binary()),
                      *[pa.array([t] + [0] * (len(asked) - 1), pa.int64()) for t in totals]],
-                    ["shard", "part", "levels", "counts", "tokens", "words", "pairs"])
+                    ["shard", "part", "levels", "counts", "tokens", "words"])
+
+
+def probability(together: np.ndarray, previous: np.ndarray, one: np.ndarray, total: int, distinct: int) -> np.ndarray:
+    """P(word | previous) from the counts of the pair, of the previous word and of the word."""
+    own = (one + 1) / (total + distinct + 1)
+    return np.where(previous > 0, WEIGHT * together / np.maximum(previous, 1) + (1 - WEIGHT) * own, own)
 
 
-def _finisher(total: int, distinct: int, back_off: float, schema: pa.Schema):
+def _finisher(total: int, distinct: int, schema: pa.Schema):
     log_total = float(np.log10(total + distinct + 1))
 
     def finish(part: pa.Table, answers: pa.Table) -> pa.Table:
@@ -227,15 +254,12 @@ def _finisher(total: int, distinct: int, back_off: float, schema: pa.Schema):
         middle = count_of(np.frombuffer(b"".join(answers["levels"].to_pylist()), np.uint8).astype(np.int64))
         is_word = grams & np.uint64(1) == 0
         exact = np.zeros(len(grams), np.int64)
-        exact[is_word] = np.frombuffer(b"".join(answers["counts"].to_pylist()), np.int64)
+        exact[is_word] = np.concatenate([np.zeros(0, np.int64), *[unpacked(c.as_buffer(), np.int64) for c in answers["counts"]]])
         base = np.log10(exact[word] + 1.0) - log_total
         one = middle[word]
         previous = np.concatenate((middle[np.searchsorted(grams, np.array([_END], np.uint64))], one[:-1]))
         together = np.minimum(middle[pair], np.minimum(previous, one))
-        # P(token | previous)
-        unigram = (one + 1) / (total + distinct + 1)
-        seen = np.maximum(together - DISCOUNT, 0) / np.maximum(previous, 1)
-        logs = np.log10(np.where(previous > 0, np.minimum(seen + back_off * unigram, 1.0), unigram))
+        logs = np.log10(probability(together, previous, one, total, distinct))
         lengths = part["lengths"].combine_chunks().flatten()
         starts = np.concatenate(([0], np.cumsum(lengths.to_numpy())[:-1]))
         sums = [np.add.reduceat(v, starts) for v in ((exact[word] > 0).astype(np.int64), base, logs)]
@@ -256,17 +280,16 @@ def score_documents(docs: DataFrame) -> DataFrame:
     parter = _parter(PART_TOKENS, to_arrow_schema(cut))
     # Written, so that the parts stay what they are when a task is repeated.
     parts = stored(docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(parter, cut), "lm-parts")
-    size = parts.agg(F.sum(F.octet_length("codes") / 2)).first()[0] or 0  # two n-grams a token
+    size = parts.agg(F.sum(F.octet_length("codes") / 2)).first()[0] or 0  # 4 bytes and two n-grams a token
     bits = max(1, int(np.ceil(np.log2(max(size / SHARD_GRAMS, 1)))))
     asked = parts.select("part", "held_out", "lengths", "codes", "words").mapInArrow(
         _asker(bits), "shard bigint, part bigint, grams binary, n binary")
     answers = stored(asked.groupBy("shard").applyInArrow(
-        _answered, "shard bigint, part bigint, levels binary, counts binary, tokens bigint, words bigint, pairs bigint"), "lm-levels")
-    total, distinct, pair_kinds = (n or 0 for n in answers.agg(F.sum("tokens"), F.sum("words"), F.sum("pairs")).first())
+        _answered, "shard bigint, part bigint, levels binary, counts binary, tokens bigint, words bigint"), "lm-levels")
+    total, distinct = (n or 0 for n in answers.agg(F.sum("tokens"), F.sum("words")).first())
     scored = T.StructType([
         T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()),
         T.StructField("score", T.DoubleType())])
-    # Every pair is in the filter: what backs off is what discounting holds.
-    finish = _finisher(total, distinct, DISCOUNT * pair_kinds / max(total, 1), to_arrow_schema(scored))
+    finish = _finisher(total, distinct, to_arrow_schema(scored))
     return parts.groupBy("part").cogroup(answers.select("part", "shard", "levels", "counts").groupBy("part")).applyInArrow(finish, scored)

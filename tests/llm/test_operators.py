@@ -95,8 +95,7 @@ def test_html_wrapped():
 
 # ---- 3 ----
 
-def test_lm_base_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(lm_score, "HEAD_LEAST", 3)
+def test_lm_base_and_score(spark):
     texts = [prose(i % 7, 30 + i) + " The THE the" for i in range(60)] + ODD
     rows = {r.doc_id: r for r in lm_score.score_documents(docs_of(spark, texts)).collect()}
     import zlib
@@ -104,17 +103,33 @@ def test_lm_base_is_exact(spark, monkeypatch):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     own = {i: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)) + [None] for i, t in enumerate(texts)}
     counts = Counter(w for i in own if not held[i] for w in own[i])
+    pairs = Counter(p for i in own if not held[i] for p in zip([None] + own[i][:-1], own[i]))
     total, distinct = sum(counts.values()), len(counts)
+
+    def level(count):
+        return float(lm_score.count_of(lm_score.level_of(np.array([count])) * (count > 0))[0])
+
+    # Probabilities sum to one with exact counts, and to one up to the rounding of levels with theirs.
+    for exact, slack in ((float, 1e-9), (level, 0.25)):
+        for b in [None, "the", "unseen", *list(counts)[:20]]:
+            every = np.array([(pairs[b, w], counts[b], counts[w]) for w in [*counts, "unknown"]])
+            values = np.array([[exact(v) for v in row] for row in every.tolist()])
+            assert lm_score.probability(*values.T, total, distinct).sum() == pytest.approx(1, abs=slack)
     for i, tokens in own.items():
         base = sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in tokens)
         assert rows[i].held_out == held[i] and rows[i].n_tokens == len(tokens) and rows[i].train_tokens == total
         assert rows[i].n_known == sum(counts[w] > 0 for w in tokens)
-        assert rows[i].base_score == pytest.approx(base) and rows[i].score < 0
+        assert rows[i].base_score == pytest.approx(base)
+        # The score by its definition, on quantised counts.
+        before = [None] + tokens[:-1]
+        logs = [math.log10(lm_score.probability(*(np.float64(v) for v in (min(level(pairs[b, w]), level(counts[b]), level(counts[w])),
+                                                level(counts[b]), level(counts[w]))), total, distinct)) for b, w in zip(before, tokens)]
+        assert rows[i].score == pytest.approx(sum(logs))
     assert lm_score.score_documents(docs_of(spark, texts[:3]).filter("false")).count() == 0
 
 
 def test_lm_keeps_all_pairs(spark, monkeypatch):
-    monkeypatch.setattr(lm_score, "PART_TOKENS", 100, raising=False)
+    monkeypatch.setattr(lm_score, "PART_TOKENS", 100)
     import zlib
     texts = [prose(1000 + i, 40) for i in range(60)]
     held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
@@ -124,9 +139,9 @@ def test_lm_keeps_all_pairs(spark, monkeypatch):
     # Pairs seen once count: the text in its order is likelier than the same words backwards.
     assert rows[held[0]].score == pytest.approx(rows[seen].score)
     assert rows[held[0]].score > rows[held[1]].score + 10
-    # Neither a bound on bits nor the size of parts changes a score.
-    monkeypatch.setattr(lm_score, "MAX_BITS", 1 << 12, raising=False)
-    monkeypatch.setattr(lm_score, "PART_TOKENS", 7, raising=False)
+    # Neither the size of parts nor that of shards changes a score.
+    monkeypatch.setattr(lm_score, "PART_TOKENS", 7)
+    monkeypatch.setattr(lm_score, "SHARD_GRAMS", 500)
     again = {r.doc_id: r.score for r in lm_score.score_documents(docs_of(spark, texts)).collect()}
     assert again == pytest.approx({i: r.score for i, r in rows.items()})
 
