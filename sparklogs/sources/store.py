@@ -1,4 +1,4 @@
-"""The day-partitioned event table with a hot and a cold tier."""
+"""The day-partitioned event table with a hot and a cold tier, each a table of committed folders."""
 
 import uuid
 from datetime import date, timedelta
@@ -9,11 +9,12 @@ from .. import fixed
 from ..functions.text import best_effort_time
 from ..operators.dedupe import latest_copy
 from ..schemas import PARSED_COLUMNS, PARSED_SCHEMA, TIME_COLUMNS
+from . import commits
 
 STORED_COLUMNS = [*PARSED_COLUMNS, "stored_at"]
 _TIER_SCHEMA = T.StructType([
     *PARSED_SCHEMA, T.StructField("stored_at", T.TimestampType()),
-    T.StructField("event_date", T.DateType()), T.StructField("batch", T.StringType()),
+    T.StructField("event_date", T.DateType()),
 ])
 
 
@@ -32,32 +33,33 @@ def typed_rows(rows: DataFrame, stored_at: Column) -> DataFrame:
     return rows.select(*columns, stored_at.alias("stored_at"))
 
 
-def _write_days(frame: DataFrame, path: str, batch: str) -> None:
-    """Write folders event_date=../batch=.., replacing what the same batch wrote before.
+def _by_day(frame: DataFrame) -> DataFrame:
+    """Rows in the order and the split they are written in.
 
     The rebalance gathers a day's rows and splits days that are large, so neither many small files nor
     one huge task results; files are sorted for row-group skipping.
     """
-    (
-        frame.withColumn("event_date", F.to_date("timestamp")).withColumn("batch", F.lit(batch))
-        .hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", "service", "timestamp", "event_id")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch").parquet(path)
-    )
+    days = frame.withColumn("event_date", F.to_date("timestamp")).hint("rebalance", "event_date")
+    return days.sortWithinPartitions("event_date", "service", "timestamp", "event_id")
 
 
-def append_hot(rows: DataFrame, root: str, stored_at: Column | None = None, batch: str | None = None) -> None:
-    """Add rows to the hot tier. Writing the same `batch` again replaces it; without a name it is new."""
+def _write_days(frame: DataFrame, path: str, batch: str, repeated: bool = False) -> None:
+    """Write a batch by day; all days that the same batch wrote before are replaced in one step."""
+    commits.write(_by_day(frame), path, batch, ["event_date"], repeated)
+
+
+def append_hot(rows: DataFrame, root: str, stored_at: Column | None = None, batch: str | None = None, repeated: bool = False) -> None:
+    """Add rows to the hot tier. Writing the same `batch` again replaces it; without a name it is new.
+
+    A `repeated` batch, as a stream sends after a failure, has its old rows: where a compaction has merged them, they stay.
+    """
     frame = typed_rows(rows, F.current_timestamp() if stored_at is None else stored_at)
-    _write_days(frame, f"{root}/hot", batch or uuid.uuid4().hex)
+    _write_days(frame, f"{root}/hot", batch or uuid.uuid4().hex, **({"repeated": True} if repeated else {}))
 
 
 def read_tier(spark: SparkSession, root: str, tier: str) -> DataFrame:
     """Rows of `hot` or `cold`; an empty frame when the tier does not exist yet."""
-    path = f"{root}/{tier}"
-    frame = spark.read.schema(_TIER_SCHEMA).parquet(path) if _exists(spark, path) else spark.createDataFrame([], _TIER_SCHEMA)
-    return frame.select(*STORED_COLUMNS, "event_date")
+    return commits.read(spark, f"{root}/{tier}", _TIER_SCHEMA).select(*STORED_COLUMNS, "event_date")
 
 
 def read_store(spark: SparkSession, root: str, final: bool = False) -> DataFrame:
@@ -92,22 +94,18 @@ def move_to_cold(spark: SparkSession, root: str, as_of_day: str, hot_days: int =
     the day meanwhile stays hot until the next move.
     """
     limit = _day_before(as_of_day, hot_days)
-    found = {day: [b for b in _children(spark, f"{root}/hot/event_date={day}") if b.startswith("batch=")]
-             for day in days(spark, f"{root}/hot") if day < limit}
-    batches = [f"{root}/hot/event_date={day}/{b}" for day, names in found.items() for b in names]
-    if batches:
-        hot = spark.read.schema(_TIER_SCHEMA).option("basePath", f"{root}/hot").parquet(*batches).select(*STORED_COLUMNS, "event_date")
+    path = f"{root}/hot"
+    old = [e for e in commits.entries(spark, path) if _day(commits.parts_of(e)) < limit]
+    if old:
+        hot = commits.read(spark, path, _TIER_SCHEMA, only=old).select(*STORED_COLUMNS, "event_date")
         copy = ["event_date", "event_id", "processed_at"]
         known = read_tier(spark, root, "cold").filter(F.col("event_date") < F.lit(limit).cast("date")).select(
             *[F.col(c).alias(f"_{c}") for c in copy])
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in copy]
         rows = hot.join(known, same, "left_anti")
         _write_days(cold_form(rows).drop("event_date"), f"{root}/cold", uuid.uuid4().hex)
-        for path in batches:
-            _delete(spark, path)
-        for day in found:
-            _drop_empty(spark, f"{root}/hot/event_date={day}")
-    return [day for day, names in found.items() if names]
+        commits.drop(spark, path, lambda parts: True, only=old)
+    return sorted({_day(commits.parts_of(e)) for e in old})
 
 
 def kept(rows: DataFrame, stream: str, as_of: Column, time: str = "timestamp") -> DataFrame:
@@ -120,64 +118,34 @@ def kept(rows: DataFrame, stream: str, as_of: Column, time: str = "timestamp") -
 
 
 def drop_expired_days(spark: SparkSession, path: str, stream: str, as_of_day: str) -> list[str]:
-    """Drop day folders of a stream whose last moment is past its retention."""
+    """Drop the days of a stream whose last moment is past its retention; without a file read or rewritten."""
     limit = _day_before(as_of_day, fixed.RETENTION_HOURS[stream] // 24)
-    expired = [day for day in days(spark, path) if day < limit]
-    for day in expired:
-        drop_day(spark, path, day)
-    return expired
+    return sorted({_day(commits.parts_of(e)) for e in commits.drop(spark, path, lambda parts: _day(parts) < limit)})
 
 
 def compact_day(spark: SparkSession, root: str, day: str) -> None:
-    """Rewrite one hot day as one batch without superseded copies.
+    """Rewrite one hot day as one batch without superseded copies, in one step for readers.
 
-    The new batch is complete before the old ones are dropped; until then readers of the final view see
-    every event once.
+    Readers that began before go on with the old files until `commits.vacuum` removes them.
     """
-    path = f"{root}/hot/event_date={day}"
-    old = [name for name in _children(spark, path) if name.startswith("batch=")]
-    rows = read_tier(spark, root, "hot").filter(F.col("event_date") == F.lit(day).cast("date"))
-    _write_days(latest_copy(rows).drop("event_date"), f"{root}/hot", f"compact-{uuid.uuid4().hex}")
-    for name in old:
-        _delete(spark, f"{path}/{name}")
-
-
-# ---- folders --------------------------------------------------------------------------------
-
-def _folder(spark: SparkSession, path: str):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop, system = _folder(spark, path)
-    return system.exists(hadoop)
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    hadoop, system = _folder(spark, path)
-    return [status.getPath().getName() for status in system.listStatus(hadoop)] if system.exists(hadoop) else []
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    hadoop, system = _folder(spark, path)
-    system.delete(hadoop, True)
-
-
-def _drop_empty(spark: SparkSession, path: str) -> None:
-    """Remove a folder that holds nothing; the file system itself refuses any other."""
-    hadoop, system = _folder(spark, path)
-    if not system.listStatus(hadoop):
-        system.delete(hadoop, False)
+    path = f"{root}/hot"
+    old = [e for e in commits.entries(spark, path) if _day(commits.parts_of(e)) == day]
+    if old:
+        rows = commits.read(spark, path, _TIER_SCHEMA, only=old)
+        commits.merge(_by_day(latest_copy(rows).drop("event_date")), path, old, ["event_date"])
 
 
 def days(spark: SparkSession, path: str) -> list[str]:
-    """Day folders of a table, oldest first."""
-    return sorted(name.split("=", 1)[1] for name in _children(spark, path) if name.startswith("event_date="))
+    """Days of a table, oldest first."""
+    return sorted({_day(commits.parts_of(e)) for e in commits.entries(spark, path)})
 
 
 def drop_day(spark: SparkSession, path: str, day: str) -> None:
-    _delete(spark, f"{path}/event_date={day}")
+    commits.drop(spark, path, lambda parts: _day(parts) == day)
+
+
+def _day(parts: dict[str, str]) -> str:
+    return parts["event_date"]
 
 
 def _day_before(day: str, count: int) -> str:

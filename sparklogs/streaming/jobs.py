@@ -7,7 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import reports
 from ..operators.pipeline import Options, decode, process, route
-from ..sources.sinks import upsert_windows, write_routes
+from ..sources import kafka
+from ..sources.sinks import read_routes, upsert_windows, write_routes
+from ..sources.store import append_hot
 
 GRACE = "30 seconds"
 TRIGGER = "1 second"
@@ -38,19 +40,34 @@ def run_windowed_metrics(
 
 def run_pipeline(
     values: DataFrame, out: str, checkpoint: str, options: Options, as_of: Column | None = None,
-    trigger: str | None = TRIGGER, write: Callable[[DataFrame, str, str], None] = write_routes,
+    trigger: str | None = TRIGGER, write: Callable[[DataFrame, str, str, bool], None] = write_routes,
 ) -> StreamingQuery:
     """Envelopes to outputs, at least once: a batch is done when its write is, and a batch that is
     repeated replaces what it wrote before. With trigger=None it works off the backlog and stops."""
     stamp = F.current_timestamp() if as_of is None else as_of
 
     def one_batch(batch: DataFrame, number: int) -> None:
-        write(route(process(decode(batch), stamp, options)), out, str(number))
+        write(route(process(decode(batch), stamp, options)), out, str(number), True)
 
     writer = values.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return _start(writer, trigger)
 
 
+def run_hot_store(
+    records: DataFrame, root: str, checkpoint: str, stored_at: Column | None = None, name: str = "stream",
+    trigger: str | None = TRIGGER,
+) -> StreamingQuery:
+    """Parsed rows from topic records into the hot tier, by day; rows that are no good records are left to the topic.
+
+    A batch has one name, made of the stream's and its number, so one that is repeated after a failure replaces all
+    its days, and readers see a batch whole or not at all.
+    """
+    def one_batch(batch: DataFrame, number: int) -> None:
+        append_hot(kafka.parse_rows(batch), root, stored_at, f"{name}-{number}", repeated=True)
+
+    return _start(records.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint), trigger)
+
+
 def distinct_events(parsed: DataFrame, delay: str = "10 minutes", time_col: str = "timestamp") -> DataFrame:
     """Drop further copies of an event that arrive within `delay`; state older than that is let go."""
     return parsed.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["event_id"])
@@ -77,7 +94,7 @@ def error_rate_windows(parsed: DataFrame, rule: dict, step: int, grace: str = GR
 
 def batch_ratio(spark: SparkSession, path: str) -> DataFrame:
     """Dead letters as a share of each micro-batch."""
-    rows = spark.read.parquet(path)
+    rows = read_routes(spark, path)
     return rows.groupBy("batch").agg(
         F.count_if(F.col("route") == "parsed").alias("parsed"), F.count_if(F.col("route") == "dlq").alias("dlq"),
     ).select("batch", "parsed", "dlq", F.round(F.try_divide("dlq", F.col("parsed") + F.col("dlq")), 6).alias("dlq_ratio"))
