@@ -1,7 +1,8 @@
 """Jaccard join of texts on word n-grams with an R-tree over count vectors.
 
 A text is the set of its distinct shingles of five words, as 64-bit numbers; texts with equal sets are one node. Two
-nodes link when 100 * intersection >= 80 * union; groups are connected components, named by the smallest id.
+nodes link when 100 * intersection >= 80 * union; groups are connected components, named by the smallest id. Sets are larger than
+texts, so they are made anew from the texts where they are needed and never stored.
 
 The tokens (shingles) are hashed into GROUPS groups, and the counts per group are a text's point. For two points the sum of
 the coordinate minima bounds the intersection from above, and so it does for a point and the upper corner of a rectangle.
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
 from . import graph
-from .common import bounded, stored
+from .common import BLANKS, BROADCAST_ROWS, bounded, stored
 
 K, PERCENT = 5, 80
 GROUPS, FAN = 64, 16
@@ -47,7 +48,7 @@ BLOCK, POINTS = 2_000_000, 4_096
 
 _LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_SET = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("digest", T.BinaryType()), T.StructField("mers", T.BinaryType())])
+_NAME = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("id", T.LongType()), T.StructField("digest", T.BinaryType())])
 
 
 class _Numbers(dict):
@@ -76,17 +77,25 @@ def shingles(text: str | None, numbers: _Numbers) -> np.ndarray:
     return np.unique(out ^ (out >> np.uint64(33)))
 
 
-@arrow_udf(_SET)
+def _named(seed: int):
+    @arrow_udf(_NAME)
+    def name(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        """The size of each set, a number that names it, and a digest to tell whether the number is its own."""
+        numbers = _Numbers()
+        for texts in batches:
+            sets = [shingles(t.as_py(), numbers).tobytes() for t in texts]
+            ids = np.array([xxhash.xxh64_intdigest(m, seed) for m in sets], np.uint64).view(np.int64)
+            yield pa.StructArray.from_arrays([pa.array([len(m) // 8 for m in sets], pa.int32()), pa.array(ids),
+                                              pa.array([xxhash.xxh128_digest(m) for m in sets], pa.binary())], _NAME.names)
+
+    return name
+
+
+@arrow_udf(T.BinaryType())
 def _sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     numbers = _Numbers()
     for texts in batches:
-        sizes, digests, mers = [], [], []
-        for text in texts:
-            own = shingles(text.as_py(), numbers)
-            sizes.append(len(own))
-            mers.append(own.tobytes() if len(own) else None)
-            digests.append(xxhash.xxh128_digest(mers[-1]) if len(own) else None)
-        yield pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), pa.array(mers, pa.binary())], _SET.names)
+        yield pa.array([shingles(t.as_py(), numbers).tobytes() for t in texts], pa.binary())
 
 
 def _of(mers: bytes) -> np.ndarray:
@@ -222,10 +231,10 @@ def _verified(a: pa.Array, b: pa.Array) -> pa.Array:
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each counter was hit in this task, the counters hit at all, in slices."""
-    counts = np.zeros(1 << COUNTER_BITS, np.uint32)
+    counts, numbers = np.zeros(1 << COUNTER_BITS, np.uint32), _Numbers()
     for batch in batches:
-        for mers in batch.column("mers"):
-            np.add.at(counts, (_of(mers.as_buffer()) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), 1)
+        for text in batch.column("text"):
+            np.add.at(counts, (shingles(text.as_py(), numbers) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), 1)
     for i, own in enumerate(counts.reshape(-1, 1 << SLICE_BITS)):
         hit = np.flatnonzero(own)
         if len(hit):
@@ -246,17 +255,19 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([number.as_py()], pa.int32()), pa.array([levels.tobytes()], pa.binary())], ["slice", "levels"])
 
 
-def _prefixes(levels) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _prefixes(levels, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The first shingles of each set in the common order, rare ones first."""
-        table = np.frombuffer(levels.value, np.uint8)
+        table, numbers = np.frombuffer(levels.value, np.uint8), _Numbers()
         for batch in batches:
             keys, ids = [], []
-            for number, mers in zip(batch.column("id").to_pylist(), batch.column("mers")):
-                own = _of(mers.as_buffer())
+            for text in batch.column("text"):
+                own = shingles(text.as_py(), numbers)
+                if not len(own):
+                    continue
                 order = np.argsort(table[(own >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)], kind="stable")
                 keys.append(own[order[:prefix_length(len(own))]])
-                ids.append(np.full(len(keys[-1]), number))
+                ids.append(np.full(len(keys[-1]), xxhash.xxh64_intdigest(own.tobytes(), seed), np.uint64))
                 if sum(map(len, keys)) > 1 << 18:
                     yield _posted(keys, ids)
                     keys, ids = [], []
@@ -266,8 +277,7 @@ def _prefixes(levels) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 
 
 def _posted(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
-    key, number = (np.concatenate([np.zeros(0, t), *v]) for v, t in ((keys, np.uint64), (ids, np.int64)))
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(number, pa.int64())], ["key", "id"])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *v]).view(np.int64)) for v in (keys, ids)], ["key", "id"])
 
 
 def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,21 +287,59 @@ def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), pa.array(own, pa.binary())], ["id", "n", "point"])
 
 
-def _postings(sets: DataFrame) -> DataFrame:
+class Nodes:
+    """The distinct sets of a table of texts: `rows` (doc_id, mark, n, id) and the texts behind them."""
+
+    def __init__(self, docs: DataFrame):
+        # A text is found again by its id and mark; rows that agree in both are copies.
+        self.docs = docs.filter("text is not null").select("doc_id", F.xxhash64("text").alias("mark"), "text")
+        self.seed, clash = -1, True
+        while clash:
+            self.seed += 1
+            named = self.docs.select("doc_id", "mark", _named(self.seed)("text").alias("s"))
+            rows = stored(named.select("doc_id", "mark", "s.*").filter("n > 0"), "rtree-rows")
+            first = F.min_by(F.struct("doc_id", "mark"), F.struct(F.col("doc_id").isNull(), "doc_id", "mark"))
+            nodes = stored(rows.groupBy("id").agg(first.alias("first"), F.first("n").alias("n"), F.min("doc_id").alias("least"),
+                                                  (F.min("digest") != F.max("digest")).alias("clash")), "rtree-nodes")
+            clash = not nodes.filter("clash").isEmpty()  # two sets of one name: all names are made again
+        self.rows = rows.select("doc_id", "mark", "n", "id")
+        self.nodes = nodes.select("id", "first.doc_id", "first.mark", "n", "least")
+
+    def _picked(self, names: DataFrame, how: str) -> DataFrame:
+        same = [self.docs["doc_id"].eqNullSafe(names["doc_id"]), self.docs["mark"] == names["mark"]]
+        return self.docs.join(names, same, how)
+
+    def texts(self) -> DataFrame:
+        """`text` of every node; copies go if a table of them can be broadcast, and otherwise only repeat what is done."""
+        own = self.nodes.select(F.col("id").alias("own"), F.col("doc_id").alias("own_id"), F.col("mark").alias("own_mark"))
+        copies = self.rows.join(bounded(own), F.col("id") == F.col("own")).filter(
+            ~(F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("mark") == F.col("own_mark"))))
+        copies = stored(copies.select("doc_id", "mark").distinct(), "rtree-copies")
+        return (self._picked(F.broadcast(copies), "left_anti") if copies.count() <= BROADCAST_ROWS else self.docs).select("text")
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """The wanted nodes (id, further columns) with n and their sets."""
+        names = stored(wanted.join(bounded(self.nodes.select("id", "doc_id", "mark", "n")), "id"), "rtree-wanted")
+        found = self._picked(bounded(names), "inner")
+        return found.select(*[names[c] for c in wanted.columns], names["n"], _sets("text").alias("mers"))
+
+
+def _postings(nodes: Nodes) -> DataFrame:
     """key, id of the keys that several nodes share, with the smallest of them as `pivot`; written."""
-    spark = sets.sparkSession
-    tallied = sets.select("mers").mapInArrow(_tally, "slice int, places binary, counts binary")
+    texts = nodes.texts()
+    spark = texts.sparkSession
+    tallied = texts.mapInArrow(_tally, "slice int, places binary, counts binary")
     slices = tallied.groupBy("slice").applyInArrow(_summed, "slice int, levels binary").collect()  # 2 ** COUNTER_BITS bytes at most
     levels = np.zeros((1 << COUNTER_BITS - SLICE_BITS, 1 << SLICE_BITS), np.uint8)
     for row in slices:
         levels[row["slice"]] = np.frombuffer(row["levels"], np.uint8)
-    posted = stored(sets.select("id", "mers").mapInArrow(_prefixes(spark.sparkContext.broadcast(levels.tobytes())), "key bigint, id bigint"),
-                    "rtree-posted")
-    shared = posted.groupBy("key").agg(F.count("*").alias("members"), F.min("id").alias("pivot")).filter("members > 1")
-    return stored(posted.join(bounded(stored(shared.select("key", "pivot"), "rtree-keys")), "key"), "rtree-postings")
+    prefixes = _prefixes(spark.sparkContext.broadcast(levels.tobytes()), nodes.seed)
+    posted = stored(texts.mapInArrow(prefixes, "key bigint, id bigint"), "rtree-posted")
+    shared = posted.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).filter("pivot <> last")
+    return stored(posted.join(bounded(stored(shared.select("key", "pivot"), "rtree-keys")), "key").distinct(), "rtree-postings")
 
 
-def _rest(postings: DataFrame, sets: DataFrame, roots: DataFrame, dealt: DataFrame) -> DataFrame:
+def _rest(postings: DataFrame, nodes: Nodes, roots: DataFrame, dealt: DataFrame) -> DataFrame:
     """Links between the components of dealt groups that share a key, every pair of them being compared."""
     live = postings.select("key", "id").join(bounded(stored(dealt.select("id"), "rtree-dealt")), "id")
     live = stored(graph.rooted(live.withColumn("root", F.col("id")), "root", roots), "rtree-live")
@@ -300,8 +348,7 @@ def _rest(postings: DataFrame, sets: DataFrame, roots: DataFrame, dealt: DataFra
     mixed = mixed.select("key", F.col("top.root").alias("top"), F.ceil((F.col("all") - F.col("top.n")) / POINTS).alias("others"),
                          F.ceil(F.col("top.n") / POINTS).alias("tops"), "all")
     live = stored(live.join(bounded(stored(mixed, "rtree-mixed")), "key"), "rtree-mixed-live")
-    wanted = bounded(stored(live.select("id").distinct(), "rtree-wanted"))
-    pointed = stored(sets.join(wanted, "id", "left_semi").select("id", "n", "mers").mapInArrow(_pointed, "id bigint, n int, point binary"), "rtree-points")
+    pointed = stored(nodes.sets(live.select("id").distinct()).mapInArrow(_pointed, "id bigint, n int, point binary"), "rtree-points")
     # A member meets every block of the others; a member of the heaviest component only those.
     is_other, place = F.col("root") != F.col("top"), F.xxhash64("id")
     part = F.when(is_other, F.pmod(place, "others")).otherwise(F.col("others") + F.pmod(place, "tops"))
@@ -314,18 +361,20 @@ def _rest(postings: DataFrame, sets: DataFrame, roots: DataFrame, dealt: DataFra
     pairs = placed.select("key", "id", "root", "n", "part", "i", "j", "point", bin_of.alias("bin")).groupBy("bin").applyInArrow(
         _survivors, "a bigint, b bigint")
     pairs = stored(pairs.distinct(), "rtree-survivors")
+    both = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = stored(nodes.sets(both).dropDuplicates(["id"]), "rtree-fetched")
     for side in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("mers").alias(f"mers_{side}")), side)
     return stored(pairs.select("a", "b", _verified("mers_a", "mers_b").alias("near")).filter("near").select("a", "b"), "rtree-late")
 
 
-def _roots(sets: DataFrame) -> DataFrame | None:
-    """node and root of the nodes (id, n, mers) that link with others; None if none do."""
-    postings = _postings(sets)
+def _roots(nodes: Nodes) -> DataFrame | None:
+    """node and root of the nodes that link with others; None if none do."""
+    postings = _postings(nodes)
     edges = stored(postings.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "rtree-edges")
     if edges.isEmpty():
         return None
-    sizes = sets.select("id", "n")
+    sizes = nodes.nodes.select("id", "n")
     groups = graph.components(edges).select(F.col("node").alias("id"), F.col("root").alias("group"))
     groups = stored(groups.join(sizes, "id"), "rtree-groups")
     weights = stored(groups.groupBy("group").agg(F.sum(F.col("n").cast("bigint") + GROUPS).alias("weight")), "rtree-weights")
@@ -338,7 +387,7 @@ def _roots(sets: DataFrame) -> DataFrame | None:
         """Links within the trees of the groups; members are id, group, blocks, root."""
         block = F.when(F.col("blocks") > 1, F.xxhash64("group", F.pmod(F.xxhash64("id", F.lit(salt)), "blocks"))).otherwise(
             F.pmod(F.xxhash64("group"), F.lit(bins)))
-        rows = sets.select("id", "mers").join(bounded(stored(members.withColumn("block", block), "rtree-members")), "id")
+        rows = nodes.sets(members.withColumn("block", block).select("id", "group", "root", "block"))
         found = rows.select("block", "group", "id", "root", "mers").groupBy("block").applyInArrow(_trees, "a bigint, b bigint")
         return stored(found, "rtree-links")
 
@@ -346,7 +395,7 @@ def _roots(sets: DataFrame) -> DataFrame | None:
     if dealt.isEmpty():
         return None if found.isEmpty() else graph.components(found)
     for settle in (lambda roots: joined(graph.rooted(dealt.withColumn("root", F.col("id")), "root", roots), 1),
-                   lambda roots: _rest(postings, sets, roots, dealt)):
+                   lambda roots: _rest(postings, nodes, roots, dealt)):
         roots = graph.components(found) if not found.isEmpty() else placed.select(F.col("id").alias("node"), F.col("id").alias("root"))
         found = stored(found.unionByName(settle(roots)), "rtree-links")
     return None if found.isEmpty() else graph.components(found)
@@ -354,22 +403,20 @@ def _roots(sets: DataFrame) -> DataFrame | None:
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    rows = docs.select("doc_id", _sets("text").alias("s"))
-    rows = stored(rows.select("doc_id", "s.*").withColumn("row", F.monotonically_increasing_id()), "rtree-sets")
-    nodes = rows.filter("n > 0").groupBy("digest").agg(F.min("row").alias("id"), F.min("doc_id").alias("least"))
-    nodes = stored(nodes, "rtree-nodes")
-    own = rows.filter("n > 0").withColumnRenamed("row", "id").join(bounded(nodes.select("id")), "id", "left_semi").select("id", "n", "mers")
-    roots = _roots(own)
+    nodes = Nodes(docs)
+    roots = _roots(nodes)
+    every = nodes.nodes.select("id", "least")
     if roots is None:
-        named = nodes.select("digest", F.col("least").alias("component_id"))
+        named = every.select("id", F.col("least").alias("component_id"))
     else:
-        members = stored(nodes.join(bounded(roots.withColumnRenamed("node", "id")), "id"), "rtree-linked")
+        members = stored(every.join(bounded(roots.withColumnRenamed("node", "id")), "id"), "rtree-linked")
         smallest = stored(members.groupBy("root").agg(F.min("least").alias("component_id")), "rtree-smallest")
-        linked_ids = members.join(bounded(smallest), "root").select("digest", F.col("component_id").alias("linked_id"), F.lit(True).alias("is_linked"))
-        named = nodes.join(bounded(stored(linked_ids, "rtree-named")), "digest", "left").select(
-            "digest", F.when(F.col("is_linked"), F.col("linked_id")).otherwise(F.col("least")).alias("component_id"))
+        linked_ids = members.join(bounded(smallest), "root").select("id", F.col("component_id").alias("linked_id"), F.lit(True).alias("is_linked"))
+        named = every.join(bounded(stored(linked_ids, "rtree-named")), "id", "left").select(
+            "id", F.when(F.col("is_linked"), F.col("linked_id")).otherwise(F.col("least")).alias("component_id"))
     named = bounded(stored(named, "rtree-components"))
-    with_set = rows.filter("n > 0").select("doc_id", "n", "digest").join(named, "digest")
-    alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    every = with_set.select("doc_id", "n", "component_id").unionByName(alone)
-    return every.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id")
+    with_set = nodes.rows.join(named, "id").select("doc_id", "n", "component_id")
+    # Rows without words are in no table of sets; blanks alone tell them.
+    alone = docs.filter(F.length(F.btrim(F.coalesce("text", F.lit("")), F.lit(BLANKS))) == 0)
+    alone = alone.select("doc_id", F.lit(0).alias("n"), F.col("doc_id").alias("component_id"))
+    return with_set.unionByName(alone).select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id")
