@@ -11,7 +11,7 @@ from ..functions.text import iso_text
 from ..functions.validate import unknown_json_fields
 from ..operators import alerts, dedupe, intake, lookup, metrics, pipeline, recon, reports, sequences, wiki
 from ..session import configure, scratch_path, spread
-from ..sources import files, kafka, sinks, store
+from ..sources import commits, files, kafka, sinks, store
 from ..streaming import alert_state, jobs
 from . import fixtures as X, oracle as O
 
@@ -617,24 +617,45 @@ def retention(spark, sf_dir):
     return metrics.rows_per_stream(**{name: store.kept(rows, name, as_of()) for name in fixed.RETENTION_HOURS})
 
 
-def _store_rows(spark, sf_dir):
+def _store_rows(spark, sf_dir, events=None):
     """Parsed rows as they leave the pipeline, times as ISO text, every fiftieth of them unreadable."""
     text = iso_text(F.col("timestamp"))
-    rows = X.parsed(spark, sf_dir)
+    rows = X.parsed_from(X.table(spark, sf_dir, "events") if events is None else events)
     broken = {"timestamp": F.when(F.col("id") % 50 == 0, "soon").otherwise(text), "ingested_at": iso_text(F.col("ingested_at"))}
     missing = [n for n in store.PARSED_COLUMNS if n not in rows.columns]
     return rows.withColumns({**{n: F.lit(None).cast("string") for n in missing}, **broken})
 
 
-@query("hot_roundtrip", f"""WITH {O.PARSED}
+_HOT_SQL = f"""WITH {O.PARSED}
 SELECT event_id, CASE WHEN id % 50 = 0 THEN TIMESTAMP '1970-01-01' ELSE timestamp END AS timestamp, ingested_at, service,
   host, status_code, response_time_ms, is_error, CAST(CASE WHEN id % 50 = 0 THEN DATE '1970-01-01' ELSE timestamp END AS DATE)
-  AS event_date FROM parsed""")
+  AS event_date FROM parsed"""
+
+
+def _hot_rows(frame):
+    return frame.select(
+        "event_id", "timestamp", "ingested_at", "service", "host", "status_code", "response_time_ms", "is_error", "event_date")
+
+
+@query("hot_roundtrip", _HOT_SQL)
 def hot_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "store")
     store.append_hot(_store_rows(spark, sf_dir), root, as_of(), batch="1")
-    return store.read_store(spark, root).select(
-        "event_id", "timestamp", "ingested_at", "service", "host", "status_code", "response_time_ms", "is_error", "event_date")
+    return _hot_rows(store.read_store(spark, root))
+
+
+@query("rewrite_hot_batch", f"""WITH {O.PARSED}, moved AS (SELECT *, timestamp + INTERVAL 3 DAY AS t FROM parsed WHERE id % 3 = 0 OR id % 7 = 0)
+SELECT event_id, CASE WHEN id % 7 = 0 THEN timestamp ELSE t END AS timestamp, CAST(CASE WHEN id % 7 = 0 THEN timestamp ELSE t END AS DATE) AS event_date,
+  CASE WHEN id % 7 = 0 THEN 'other' ELSE 'again' END AS written FROM moved""")
+def rewrite_hot_batch(spark, sf_dir):
+    """A batch written again with other rows on other days replaces all it wrote, and nothing of another batch."""
+    root, parsed = scratch_path(spark, "store"), X.parsed(spark, sf_dir)
+    rows = _store_rows(spark, sf_dir).drop("timestamp").join(parsed.select("event_id", "timestamp"), "event_id")
+    store.append_hot(rows.filter("id % 7 <> 0").withColumn("host", F.lit("first")), root, as_of(), batch="1")
+    store.append_hot(rows.filter("id % 7 = 0").withColumn("host", F.lit("other")), root, as_of(), batch="2")
+    later = rows.filter("id % 3 = 0 and id % 7 <> 0").withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 3 DAYS"))
+    store.append_hot(later.withColumn("host", F.lit("again")), root, as_of(), batch="1")
+    return store.read_store(spark, root).select("event_id", "timestamp", "event_date", F.col("host").alias("written"))
 
 
 @query("move_to_cold", f"""WITH {O.PARSED}, moved AS (
@@ -944,6 +965,58 @@ def service_metrics_1m_stream(spark, sf_dir):
     return sinks.latest_windows(spark, f"{path}/out", "service", "window_start")
 
 
+@query("hot_stream", _HOT_SQL)
+def hot_stream(spark, sf_dir):
+    """Topic records into the hot table by a stream, then read as one table."""
+    path = scratch_path(spark, "hot-stream")
+    rows = _store_rows(spark, sf_dir, _event_stream(spark, sf_dir))
+    records = rows.select(F.col("service").alias("key"), F.to_json(F.struct(*store.PARSED_COLUMNS)).alias("value"))
+    _finish(jobs.run_hot_store(records, f"{path}/store", f"{path}/checkpoint", as_of(), trigger=None))
+    return _hot_rows(store.read_store(spark, f"{path}/store"))
+
+
+_KEPT_SQL = " UNION ALL ".join(
+    f"SELECT '{route}' AS route, day AS event_date FROM arrived WHERE {which} "
+    f"AND day >= DATE '{X.AS_OF[:10]}' - {fixed.RETENTION_HOURS[stream] // 24}"
+    for route, stream, which in (("parsed", "parsed", "stage IS NULL"), ("errors", "errors", "stage IS NULL AND is_error"),
+                                 ("dlq", "dead_letters", "stage IS NOT NULL")))
+
+
+@query("stream_retention", f"""WITH {O.LOG_LINES}, arrived AS (
+  SELECT *, CASE WHEN stage = 'decode' THEN DATE '{X.AS_OF[:10]}' ELSE CAST(ingested_at AS DATE) END AS day FROM log_lines),
+kept AS ({_KEPT_SQL}) SELECT route, event_date, count(*) AS rows FROM kept GROUP BY 1, 2""")
+def stream_retention(spark, sf_dir):
+    """The outputs of a stream after their expired days were dropped and one day was compacted."""
+    path = scratch_path(spark, "retention")
+    arrived = F.coalesce(F.col("ingested_at").cast("timestamp"), as_of())  # not known where decoding fails
+    lines = X.log_lines_from(_event_stream(spark, sf_dir)).select(F.to_json(F.struct(
+        "event_id", "ingested_at", "host", "service", "source_format", "raw_message")).alias("value"))
+    _finish(jobs.run_pipeline(lines, f"{path}/out", f"{path}/checkpoint", X.OPTIONS, arrived, trigger=None))
+    sinks.expire_routes(spark, f"{path}/out", X.AS_OF[:10])
+    sinks.compact_routes(spark, f"{path}/out", "2024-01-29")
+    rows = sinks.read_routes(spark, f"{path}/out")
+    return rows.groupBy("route", F.to_date("processed_at").alias("event_date")).agg(F.count("*").alias("rows"))
+
+
+@query("compacted_windows", _METRICS_1M)
+def compacted_windows(spark, sf_dir):
+    """The windowed metrics over a restart of their stream, compacted before and after it."""
+    path, keys = scratch_path(spark, "compacted"), ("service", "window_start")
+    events = X.table(spark, sf_dir, "events")
+    # The cut is within a minute, so that windows have versions on both sides of the restart.
+    cut = F.col("ts").cast("timestamp") < X.time("2024-01-15 12:30:30")
+    for part in (cut, ~cut):
+        events.filter(part).write.mode("append").parquet(f"{path}/events")
+        stream = files.read_stream_files(spark, f"{path}/events", events.schema)
+        _finish(jobs.run_windowed_metrics(X.parsed_from(stream), f"{path}/out", f"{path}/checkpoint", trigger=None))
+        before = sinks.latest_windows(spark, f"{path}/out", *keys)
+        sinks.compact_windows(spark, f"{path}/out", *keys)
+        if before.count() != sinks.latest_windows(spark, f"{path}/out", *keys).count():
+            raise ValueError("a reader that began before the compaction sees other windows")
+    commits.vacuum(spark, f"{path}/out", older_than=0)
+    return sinks.latest_windows(spark, f"{path}/out", *keys)
+
+
 @query("stream_parse", f"WITH {O.RAW_JSON} {_ROUTES_SQL.format(t='raw_json')}")
 def stream_parse(spark, sf_dir):
     path = scratch_path(spark, "pipeline")
