@@ -81,3 +81,12 @@ def alert_states(evaluations: DataFrame, rule: dict, step: int = STEP) -> DataFr
     quiet = evaluations.filter(~breached).select(
         *keys, "eval_s", "value", F.lit(0).cast("bigint").alias("held_seconds"), F.lit("Normal").alias("state"))
     return loud.unionByName(quiet).withColumn("eval_ts", F.timestamp_seconds("eval_s"))
+
+
+def with_silence(states: DataFrame, step: int = STEP) -> DataFrame:
+    """The states plus, after a Pending or Firing one that no evaluation follows, the missing evaluation as Normal."""
+    after = F.lead("eval_s").over(Window.partitionBy("rule", "service").orderBy("eval_s"))
+    gaps = states.withColumn("_next", after).filter((F.col("state") != "Normal") & ~F.coalesce(F.col("_next") == F.col("eval_s") + step, F.lit(False)))
+    ended = gaps.select("rule", "service", (F.col("eval_s") + step).alias("eval_s"), F.lit(None).cast("double").alias("value"),
+                        F.lit(0).cast("bigint").alias("held_seconds"), F.lit("Normal").alias("state"))
+    return states.unionByName(ended.withColumn("eval_ts", F.timestamp_seconds("eval_s")))

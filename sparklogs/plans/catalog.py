@@ -879,14 +879,21 @@ def lag_alert(spark, sf_dir):
 _DLQ_RULE = {**fixed.DLQ_RULE, "threshold": 1.0}
 
 
-@query("dlq_alert", f"""WITH {O.DENSE}, panes AS (
+_DLQ_STATES = f"""WITH {O.DENSE}, panes AS (
   SELECT {O.pane()} AS pane, count(*) AS n FROM dense WHERE id % 20 = 0 OR (id // 2000 % 3 = 1 AND id % 2 = 0) GROUP BY 1
 ), spread AS (SELECT pane + i * 30 AS eval_s, n FROM panes, range(0, 10) AS r(i)
 ), evals AS (SELECT 'all' AS service, eval_s, sum(n)::DOUBLE / 300 AS value FROM spread GROUP BY 2
-), {O.states(1.0, 120)} SELECT service, eval_s, value, held_seconds, state FROM states""")
-def dlq_alert(spark, sf_dir):
+), {O.states(1.0, 120)} SELECT service, eval_s, value, held_seconds, state FROM states"""
+
+
+def _dense_dead(rows):
     burst = (F.floor(F.col("id") / 2000) % 3 == 1) & (F.col("id") % 2 == 0)
-    dead = X.dense(spark, sf_dir).filter((F.col("id") % 20 == 0) | burst)
+    return rows.filter((F.col("id") % 20 == 0) | burst)
+
+
+@query("dlq_alert", _DLQ_STATES)
+def dlq_alert(spark, sf_dir):
+    dead = _dense_dead(X.dense(spark, sf_dir))
     return _state_columns(alerts.alert_states(alerts.dlq_evaluations(dead, "timestamp", _DLQ_RULE), _DLQ_RULE))
 
 
@@ -1035,16 +1042,64 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.parquet(f"{path}/out")
 
 
+def _with_end(spark, path, rows, *times):
+    """A stream and, after it, one row long after all others, so that the last windows close, too."""
+    end = {t: F.timestamp_micros(F.unix_micros(X.time(X.AS_OF)) + F.lit(366 * 86_400_000_000)) for t in times}
+    last = spark.range(1).select(*[end.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema])
+    last.write.parquet(path)
+    return rows.unionByName(files.read_stream_files(spark, path, last.schema))
+
+
+def _stream_states(spark, evaluations, path, rule):
+    _finish(jobs.run_append(alert_state.stateful_alerts(evaluations, rule), f"{path}/out", f"{path}/checkpoint", trigger=None))
+    return _state_columns(spark.read.parquet(f"{path}/out"))
+
+
 @query("alert_state_stream", _STATES)
 def alert_state_stream(spark, sf_dir):
-    """Evaluations land in a table; a second stream keeps the alert states."""
-    path = scratch_path(spark, "alerts")
+    """From events to states in one stream: panes, trailing windows, states with timers."""
+    path, rule = scratch_path(spark, "alerts"), fixed.ERROR_RATE_RULE
+    rows = X.dense_from(_event_stream(spark, sf_dir)).select("service", "timestamp", "is_error")
+    windows = jobs.error_rate_windows(_with_end(spark, f"{path}/end", rows, "timestamp"), rule, alerts.STEP)
+    # What silence ended has no value.
+    return _stream_states(spark, windows, path, rule).filter("value is not null")
+
+
+_SILENT = "NOT (service = 'svc-3' AND id // 2000 % 2 = 1)"
+_SILENCE_SQL = f"""WITH {O.DENSE.replace("FROM parsed" + chr(10) + ")", f"FROM parsed WHERE {_SILENT}" + chr(10) + ")")}, {_ERROR_EVALS}, {O.states(5, 60)},
+follow AS (SELECT *, lead(eval_s) OVER (PARTITION BY service ORDER BY eval_s) AS next_s FROM states)
+SELECT service, eval_s, value, held_seconds, state FROM states UNION ALL
+SELECT service, eval_s + 30, NULL, 0, 'Normal' FROM follow WHERE state <> 'Normal' AND next_s IS DISTINCT FROM eval_s + 30"""
+
+
+def _silent(rows):
+    """One service says nothing for 500 seconds of every 1,000, and in one of these its alert was firing before."""
+    return rows.filter(~((F.col("service") == "svc-3") & (F.floor(F.col("id") / 2000) % 2 == 1)))
+
+
+@query("alert_silence", _SILENCE_SQL)
+def alert_silence(spark, sf_dir):
     rule = fixed.ERROR_RATE_RULE
-    evaluations = alerts.error_rate_evaluations(X.dense(spark, sf_dir), rule)
-    evaluations.write.parquet(f"{path}/evaluations")
-    stream = files.read_stream_files(spark, f"{path}/evaluations", evaluations.schema)
-    _finish(jobs.run_append(alert_state.stateful_alerts(stream, rule), f"{path}/out", f"{path}/checkpoint", trigger=None))
-    return _state_columns(spark.read.parquet(f"{path}/out"))
+    states = alerts.alert_states(alerts.error_rate_evaluations(_silent(X.dense(spark, sf_dir)), rule), rule)
+    return _state_columns(alerts.with_silence(states))
+
+
+@query("alert_silence_stream", _SILENCE_SQL)
+def alert_silence_stream(spark, sf_dir):
+    """A service that falls silent while its alert fires becomes Normal."""
+    path, rule = scratch_path(spark, "silence"), fixed.ERROR_RATE_RULE
+    rows = _silent(X.dense_from(_event_stream(spark, sf_dir))).select("service", "timestamp", "is_error")
+    windows = jobs.error_rate_windows(_with_end(spark, f"{path}/end", rows, "timestamp"), rule, alerts.STEP)
+    return _stream_states(spark, windows, path, rule)
+
+
+@query("dlq_alert_stream", _DLQ_STATES)
+def dlq_alert_stream(spark, sf_dir):
+    path = scratch_path(spark, "dlq-alerts")
+    dead = _dense_dead(X.dense_from(_event_stream(spark, sf_dir))).select(F.col("timestamp").alias("failed_at"))
+    windows = jobs.dlq_windows(_with_end(spark, f"{path}/end", dead, "failed_at"), _DLQ_RULE, alerts.STEP)
+    end_s = F.unix_seconds(X.time(X.AS_OF))  # the last row is no dead letter
+    return _stream_states(spark, windows, path, _DLQ_RULE).filter((F.col("eval_s") < end_s) & F.col("value").isNotNull())
 
 
 def all_queries() -> dict[str, Query]:

@@ -4,41 +4,65 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.alerts import STEP
 
 OUTPUT = "rule string, service string, eval_s bigint, value double, held_seconds bigint, state string"
 STATE = "since bigint, last bigint"
+COLUMNS = [c.split()[0] for c in OUTPUT.split(", ")]
 
 
-def stateful_alerts(evaluations: DataFrame, rule: dict, step: int = STEP) -> DataFrame:
-    """States of a stream of evaluations (rule, service, eval_s, value), one instance per service.
+class AlertStates(StatefulProcessor):
+    """Of each rule and service: when the current breach began (-1: none) and the last evaluation."""
 
-    The state is two numbers: when the current breach began and when it was last seen. A gap between
-    evaluations ends a breach. Evaluations must reach a service in order of time.
-    """
-    threshold, hold = rule["threshold"], rule["hold_seconds"]
+    def __init__(self, threshold: float, hold: int, step: int, timed: bool):
+        self._threshold, self._hold, self._step, self._timed = threshold, hold, step, timed
 
-    def update(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        since, last = state.get if state.exists else (-1, -1)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle, self._state = handle, handle.getValueState("breach", STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        since, last = map(int, self._state.get()) if self._state.exists() else (-1, -1)
+        out = []
         # One row per 30 seconds and service: a batch holds few of them.
-        rows = pd.concat(list(chunks)).sort_values("eval_s")
-        held, names = [], []
-        for moment, value in zip(rows["eval_s"], rows["value"]):
-            if value > threshold:
-                if since < 0 or moment - last > step:
-                    since = int(moment)
-                held.append(int(moment) - since)
-                names.append("Firing" if moment - since >= hold else "Pending")
+        frame = pd.concat(list(rows)).sort_values("eval_s")
+        for moment, value in zip(frame["eval_s"].tolist(), frame["value"].tolist()):
+            if since >= 0 and moment - last > self._step:
+                out.append((*key, last + self._step, None, 0, "Normal"))
+                since = -1
+            last = moment
+            if value > self._threshold:
+                since = last if since < 0 else since
+                out.append((*key, last, value, last - since, "Firing" if last - since >= self._hold else "Pending"))
             else:
                 since = -1
-                held.append(0)
-                names.append("Normal")
-            last = int(moment)
-        state.update((since, last))
-        yield rows[["rule", "service", "eval_s", "value"]].assign(held_seconds=held, state=names)
-
-    return evaluations.groupBy("rule", "service").applyInPandasWithState(
-        update, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
-    ).withColumn("eval_ts", F.timestamp_seconds("eval_s"))
+                out.append((*key, last, value, 0, "Normal"))
+        if self._timed:
+            for timer in list(self._handle.listTimers()):
+                self._handle.deleteTimer(timer)
+            if since >= 0:
+                # One step of slack: by then an evaluation that does exist has come.
+                self._handle.registerTimer((last + 2 * self._step) * 1000)
+        self._state.update((since, last))
+        yield pd.DataFrame(out, columns=COLUMNS)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        since, last = map(int, self._state.get())
+        self._state.clear()
+        yield pd.DataFrame([(*key, last + self._step, None, 0, "Normal")], columns=COLUMNS)
+
+
+def stateful_alerts(evaluations: DataFrame, rule: dict, step: int = STEP) -> DataFrame:
+    """States of a stream of evaluations (rule, service, eval_s, value), one instance per service.
+
+    A gap between evaluations ends a breach: the first evaluation that is missing counts as Normal, without a value. If
+    `evaluations` has eval_time with a watermark, as the windows of `jobs` do, a timer tells that as soon as the evaluation
+    can no longer come, and the evaluations may come from aggregations of the same stream; without it, the next
+    evaluation tells. Evaluations must reach a service in order of time.
+    """
+    timed = "eval_time" in evaluations.columns
+    processor = AlertStates(rule["threshold"], rule["hold_seconds"], step, timed)
+    states = evaluations.groupBy("rule", "service").transformWithStateInPandas(
+        processor, OUTPUT, "Append", "EventTime" if timed else "None")
+    return states.withColumn("eval_ts", F.timestamp_seconds("eval_s"))

@@ -79,17 +79,37 @@ def run_append(rows: DataFrame, out: str, checkpoint: str, trigger: str | None =
     return _start(writer, trigger)
 
 
+def _trailing(panes: DataFrame, rule: dict, step: int, *keys: str) -> DataFrame:
+    """Sums of 30-second panes over the trailing window (end - length, end] of every evaluation, with its time.
+
+    The panes are repeated for the windows they are in, never the events behind them.
+    """
+    windows = F.window(F.window_time("_pane"), f"{rule['window_seconds']} seconds", f"{step} seconds")
+    sums = [F.sum(c).alias(c) for c in panes.columns if c not in ("_pane", *keys)]
+    return panes.groupBy(windows.alias("_w"), *keys).agg(*sums).select(
+        "*", F.lit(rule["rule"]).alias("rule"), F.unix_seconds("_w.end").alias("eval_s"), F.window_time("_w").alias("eval_time"))
+
+
+def _panes(rows: DataFrame, time: str, step: int, grace: str):
+    """The rows with a watermark, and the pane each is in. Windows close at their start; one microsecond moves that to their end."""
+    shifted = rows.withColumn("_at", F.timestamp_micros(F.unix_micros(time) - 1)).withWatermark("_at", grace)
+    return shifted, F.window("_at", f"{step} seconds").alias("_pane")
+
+
 def error_rate_windows(parsed: DataFrame, rule: dict, step: int, grace: str = GRACE) -> DataFrame:
-    """Evaluations of the error-rate rule on a stream: windows (end - length, end] every `step` seconds."""
-    # Windows close at their start; one microsecond moves that to their end.
-    shifted = parsed.withColumn("_at", F.timestamp_micros(F.unix_micros("timestamp") - 1)).withWatermark("_at", grace)
-    windows = F.window("_at", f"{rule['window_seconds']} seconds", f"{step} seconds")
-    return shifted.groupBy(windows.alias("_w"), "service").agg(
-        F.count("*").alias("requests"), F.count_if("is_error").alias("errors")
-    ).filter(F.col("requests") >= rule["min_rows"]).select(
-        F.lit(rule["rule"]).alias("rule"), "service", F.unix_seconds("_w.end").alias("eval_s"),
-        F.round(100 * F.col("errors").cast("double") / F.col("requests"), 3).alias("value"),
-    )
+    """Evaluations of the error-rate rule on a stream of parsed rows, every `step` seconds."""
+    rows, pane = _panes(parsed, "timestamp", step, grace)
+    panes = rows.groupBy(pane, "service").agg(F.count("*").alias("requests"), F.count_if("is_error").alias("errors"))
+    return _trailing(panes, rule, step, "service").filter(F.col("requests") >= rule["min_rows"]).select(
+        "rule", "service", "eval_s", F.round(100 * F.col("errors").cast("double") / F.col("requests"), 3).alias("value"), "eval_time")
+
+
+def dlq_windows(dead: DataFrame, rule: dict, step: int, time: str = "failed_at", grace: str = GRACE) -> DataFrame:
+    """Evaluations of the dead-letter rule on a stream of dead letters: letters a second over the trailing window."""
+    rows, pane = _panes(dead, time, step, grace)
+    panes = rows.groupBy(pane).agg(F.count("*").alias("_n"))
+    return _trailing(panes, rule, step).select(
+        "rule", F.lit("all").alias("service"), "eval_s", (F.col("_n") / rule["window_seconds"]).alias("value"), "eval_time")
 
 
 def batch_ratio(spark: SparkSession, path: str) -> DataFrame:
