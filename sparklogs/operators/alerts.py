@@ -41,10 +41,14 @@ def error_rate_now(frame: DataFrame, as_of: Column, rule: dict = fixed.ERROR_RAT
     ).filter(F.col("requests") >= rule["min_rows"])
 
 
+def visible_groups(offsets: DataFrame) -> DataFrame:
+    """Offset rows of the groups that are not internal."""
+    return offsets.filter(~F.col("consumergroup").rlike("^_confluent") & ~F.col("consumergroup").startswith("_internal"))
+
+
 def lag_evaluations(offsets: DataFrame, rule: dict = fixed.LAG_RULE) -> DataFrame:
     """Lag per visible consumer group at every evaluation: last known value of each partition."""
-    visible = offsets.filter(~F.col("consumergroup").rlike("^_confluent")
-                             & ~F.col("consumergroup").startswith("_internal"))
+    visible = visible_groups(offsets)
     keys = ["consumergroup", "topic", "partition"]
     panes = visible.groupBy(*keys, interval_key(F.col("ts"), STEP).alias("pane")).agg(
         F.max_by(F.col("latest") - F.col("committed"), "ts").alias("_lag"))
@@ -90,3 +94,11 @@ def with_silence(states: DataFrame, step: int = STEP) -> DataFrame:
     ended = gaps.select("rule", "service", (F.col("eval_s") + step).alias("eval_s"), F.lit(None).cast("double").alias("value"),
                         F.lit(0).cast("bigint").alias("held_seconds"), F.lit("Normal").alias("state"))
     return states.unionByName(ended.withColumn("eval_ts", F.timestamp_seconds("eval_s")))
+
+
+def state_changes(states: DataFrame, step: int = STEP) -> DataFrame:
+    """The evaluations at which an instance's state is another than before; one that starts, or comes back, was Normal."""
+    before = Window.partitionBy("rule", "service").orderBy("eval_s")
+    follows = F.lag("eval_s").over(before) == F.col("eval_s") - step
+    last = F.coalesce(F.when(follows, F.lag("state").over(before)), F.lit("Normal"))
+    return states.withColumn("_last", last).filter(F.col("state") != F.col("_last")).drop("_last")

@@ -133,6 +133,23 @@ def gauge_sum(samples: DataFrame, *labels: str) -> DataFrame:
 _PARTITION = ["consumergroup", "topic", "partition"]
 
 
+def positions_as_of(committed: DataFrame, latest: DataFrame) -> DataFrame:
+    """Offset rows (see OFFSET_SCHEMA) at every moment either side reported, each with the other side's last known value.
+
+    `committed` has ts, consumergroup, topic, partition, committed; `latest` ts, topic, partition, latest. A group meets the
+    reports of the partitions it has a position in; the rows of a partition are bounded by the clock, not by traffic.
+    """
+    keys = ["consumergroup", "topic", "partition"]
+    groups = committed.select(*keys).distinct()
+    theirs = latest.join(groups, ["topic", "partition"]).select(
+        "ts", *keys, F.lit(None).cast("bigint").alias("committed"), F.col("latest").cast("bigint"))
+    ours = committed.select("ts", *keys, F.col("committed").cast("bigint"), F.lit(None).cast("bigint").alias("latest"))
+    moments = ours.unionByName(theirs).groupBy("ts", *keys).agg(F.max("committed").alias("committed"), F.max("latest").alias("latest"))
+    so_far = Window.partitionBy(*keys).orderBy("ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = [F.last(c, ignorenulls=True).over(so_far).alias(c) for c in ("committed", "latest")]
+    return moments.select("ts", *keys, *filled).filter("committed is not null and latest is not null")
+
+
 def consumer_lag(offsets: DataFrame, groups: DataFrame) -> DataFrame:
     """Lag of each listed group now. A group without samples has an unknown lag: null, never 0."""
     latest = latest_by(offsets, _PARTITION, "committed", "latest")

@@ -12,7 +12,7 @@ from ..functions.validate import unknown_json_fields
 from ..operators import alerts, dedupe, intake, lookup, metrics, pipeline, recon, reports, sequences, wiki
 from ..session import configure, scratch_path, spread
 from ..sources import commits, files, kafka, sinks, store
-from ..streaming import alert_state, jobs
+from ..streaming import alert_state, jobs, progress
 from . import fixtures as X, oracle as O
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -865,15 +865,26 @@ def alert_state_query(spark, sf_dir):
 _LAG_RULE = {**fixed.LAG_RULE, "threshold": 12}
 
 
-@query("lag_alert", f"""WITH {O.OFFSETS}, panes AS (
+# Changes of state only: a lagging group has an evaluation every 30 seconds for as long as it is looked at.
+_LAG_CHANGES = f"""WITH {O.OFFSETS}, panes AS (
   SELECT consumergroup, partition, {O.pane('ts')} AS pane, arg_max(latest - committed, ts) AS lag FROM offsets
   WHERE consumergroup <> '_internal' GROUP BY 1, 2, 3
 ), spread AS (SELECT consumergroup, partition, pane + i * 30 AS eval_s, pane, lag FROM panes, range(0, 10) AS r(i)
 ), known AS (SELECT consumergroup, partition, eval_s, arg_max(lag, pane) AS lag FROM spread GROUP BY 1, 2, 3
 ), evals AS (SELECT consumergroup AS service, eval_s, CAST(sum(lag) AS DOUBLE) AS value FROM known GROUP BY 1, 2
-), {O.states(12, 180)} SELECT service, eval_s, value, held_seconds, state FROM states""")
+), {O.states(12, 180)}, follow AS (
+  SELECT *, lead(eval_s) OVER (PARTITION BY service ORDER BY eval_s) AS next_s FROM states
+), every AS (SELECT service, eval_s, value, held_seconds, state FROM states UNION ALL
+  SELECT service, eval_s + 30, NULL, 0, 'Normal' FROM follow WHERE state <> 'Normal' AND next_s IS DISTINCT FROM eval_s + 30
+), changes AS (SELECT *, lag(state) OVER w AS last, lag(eval_s) OVER w AS last_s FROM every WINDOW w AS (PARTITION BY service ORDER BY eval_s))
+SELECT service, eval_s, value, held_seconds, state FROM changes
+WHERE state <> CASE WHEN last_s = eval_s - 30 THEN last ELSE 'Normal' END"""
+
+
+@query("lag_alert", _LAG_CHANGES)
 def lag_alert(spark, sf_dir):
-    return _state_columns(alerts.alert_states(alerts.lag_evaluations(X.offset_samples(spark, sf_dir), _LAG_RULE), _LAG_RULE))
+    states = alerts.alert_states(alerts.lag_evaluations(X.offset_samples(spark, sf_dir), _LAG_RULE), _LAG_RULE)
+    return _state_columns(alerts.state_changes(alerts.with_silence(states)))
 
 
 _DLQ_RULE = {**fixed.DLQ_RULE, "threshold": 1.0}
@@ -1102,6 +1113,40 @@ def dlq_alert_stream(spark, sf_dir):
     return _stream_states(spark, windows, path, _DLQ_RULE).filter((F.col("eval_s") < end_s) & F.col("value").isNotNull())
 
 
+@query("lag_alert_stream", _LAG_CHANGES)
+def lag_alert_stream(spark, sf_dir):
+    """Offset rows to alert states in one stream, read for changes."""
+    path, samples = scratch_path(spark, "lag-alerts"), X.offset_samples(spark, sf_dir)
+    samples.write.parquet(f"{path}/offsets")
+    rows = files.read_stream_files(spark, f"{path}/offsets", samples.schema)
+    rows = _with_end(spark, f"{path}/end", rows, "ts").withColumn("consumergroup", F.coalesce("consumergroup", F.lit("end")))
+    states = _stream_states(spark, jobs.lag_windows(rows, _LAG_RULE, alerts.STEP), path, _LAG_RULE).filter("service <> 'end'")
+    return _state_columns(alerts.state_changes(states.withColumn("rule", F.lit(_LAG_RULE["rule"]))))
+
+
+@query("stream_lag", """WITH files AS (SELECT event_id % 5 AS file, count(*) AS n FROM events GROUP BY 1)
+SELECT file AS batch, CAST(sum(n) OVER (ORDER BY file) AS BIGINT) AS committed, CAST(sum(n) OVER () AS BIGINT) AS latest,
+  CAST(sum(n) OVER () - sum(n) OVER (ORDER BY file) AS BIGINT) AS lag FROM files""")
+def stream_lag(spark, sf_dir):
+    """How far a running stream is behind, batch by batch: its own reports as of what its producer reported."""
+    path, events = scratch_path(spark, "lag"), X.table(spark, sf_dir, "events")
+    for i in range(5):
+        events.filter(F.col("event_id") % 5 == i).coalesce(1).write.mode("append").parquet(f"{path}/topic")
+    produced = events.agg(F.current_timestamp().alias("ts"), F.count("*").alias("latest")).withColumn("partition", F.lit(0))
+    produced.write.parquet(f"{path}/produced")
+    listener = progress.ProgressTable(spark, f"{path}/progress")
+    stream = files.read_stream_files(spark, f"{path}/topic", events.schema, files_per_batch=1)
+    run = stream.writeStream.queryName("reader").format("noop").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+    _finish(run)
+    listener.add([p.json for p in run.recentProgress])
+    listener.flush()
+    committed = progress.positions(progress.read_progress(spark, f"{path}/progress")).filter("committed > 0")
+    topics = committed.select("topic").distinct()
+    known = metrics.positions_as_of(committed, spark.read.parquet(f"{path}/produced").join(topics))
+    batch = (F.row_number().over(Window.partitionBy("consumergroup").orderBy("ts")) - 1).cast("bigint")
+    return known.select(batch.alias("batch"), "committed", "latest", (F.col("latest") - F.col("committed")).alias("lag"))
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 

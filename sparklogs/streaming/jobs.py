@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import reports
+from ..operators import alerts, reports
 from ..operators.pipeline import Options, decode, process, route
 from ..sources import kafka
 from ..sources.sinks import read_routes, upsert_windows, write_routes
@@ -112,6 +112,19 @@ def dlq_windows(dead: DataFrame, rule: dict, step: int, time: str = "failed_at",
         "rule", F.lit("all").alias("service"), "eval_s", (F.col("_n") / rule["window_seconds"]).alias("value"), "eval_time")
 
 
+def lag_windows(offsets: DataFrame, rule: dict, step: int, grace: str = GRACE) -> DataFrame:
+    """Evaluations of the lag rule on a stream of offset rows: the last known lag of each partition, summed by group."""
+    visible = alerts.visible_groups(offsets)
+    rows, pane = _panes(visible, "ts", step, grace)
+    keys = ["consumergroup", "topic", "partition"]
+    panes = rows.groupBy(pane, *keys).agg(F.max_by(F.col("latest") - F.col("committed"), "ts").alias("_lag"))
+    windows = F.window(F.window_time("_pane"), f"{rule['window_seconds']} seconds", f"{step} seconds")
+    known = panes.groupBy(windows.alias("_w"), *keys).agg(F.max_by("_lag", "_pane.end").alias("_lag"))
+    return known.groupBy("_w", "consumergroup").agg(F.sum("_lag").cast("double").alias("value")).select(
+        F.lit(rule["rule"]).alias("rule"), F.col("consumergroup").alias("service"), F.unix_seconds("_w.end").alias("eval_s"),
+        "value", F.window_time("_w").alias("eval_time"))
+
+
 def batch_ratio(spark: SparkSession, path: str) -> DataFrame:
     """Dead letters as a share of each micro-batch."""
     rows = read_routes(spark, path)
