@@ -72,11 +72,16 @@ def with_ipv6_digits(frame: DataFrame, text: Column, out: str) -> DataFrame:
     return frame.select(*columns, F.when(shaped, digits).alias(out))
 
 
-def with_geo(frame: DataFrame, client: Column, out: str = "_geo") -> DataFrame:
+def address_key(ipv4: Column, digits: Column) -> Column:
+    """One text for addresses of both families, in the order of their numbers: 4 and 8 digits, or 6 and 32 digits."""
+    return F.coalesce(F.concat(F.lit("4"), F.lower(F.lpad(F.hex(ipv4), 8, "0"))), F.concat(F.lit("6"), digits))
+
+
+def with_geo(frame: DataFrame, client: Column, out: str = "_geo", address: str | None = None) -> DataFrame:
     """Add STRUCT<country, source> without a range table: private addresses and top-level domains only.
 
-    A public address stays `unresolved` here; operators.geo looks it up in a range table. Everything is
-    built-in expressions, and those for IPv6 do work only for clients with a colon.
+    A public address stays `unresolved` here; `address` names a column for its key, by which operators.lookup finds its
+    network. Everything is built-in expressions, and those for IPv6 do work only for clients with a colon.
     """
     columns = frame.columns
     frame = with_ipv6_digits(frame.withColumn("_client", client), F.col("_client"), "_digits")
@@ -96,7 +101,9 @@ def with_geo(frame: DataFrame, client: Column, out: str = "_geo") -> DataFrame:
     frame = frame.withColumn("_country", F.when(F.col("_kind") == "name", country))
     source = F.when(F.col("_country").isNotNull(), "tld").when(F.col("_kind") == "private", "private").otherwise(
         "unresolved")
-    return frame.select(*columns, F.struct(F.col("_country").alias("country"), source.alias("source")).alias(out))
+    public = F.when(F.col("_kind") == "public", address_key(F.col("_ipv4"), digits))
+    return frame.select(*columns, F.struct(F.col("_country").alias("country"), source.alias("source")).alias(out),
+                        *([public.alias(address)] if address else []))
 
 
 def path_group(path: Column) -> Column:

@@ -15,6 +15,7 @@ from ..functions.parsers import Parser, parse
 from ..functions.text import best_effort_time, settled
 from ..functions.validate import first_problem
 from ..schemas import DLQ_COLUMNS, DLQ_SCHEMA, PARSED_COLUMNS, PARSED_SCHEMA, RAW_SCHEMA
+from .lookup import Networks, located
 
 RAW_COLUMNS = RAW_SCHEMA.fieldNames()
 _WORK = ["_stage", "_reason", "_bad_types", "_original"]
@@ -27,6 +28,8 @@ class Options:
     keep_client: bool = True
     # Parsers by source format, in place of or besides the registered ones.
     parsers: Mapping[str, Parser] | None = None
+    # Networks and their countries (see lookup.load_networks); without them public addresses stay unresolved.
+    networks: Networks | None = None
 
 
 def decode(frame: DataFrame, value: str = "value") -> DataFrame:
@@ -113,7 +116,10 @@ def process(raw: DataFrame, as_of: Column, options: Options) -> DataFrame:
 
     # A client that is not text has no place and no hash; validation rejects its row anyway.
     client = F.when(~F.array_contains("_parse.bad_types", "client_ip"), p["client_ip"])
-    frame = enrich.with_geo(frame, client)
+    if options.networks:
+        frame = located(enrich.with_geo(frame, client, address="_address"), options.networks)
+    else:
+        frame = enrich.with_geo(frame, client)
     fields = {
         "event_id": F.col("event_id"),
         "timestamp": p["timestamp"],

@@ -331,7 +331,26 @@ SELECT id, coalesce(found, CASE id % 6 WHEN 2 THEN 'JP' WHEN 4 THEN 'US' END) AS
   CASE WHEN found IS NOT NULL THEN 'maxmind' WHEN id % 6 = 0 THEN 'private' WHEN id % 6 IN (2, 4) THEN 'tld'
     ELSE 'unresolved' END AS geo_source FROM placed""")
 def geo_range_join(spark, sf_dir):
-    return lookup.with_country(X.parsed(spark, sf_dir), X.ranges(spark)).select("id", "geo_country", "geo_source")
+    return lookup.with_country(X.parsed(spark, sf_dir), lookup.load_ranges(X.ranges(spark))).select("id", "geo_country", "geo_source")
+
+
+@query("process_events_geo", f"""WITH {O.LOG_LINES}, addressed AS (
+  SELECT *, id * 7919 % 65536 AS n, CASE WHEN id % 6 = 5 THEN 10 + id // 6 % 4 ELSE id % 6 END AS kind, id // 6 % 256 AS third FROM log_lines
+), placed AS (
+  SELECT *, kind = 1 AND third < 192 OR kind IN (10, 11) AS found, CASE kind
+    WHEN 1 THEN CASE WHEN third < 128 THEN 'US' WHEN third BETWEEN 160 AND 175 THEN 'FR' WHEN third < 192 THEN 'DE' END
+    WHEN 10 THEN CASE WHEN n < 32768 THEN 'NL' WHEN n BETWEEN 36864 AND 40959 THEN NULL ELSE 'SE' END
+    WHEN 11 THEN 'GB' WHEN 2 THEN 'JP' WHEN 4 THEN 'US' END AS geo_country FROM addressed
+) SELECT id, CASE kind WHEN 10 THEN '2a02:26f0:' || format('{{:x}}', n) || '::1' WHEN 11 THEN '2A05:' || format('{{:x}}', n) || ':0:0:0:0:0:9'
+    WHEN 12 THEN 'fe80::' || format('{{:x}}', n) WHEN 13 THEN '2600:' || format('{{:x}}', n) || '::' ELSE coalesce(client_ip, 'unknown') END AS client_ip,
+  geo_country, CASE WHEN found THEN 'maxmind' WHEN kind IN (0, 12) THEN 'private' WHEN kind IN (2, 4) THEN 'tld' ELSE 'unresolved' END AS geo_source
+FROM placed WHERE stage IS NULL""")
+def process_events_geo(spark, sf_dir):
+    """The chain with a network index: the longest network of an address of either family names its country."""
+    lines = X.log_lines_from(X.table(spark, sf_dir, "events"), X.client_of_both_families())
+    options = pipeline.Options(salt=X.OPTIONS.salt, networks=lookup.load_networks(X.networks(spark)))
+    rows = pipeline.parsed_rows(pipeline.route(pipeline.process(lines, as_of(), options)), extra=("id",))
+    return rows.select("id", "client_ip", "geo_country", "geo_source")
 
 
 @query("dimension_lookup", f"""WITH {O.PARSED}

@@ -102,9 +102,11 @@ BROKEN_LINES = [
 OPTIONS = Options(salt="salt of the query tables")
 
 
-def log_lines_from(events: DataFrame) -> DataFrame:
+def log_lines_from(events: DataFrame, client: Column | None = None) -> DataFrame:
     """Access-log lines as raw records, a twentieth of them broken, a 97th with an impossible status."""
     frame = parsed_from(events)
+    if client is not None:
+        frame = frame.withColumn("client_ip", client)
     i, ms = F.col("id"), F.col("response_time_ms")
     stamp = F.date_format("timestamp", "dd/MMM/yyyy:HH:mm:ss")
     status = F.when(i % 97 == 5, 700).otherwise(F.col("status_code"))
@@ -218,6 +220,26 @@ def ranges(spark: SparkSession) -> DataFrame:
     )
 
 
+NETWORKS = [
+    ("8.8.0.0/17", "US"), ("8.8.128.0/18", "DE"), ("8.8.160.0/20", "FR"), ("2a02:26f0::/32", "NL"), ("2a02:26f0:8000::/33", "SE"),
+    ("2a00::/12", "GB"), ("2a02:26f0:9000::/36", None),
+]
+
+
+def networks(spark: SparkSession) -> DataFrame:
+    """Country by network of either family; some lie inside others, one has no country."""
+    return spark.createDataFrame(NETWORKS, "network string, country string")
+
+
+def client_of_both_families() -> Column:
+    """The client of a row, with IPv6 addresses in place of those that have none."""
+    i, digits = F.col("id"), F.lower(F.hex(F.col("id") * 7919 % 65536))
+    address = _by_remainder(_div(i, 6), [
+        F.concat(F.lit("2a02:26f0:"), digits, F.lit("::1")), F.concat(F.lit("2A05:"), digits, F.lit(":0:0:0:0:0:9")),
+        F.concat(F.lit("fe80::"), digits), F.concat(F.lit("2600:"), digits, F.lit("::"))])
+    return F.when(i % 6 == 5, address).otherwise(F.col("client_ip"))
+
+
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page edits, one per page."""
     p = F.col("page_id")
