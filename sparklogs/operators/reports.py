@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.envelope import stable_index
 from .. import fixed
+from .sequences import exact_quantiles
 
 
 # ---- filters --------------------------------------------------------------------------------
@@ -112,15 +113,9 @@ def ordered_minutes(frame: DataFrame) -> DataFrame:
 def ingest_latency(frame: DataFrame) -> DataFrame:
     """Events and p50, p95, p99 and longest time from intake to storage, in seconds."""
     lag = (F.unix_millis("stored_at") - F.unix_millis("ingested_at")).alias("lag")
-    return frame.select(lag).agg(
-        F.count("*").alias("events"),
-        F.percentile("lag", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))).alias("q"),
-        F.max("lag").alias("longest"),
-    ).select(
-        "events",
-        *[F.round(F.get("q", i) / 1000, 2).alias(name) for i, name in enumerate(["p50_s", "p95_s", "p99_s"])],
-        F.round(F.col("longest") / 1000, 2).alias("max_s"),
-    )
+    shares = {"p50_s": 0.5, "p95_s": 0.95, "p99_s": 0.99, "max_s": 1.0}
+    found = exact_quantiles(frame.select(lag), "lag", shares)
+    return found.select(F.col("rows").alias("events"), *[F.round(F.col(n) / 1000, 2).alias(n) for n in shares])
 
 
 def ingest_lag_seconds(ingested_at: Column, done_at: Column) -> Column:
@@ -139,12 +134,14 @@ def service_health(frame: DataFrame) -> DataFrame:
 
 def stat_tiles(frame: DataFrame) -> DataFrame:
     """One row: events, error share (0 when empty), p95, active services."""
-    return frame.agg(
-        F.count("*").alias("events"),
-        F.round(100 * _errors().cast("double") / F.greatest(F.count("*"), F.lit(1)), 2).alias("error_rate"),
-        F.round(quantile("response_time_ms", 0.95)).alias("p95_ms"),
-        F.count_distinct("service").alias("services"),
-    )
+    found = exact_quantiles(frame, "response_time_ms", {"p95": 0.95}, _errors())
+    tiles = found.select(
+        F.col("rows").alias("events"),
+        F.round(100 * F.coalesce("_sum0", F.lit(0)).cast("double") / F.greatest("rows", F.lit(1)), 2).alias("error_rate"),
+        F.round("p95").alias("p95_ms"), F.lit(None).cast("bigint").alias("services"))
+    services = frame.agg(F.count_distinct("service").alias("services"))
+    both = tiles.unionByName(services, allowMissingColumns=True)  # each column is known in one of the two rows
+    return both.agg(*[F.max(c).alias(c) for c in tiles.columns])
 
 
 def _over_time(frame: DataFrame, interval: str, *measures: Column) -> DataFrame:

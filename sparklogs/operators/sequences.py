@@ -3,41 +3,103 @@
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import fixed
+from ..session import scratch_path
 
 
-def with_rank(frame: DataFrame, keys: list[str], time: str, tie: str, slice_size: str, out: str = "_rank") -> DataFrame:
+def _ranged(frame: DataFrame, order: list[str]) -> DataFrame:
+    """The rows range-partitioned by the order, with their part as `_part`; written, so that the parts stay what they are."""
+    path = scratch_path(frame.sparkSession, "ranged")
+    frame.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    condition = F.lit(True)
+    for name in names:
+        condition = condition & left[name].eqNullSafe(right[name])
+    return condition
+
+
+def _borders(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _part, _before) for the parts that a key comes into from earlier ones: at most one a part."""
+    counts = parts.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(*keys, "_part", F.sum("_n").over(earlier).alias("_before")).filter("_before is not null")
+
+
+def _ranked(parts: DataFrame, borders: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order)
+    numbered = parts.withColumn("_n", F.row_number().over(inside))
+    joined = numbered.join(F.broadcast(borders), _same(numbered, borders, [*keys, "_part"]), "left")
+    rank = (F.coalesce(borders["_before"], F.lit(0)) + numbered["_n"]).cast("bigint")
+    return joined.select(*[numbered[c] for c in parts.columns], rank.alias(out))
+
+
+def with_rank(frame: DataFrame, keys: list[str], time: str, tie: str, slice_size: str | None = None, out: str = "_rank") -> DataFrame:
     """Exact 1-based rank by (time, tie) within `keys`.
 
-    Time is cut into slices: rows are numbered inside their slice, and the number of rows in earlier
-    slices of the same key is added. Only one row per slice takes part in the running sum.
+    Rows are range-partitioned by key, time and tie, so a key of any size, or a second that holds most of it, is
+    cut into parts; a row's rank is its place in its part plus the rows of its key in earlier ones. `slice_size` is not
+    needed for that and not looked at.
     """
-    sliced = frame.withColumn("_slice", F.window(time, slice_size).start)
-    counts = sliced.groupBy(*keys, "_slice").agg(F.count("*").alias("_in_slice"))
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_slice", F.coalesce(F.sum("_in_slice").over(earlier), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(time, tie)
-    numbered = sliced.withColumn("_n", F.row_number().over(inside))
-    joined = numbered.join(offsets, [*keys, "_slice"])
-    return joined.withColumn(out, F.col("_before") + F.col("_n")).drop("_before", "_n", "_slice")
+    parts = _ranged(frame, [*keys, time, tie])
+    return _ranked(parts, _borders(parts, keys), keys, [time, tie], out).drop("_part")
 
 
 def rolling_mean(
     frame: DataFrame, keys: list[str], value: str = "response_time_ms", time: str = "timestamp", tie: str = "event_id",
-    rows: int = fixed.ROLLING_RESPONSES, slice_size: str = "1 hour", block: int = 100_000, out: str = "rolling_mean",
+    rows: int = fixed.ROLLING_RESPONSES, slice_size: str | None = None, block: int | None = None, out: str = "rolling_mean",
 ) -> DataFrame:
     """Mean of the last `rows` non-zero values per key, at every row that has one.
 
-    Ranks are cut into blocks of `block` rows; the last rows of a block also go to the next one, where
-    they fill the frame and are then dropped. No task sees more than one block of a key.
+    The parts are those of `with_rank`. What a key's first rows in a part look back to is in earlier parts: it is found by rank
+    and joins the part for the frame only. No task sees more than a part and `rows` more; `slice_size` and `block` are
+    not looked at.
     """
     kept = frame.filter(F.col(value).isNotNull() & (F.col(value) != 0))
-    ranked = with_rank(kept, keys, time, tie, slice_size)
-    own = F.floor((F.col("_rank") - 1) / block)
-    last = (F.col("_rank") - 1) % block >= block - (rows - 1)
-    spread = ranked.withColumn("_own", own).withColumn(
-        "_block", F.explode(F.when(last, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
-    over = Window.partitionBy(*keys, "_block").orderBy("_rank").rowsBetween(-(rows - 1), 0)
-    return spread.withColumn(out, F.avg(value).over(over)).filter("_block = _own").drop("_rank", "_own", "_block")
+    parts = _ranged(kept, [*keys, time, tie])
+    borders = _borders(parts, keys)
+    ranked = _ranked(parts, borders, keys, [time, tie], "_rank")
+    # Ranks (_before - rows + 1, _before] lie in two blocks of `rows` ranks.
+    last = F.floor(F.col("_before") / rows)
+    wanted = borders.select(*keys, F.col("_part").alias("_to"), "_before", F.explode(F.array(last - 1, last)).alias("_block"))
+    own = ranked.withColumn("_block", F.floor(F.col("_rank") / rows))
+    lent = own.join(F.broadcast(wanted), _same(own, wanted, [*keys, "_block"])
+                    & (own["_rank"] > wanted["_before"] - (rows - 1)) & (own["_rank"] <= wanted["_before"]))
+    lent = lent.select(*[wanted["_to"].alias(c) if c == "_part" else own[c] for c in ranked.columns], F.lit(True).alias("_lent"))
+    over = Window.partitionBy(*keys, "_part").orderBy("_rank").rowsBetween(-(rows - 1), 0)
+    every = ranked.withColumn("_lent", F.lit(False)).unionByName(lent).withColumn(out, F.avg(value).over(over))
+    return every.filter("not _lent").drop("_rank", "_part", "_lent")
+
+
+def exact_quantiles(frame: DataFrame, value: str, shares: dict[str, float], *sums: Column) -> DataFrame:
+    """One row: each named quantile of the column (linear between neighbours, null without values), and sums over all rows.
+
+    Counts per distinct value are summed in tasks; the counts are range-partitioned by value, and their running
+    sums go from part to part. No task holds the values of more than its part.
+    """
+    names = [f"_sum{i}" for i in range(len(sums))]
+    counts = frame.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"), *[c.alias(n) for c, n in zip(sums, names)])
+    parts = _ranged(counts, ["_value"])
+    known = F.sum(F.when(F.col("_value").isNotNull(), F.col("_n")).otherwise(0))
+    totals = parts.groupBy("_part").agg(known.alias("_in"))
+    # One row a part.
+    totals = totals.select("_part", (F.sum("_in").over(Window.orderBy("_part")) - F.col("_in")).alias("_before"),
+                           F.sum("_in").over(Window.partitionBy()).alias("_all"))
+    running = Window.partitionBy("_part").orderBy(F.col("_value").asc_nulls_last())
+    placed = parts.join(F.broadcast(totals), "_part").withColumn("_end", F.col("_before") + F.sum("_n").over(running))
+
+    def at(index: Column) -> Column:
+        """The value whose run of equal ones holds the index."""
+        inside = F.col("_value").isNotNull() & (index >= F.col("_end") - F.col("_n")) & (index < F.col("_end"))
+        return F.max(F.when(inside, F.col("_value").cast("double")))
+
+    place = {name: (F.col("_all") - 1) * F.lit(share) for name, share in shares.items()}
+    found = placed.agg(
+        *[at(F.floor(p)).alias(f"_low_{n}") for n, p in place.items()], *[at(F.ceil(p)).alias(f"_high_{n}") for n, p in place.items()],
+        *[F.max(p - F.floor(p)).alias(f"_part_{n}") for n, p in place.items()], *[F.sum(n).alias(n) for n in names], F.sum("_n").alias("rows"))
+    between = [(F.col(f"_low_{n}") + (F.col(f"_high_{n}") - F.col(f"_low_{n}")) * F.col(f"_part_{n}")).alias(n) for n in shares]
+    return found.select(F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), *between, *names)
 
 
 def rate_capped(
