@@ -39,6 +39,7 @@ from pyspark.sql.functions import arrow_udf
 
 from . import graph
 from .common import BLANKS, BROADCAST_ROWS, bounded, stored
+from .filter_audit import BLANK, CLASS, Powers, span_hashes
 
 K, PERCENT = 5, 80
 GROUPS, FAN = 64, 16
@@ -48,54 +49,82 @@ BLOCK, POINTS = 2_000_000, 4_096
 
 _LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_NAME = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("id", T.LongType()), T.StructField("digest", T.BinaryType())])
-
-
-class _Numbers(dict):
-    """Words to 64-bit numbers, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-def shingles(text: str | None, numbers: _Numbers) -> np.ndarray:
+_PIECE = 1 << 20
+_NAMED = [T.StructField(n, t) for n, t in (("mark", T.LongType()), ("n", T.IntegerType()), ("id", T.LongType()), ("digest", T.BinaryType()), ("slice", T.IntegerType()),
+                                           ("places", T.BinaryType()), ("counts", T.BinaryType()))]
+
+
+def word_numbers(text: str | None, powers: Powers) -> np.ndarray:
+    """The lower-cased words of a text as 64-bit numbers, in pieces that end between words."""
+    data = np.frombuffer((text or "").encode().translate(_LOWER), np.uint8)
+    found, start = [np.zeros(0, np.uint64)], 0
+    while start < len(data):
+        end = min(len(data), start + _PIECE)
+        while end < len(data) and CLASS[data[end]] != BLANK:
+            end += 1
+        inside = np.concatenate(([False], CLASS[data[start:end]] != BLANK, [False]))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        found.append(span_hashes(data[start:end], edges[::2], edges[1::2], powers))
+        start = end
+    return np.concatenate(found)
+
+
+def shingles(text: str | None, powers: Powers) -> np.ndarray:
     """The distinct shingles of a text as sorted numbers."""
-    words = (text or "").encode().translate(_LOWER).split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    own = np.fromiter(map(numbers.__getitem__, words), np.uint64, len(words))
+    own = word_numbers(text, powers)
+    if not len(own):
+        return own
     size = min(K, len(own))
     n = len(own) - size + 1
     out = np.full(n, size, np.uint64)
     for j in range(size):
-        out = (out ^ (out >> np.uint64(29))) * _MIX + own[j:n + j]
+        out ^= out >> np.uint64(29)
+        out *= _MIX
+        out += own[j:n + j]
     out ^= out >> np.uint64(31)
     out *= _MIX2
-    return np.unique(out ^ (out >> np.uint64(33)))
+    out ^= out >> np.uint64(33)
+    out.sort()
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
+
 
+_NAMES = [f.name for f in _NAMED]
 
-def _named(seed: int):
-    @arrow_udf(_NAME)
-    def name(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        """The size of each set, a number that names it, and a digest to tell whether the number is its own."""
-        numbers = _Numbers()
-        for texts in batches:
-            sets = [shingles(t.as_py(), numbers).tobytes() for t in texts]
-            ids = np.array([xxhash.xxh64_intdigest(m, seed) for m in sets], np.uint64).view(np.int64)
-            yield pa.StructArray.from_arrays([pa.array([len(m) // 8 for m in sets], pa.int32()), pa.array(ids),
-                                              pa.array([xxhash.xxh128_digest(m) for m in sets], pa.binary())], _NAME.names)
+
+def _named(seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per text the size of its set, a number that names it, and a digest to tell whether the number is its own.
+
+        At last the counters that this task's shingles hit, in slices, as rows without a name.
+        """
+        powers, counts, own_type = Powers(), np.zeros(1 << COUNTER_BITS, np.uint32), None
+        for batch in batches:
+            own_type, rows = batch.schema.field("doc_id").type, []
+            for text in batch.column("text"):
+                own = shingles(text.as_py(), powers)
+                np.add.at(counts, (own >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), 1)
+                mers = own.tobytes()
+                rows.append((len(own), xxhash.xxh64_intdigest(mers, seed), xxhash.xxh128_digest(mers)))
+            sizes, ids, digests = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int32()), pa.array(np.array(ids, np.uint64).view(np.int64)),
+                pa.array(digests, pa.binary()), *[pa.nulls(len(rows), t) for t in (pa.int32(), pa.binary(), pa.binary())]],
+                ["doc_id", *_NAMES])
+        for i, own in enumerate(counts.reshape(-1, 1 << SLICE_BITS)):
+            hit = np.flatnonzero(own)
+            if len(hit):
+                yield pa.RecordBatch.from_arrays([
+                    pa.nulls(1, own_type), *[pa.nulls(1, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.binary())], pa.array([i], pa.int32()),
+                    pa.array([hit.astype(np.uint16).tobytes()], pa.binary()), pa.array([own[hit].tobytes()], pa.binary())], ["doc_id", *_NAMES])
 
     return name
 
 
 @arrow_udf(T.BinaryType())
 def _sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    numbers = _Numbers()
+    powers = Powers()
     for texts in batches:
-        yield pa.array([shingles(t.as_py(), numbers).tobytes() for t in texts], pa.binary())
+        yield pa.array([shingles(t.as_py(), powers).tobytes() for t in texts], pa.binary())
 
 
 def _of(mers: bytes) -> np.ndarray:
@@ -229,20 +258,6 @@ def _verified(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array([bool(linked(overlap(x, y), len(x), len(y))) for x, y in both], pa.bool_())
 
 
-def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each counter was hit in this task, the counters hit at all, in slices."""
-    counts, numbers = np.zeros(1 << COUNTER_BITS, np.uint32), _Numbers()
-    for batch in batches:
-        for text in batch.column("text"):
-            np.add.at(counts, (shingles(text.as_py(), numbers) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), 1)
-    for i, own in enumerate(counts.reshape(-1, 1 << SLICE_BITS)):
-        hit = np.flatnonzero(own)
-        if len(hit):
-            yield pa.RecordBatch.from_arrays([
-                pa.array([i], pa.int32()), pa.array([hit.astype(np.uint16).tobytes()], pa.binary()), pa.array([own[hit].tobytes()], pa.binary())],
-                ["slice", "places", "counts"])
-
-
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The counters of a slice as levels of one byte; tasks' counts are added one by one."""
     total, number = np.zeros(1 << SLICE_BITS, np.int64), None
@@ -258,11 +273,11 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _prefixes(levels, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The first shingles of each set in the common order, rare ones first."""
-        table, numbers = np.frombuffer(levels.value, np.uint8), _Numbers()
+        table, powers = np.frombuffer(levels.value, np.uint8), Powers()
         for batch in batches:
             keys, ids = [], []
             for text in batch.column("text"):
-                own = shingles(text.as_py(), numbers)
+                own = shingles(text.as_py(), powers)
                 if not len(own):
                     continue
                 order = np.argsort(table[(own >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)], kind="stable")
@@ -296,13 +311,14 @@ class Nodes:
         self.seed, clash = -1, True
         while clash:
             self.seed += 1
-            named = self.docs.select("doc_id", "mark", _named(self.seed)("text").alias("s"))
-            rows = stored(named.select("doc_id", "mark", "s.*").filter("n > 0"), "rtree-rows")
+            named = stored(self.docs.mapInArrow(_named(self.seed), T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *_NAMED])), "rtree-rows")
+            rows = named.filter("n > 0")
             first = F.min_by(F.struct("doc_id", "mark"), F.struct(F.col("doc_id").isNull(), "doc_id", "mark"))
             nodes = stored(rows.groupBy("id").agg(first.alias("first"), F.first("n").alias("n"), F.min("doc_id").alias("least"),
                                                   (F.min("digest") != F.max("digest")).alias("clash")), "rtree-nodes")
             clash = not nodes.filter("clash").isEmpty()  # two sets of one name: all names are made again
         self.rows = rows.select("doc_id", "mark", "n", "id")
+        self.counts = named.filter("slice is not null").select("slice", "places", "counts")
         self.nodes = nodes.select("id", "first.doc_id", "first.mark", "n", "least")
 
     def _picked(self, names: DataFrame, how: str) -> DataFrame:
@@ -328,8 +344,7 @@ def _postings(nodes: Nodes) -> DataFrame:
     """key, id of the keys that several nodes share, with the smallest of them as `pivot`; written."""
     texts = nodes.texts()
     spark = texts.sparkSession
-    tallied = texts.mapInArrow(_tally, "slice int, places binary, counts binary")
-    slices = tallied.groupBy("slice").applyInArrow(_summed, "slice int, levels binary").collect()  # 2 ** COUNTER_BITS bytes at most
+    slices = nodes.counts.groupBy("slice").applyInArrow(_summed, "slice int, levels binary").collect()  # 2 ** COUNTER_BITS bytes at most
     levels = np.zeros((1 << COUNTER_BITS - SLICE_BITS, 1 << SLICE_BITS), np.uint8)
     for row in slices:
         levels[row["slice"]] = np.frombuffer(row["levels"], np.uint8)
