@@ -101,8 +101,10 @@ EVENT_SECONDS_BOUNDS = [0.0001, 0.00025, 0.0005, 0.001, 0.0025, 0.005, 0.01, 0.0
 BATCH_SECONDS_BOUNDS = [0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0]
 INGEST_LAG_BOUNDS = [0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0]
 
-# Threshold bands: values from the first number up are yellow, from the second up red.
-BANDS = {"error_pct": (1, 5), "lag": (10_000, 100_000), "dlq_rate": (1, 10)}
+# Threshold bands: values from the first number up are yellow (None: no yellow), from the second up red.
+BANDS = {
+    "error_pct": (1, 5), "lag": (10_000, 100_000), "dlq_rate": (1, 10), "ingest_lag_seconds": (None, 10), "error_pct_line": (None, 5),
+}
 
 EVALUATE_SECONDS = 30
 ERROR_RATE_RULE = {"rule": "error-rate", "threshold": 5.0, "window_seconds": 300, "min_rows": 20, "hold_seconds": 60}

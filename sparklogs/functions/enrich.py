@@ -126,6 +126,9 @@ def live_class(error_stage: Column, level: Column, error_flag: Column, status: C
 
 
 def band(value: Column, name: str) -> Column:
-    """green, yellow or red by the fixed thresholds of `name`; null stays null."""
+    """green, yellow or red by the fixed thresholds of `name`, some of which have no yellow; null stays null."""
     yellow, red = fixed.BANDS[name]
-    return F.when(value >= red, "red").when(value >= yellow, "yellow").when(value.isNotNull(), "green")
+    scale = F.when(value >= red, "red")
+    if yellow is not None:
+        scale = scale.when(value >= yellow, "yellow")
+    return scale.when(value.isNotNull(), "green")

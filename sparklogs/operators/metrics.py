@@ -1,6 +1,6 @@
 """Counters, histograms, rates, consumer lag and run totals over sample tables."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 
 from .sequences import interval_key
 
@@ -38,6 +38,35 @@ def run_totals(routed: DataFrame) -> DataFrame:
     )
 
 
+def observed(processed: DataFrame, name: str = "run_totals") -> tuple[DataFrame, Observation]:
+    """The output of `pipeline.process` and counters that the job which reads it fills as it goes.
+
+    On a stream the counters of each batch are in its progress report, under the name.
+    """
+    observation, fine = Observation(name), F.col("_stage").isNull()
+    return processed.observe(
+        observation, F.count_if(fine).alias("parsed"), F.count_if(fine & F.col("is_error")).alias("errors"),
+        F.count_if(~fine).alias("dlq")), observation
+
+
+def observed_totals(spark: SparkSession, counters: dict[str, int]) -> DataFrame:
+    """The row of `run_totals` from the counters of a job that has ended: nothing is read again."""
+    parsed, errors, dlq = (int(counters[n]) for n in ("parsed", "errors", "dlq"))
+    row = spark.createDataFrame([(parsed + dlq, parsed, errors, dlq)], "consumed bigint, parsed bigint, errors bigint, dlq bigint")
+    return row.withColumn("dlq_ratio", F.round(F.try_divide("dlq", "consumed"), 6))
+
+
+def watched(messages: DataFrame, name: str = "messages") -> tuple[DataFrame, Observation]:
+    """Strictly typed topic rows (see kafka.parse_rows, `skipped`) without the broken ones, and counters of what went by.
+
+    `unknown` counts rows with members that the record type does not have: they are taken, but somebody should know.
+    """
+    observation = Observation(name)
+    counted = messages.observe(
+        observation, F.count("*").alias("messages"), F.count_if("_broken").alias("broken"), F.count_if(F.col("_unknown") > 0).alias("unknown"))
+    return counted.filter(~F.col("_broken")).drop("_broken", "_rescued", "_unknown"), observation
+
+
 def histogram(frame: DataFrame, value: Column | str, bounds: list[float], *keys: str) -> DataFrame:
     """Cumulative buckets per key in one pass: rows (keys.., le, count), and the sum and count of values.
 

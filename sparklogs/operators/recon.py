@@ -45,3 +45,11 @@ def errors_not_parsed(errors: DataFrame, parsed: DataFrame) -> DataFrame:
 
 def errors_also_parsed(errors: DataFrame, parsed: DataFrame) -> DataFrame:
     return errors.join(parsed.select("event_id"), "event_id", "left_semi")
+
+
+def error_trace(errors: DataFrame, parsed: DataFrame) -> DataFrame:
+    """One row: error copies, those with a parsed row and those without."""
+    marked = errors_also_parsed(errors, parsed).select(F.lit("also_parsed").alias("_k")).unionByName(
+        errors_not_parsed(errors, parsed).select(F.lit("orphans").alias("_k")))
+    counts = [F.count_if(F.col("_k") == name).alias(name) for name in ("also_parsed", "orphans")]
+    return marked.agg(F.count("*").alias("error_copies"), *counts)

@@ -143,14 +143,25 @@ def sink_routes(spark, sf_dir):
     return _count_routes(sinks.read_routes(spark, path))
 
 
-@query("run_totals", f"""WITH {O.LOG_LINES}
+_TOTALS = f"""WITH {O.LOG_LINES}
 SELECT count(*) AS consumed, count(*) FILTER (stage IS NULL) AS parsed,
   count(*) FILTER (stage IS NULL AND is_error) AS errors, count(*) FILTER (stage IS NOT NULL) AS dlq,
-  round(count(*) FILTER (stage IS NOT NULL) / count(*)::DOUBLE, 6) AS dlq_ratio FROM log_lines""")
+  round(count(*) FILTER (stage IS NOT NULL) / count(*)::DOUBLE, 6) AS dlq_ratio FROM log_lines"""
+
+
+@query("run_totals", _TOTALS)
 def run_totals(spark, sf_dir):
     return metrics.run_totals(_routed_lines(spark, sf_dir))
 
 
+@query("observed_totals", _TOTALS)
+def observed_totals(spark, sf_dir):
+    """The totals as counters of the job that writes the outputs."""
+    processed, counters = metrics.observed(pipeline.process(X.log_lines(spark, sf_dir), as_of(), X.OPTIONS))
+    sinks.write_routes(pipeline.route(processed), scratch_path(spark, "observed"))
+    return metrics.observed_totals(spark, counters.get)
+
+
 @query("conservation", f"""WITH {O.LOG_LINES}
 SELECT count(*) AS consumed, count(*) FILTER (stage IS NULL) AS parsed,
   count(*) FILTER (stage IS NOT NULL) AS dead_lettered, true AS balanced FROM log_lines""")
@@ -174,13 +185,39 @@ def failures_by_stage(spark, sf_dir):
     return metrics.failures_by_stage(pipeline.dead_letters(_routed_lines(spark, sf_dir)))
 
 
-@query("topic_roundtrip", f"""WITH {O.LOG_LINES}
-SELECT event_id, service, {_SECOND} AS timestamp, status_code, response_time_ms, is_error FROM log_lines WHERE stage IS NULL""")
+@query("topic_roundtrip", f"""WITH {O.LOG_LINES}, good AS (SELECT * FROM log_lines WHERE stage IS NULL), parsed_rows AS (
+  SELECT event_id, service, {_SECOND} AS timestamp, status_code, response_time_ms, is_error, CAST(NULL AS VARCHAR) AS error_stage FROM good)
+SELECT '{kafka.TOPICS["parsed"]}' AS topic, * FROM parsed_rows UNION ALL SELECT '{kafka.TOPICS["errors"]}', * FROM parsed_rows WHERE is_error
+UNION ALL SELECT '{kafka.TOPICS["dlq"]}', event_id, service, NULL, NULL, NULL, NULL, stage FROM log_lines WHERE stage IS NOT NULL""")
 def topic_roundtrip(spark, sf_dir):
-    """Parsed rows as topic records and back into typed rows."""
-    records = sinks.topic_records(_routed_lines(spark, sf_dir)).filter(F.col("topic") == kafka.TOPICS["parsed"])
-    rows = store.typed_rows(kafka.parse_rows(records), as_of())
-    return rows.select("event_id", "service", "timestamp", "status_code", "response_time_ms", "is_error")
+    """All outputs as topic records and back into typed rows."""
+    records = sinks.topic_records(_routed_lines(spark, sf_dir))
+    is_letter = F.col("topic") == kafka.TOPICS["dlq"]
+    rows = kafka.parse_rows(records.filter(~is_letter), extra=("topic",))
+    typed = store.typed_rows(rows, as_of(), keep=("topic",)).select(
+        "topic", "event_id", "service", "timestamp", "status_code", "response_time_ms", "is_error")
+    letters = kafka.parse_dead_letters(records.filter(is_letter), extra=("topic",)).select("topic", "event_id", "service", "error_stage")
+    return typed.unionByName(letters, allowMissingColumns=True)
+
+
+@query("broken_messages", f"""WITH {O.LOG_LINES}, good AS (SELECT *, id % 60 AS m FROM log_lines WHERE stage IS NULL),
+judged AS (SELECT *, m BETWEEN 31 AND 36 AS broken FROM good)
+SELECT id, broken, CASE WHEN NOT broken THEN event_id END AS event_id, CASE WHEN NOT broken THEN status_code END AS status_code,
+  CASE WHEN NOT broken THEN is_error END AS is_error, broken AS rescued, CAST(CASE WHEN m = 37 THEN 1 ELSE 0 END AS INTEGER) AS unknown FROM judged""")
+def broken_messages(spark, sf_dir):
+    """Records with a member of another type, trailing text, cut short, in a list or without an id are broken; others are whole."""
+    routed = _routed_lines(spark, sf_dir)
+    rows = pipeline.parsed_rows(routed, extra=("id",))
+    value, m = F.col("value"), F.col("id") % 60
+    records = rows.select("id", kafka.record_text({c: F.col(c) for c in store.PARSED_COLUMNS}).alias("value"))
+    status = r'"status_code":\d+'
+    spoiled = (F.when(m == 31, F.regexp_replace(value, status, '"status_code":"abc"')).when(m == 32, F.concat(value, F.lit(" trailing")))
+               .when(m == 33, F.expr("left(value, length(value) - 1)")).when(m == 34, F.concat(F.lit("["), value, F.lit("]")))
+               .when(m == 35, F.regexp_replace(value, '"event_id":"[^"]*",', "")).when(m == 36, F.regexp_replace(value, status, '"status_code":2.5'))
+               .when(m == 37, F.regexp_replace(value, r"\}$", ',"color":"red"}')).otherwise(value))
+    messages = kafka.parse_rows(records.select("id", spoiled.alias("value")), extra=("id",), skipped=True)
+    return messages.select("id", F.col("_broken").alias("broken"), "event_id", "status_code", "is_error",
+                           F.col("_rescued").isNotNull().alias("rescued"), F.col("_unknown").alias("unknown"))
 
 
 @query("unknown_fields", f"""WITH {O.JSON_LINES}
@@ -190,11 +227,11 @@ SELECT id, CASE WHEN cut THEN NULL WHEN id % 3 = 0 THEN '' WHEN id % 3 = 1 THEN
       'traceId', 'uri')
   ELSE concat_ws(',', 'app', 'bytes_sent', 'correlation_id', CASE WHEN id % 11 <> 0 THEN 'elapsed_ms' END, 'event',
       'http_status', CASE WHEN id % 6 <> 5 THEN 'ip' END, 'loglevel', 'node', CASE WHEN NOT untimed THEN 'ts' END, 'url', 'verb')
-  END AS unknown FROM json_lines WHERE NOT cut""")
+  END AS unknown FROM json_lines""")
 def unknown_fields(spark, sf_dir):
     surplus = unknown_json_fields(F.col("raw_message"), X.JSON_NAMES[0])
-    lines = X.json_lines(spark, sf_dir).filter(F.col("id") % 40 != 1)
-    return lines.select("id", F.array_join(surplus, ",").alias("unknown"))
+    # A line that is cut short is no object, so it has no fields.
+    return X.json_lines(spark, sf_dir).select("id", F.array_join(surplus, ",").alias("unknown"))
 
 
 # ---- intake ---------------------------------------------------------------------------------
@@ -602,11 +639,7 @@ FROM log_lines WHERE stage IS NULL AND is_error""")
 def error_trace(spark, sf_dir):
     routed = _routed_lines(spark, sf_dir)
     errors, parsed = pipeline.error_rows(routed), pipeline.parsed_rows(routed)
-    flagged = errors.select("event_id").join(
-        parsed.select("event_id").distinct().withColumn("_there", F.lit(True)), "event_id", "left")
-    return flagged.agg(
-        F.count("*").alias("error_copies"), F.count_if(F.col("_there")).alias("also_parsed"),
-        F.count_if(F.col("_there").isNull()).alias("orphans"))
+    return recon.error_trace(errors, parsed)
 
 
 # ---- store ----------------------------------------------------------------------------------
@@ -809,6 +842,36 @@ def hist_buckets(spark, sf_dir):
     return _lag_histogram(spark, sf_dir).withColumn("total_sum", F.round("total_sum", 3))
 
 
+_LISTS = {"event_seconds": (fixed.EVENT_SECONDS_BOUNDS, 100_000), "batch_seconds": (fixed.BATCH_SECONDS_BOUNDS, 100), "ingest_lag_seconds": (fixed.INGEST_LAG_BOUNDS, 25)}
+_LISTS_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS metric, service, {bound!r}::DOUBLE AS le, count(*) FILTER (response_time_ms / {by}.0::DOUBLE <= {bound!r}::DOUBLE) AS count FROM timed GROUP BY 2"
+    if bound is not None else f"SELECT '{name}', service, NULL, count(*) FROM timed GROUP BY 2"
+    for name, (bounds, by) in _LISTS.items() for bound in (*bounds, None))
+
+
+@query("hist_bucket_lists", f"WITH {O.PARSED}, timed AS (SELECT * FROM parsed WHERE response_time_ms IS NOT NULL) {_LISTS_SQL}")
+def hist_bucket_lists(spark, sf_dir):
+    """The three histograms of a job, each over its own bounds."""
+    rows, out = X.parsed(spark, sf_dir), []
+    for name, (bounds, by) in _LISTS.items():
+        buckets = metrics.histogram(rows, F.col("response_time_ms") / float(by), bounds, "service")
+        out.append(buckets.select(F.lit(name).alias("metric"), "service", "le", "count"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query("threshold_bands", f"""WITH {O.PARSED}, minutes AS (
+  SELECT service, date_trunc('day', timestamp) AS day, round(100 * (count(*) FILTER (is_error))::DOUBLE / count(*), 2) AS err_pct,
+    max(response_time_ms) / 100.0::DOUBLE AS lag FROM parsed GROUP BY 1, 2)
+SELECT service, day, err_pct, lag, CASE WHEN err_pct >= 5 THEN 'red' ELSE 'green' END AS line,
+  CASE WHEN lag >= 10 THEN 'red' WHEN lag IS NOT NULL THEN 'green' END AS lag_band FROM minutes""")
+def threshold_bands(spark, sf_dir):
+    """Scales without yellow: the line of the error panel and the one of the latency panel."""
+    day = F.date_trunc("day", F.col("timestamp")).alias("day")
+    rows = X.parsed(spark, sf_dir).groupBy("service", day).agg(
+        reports.error_pct(2).alias("err_pct"), (F.max("response_time_ms") / 100.0).alias("lag"))
+    return rows.withColumns({"line": enrich.band(F.col("err_pct"), "error_pct_line"), "lag_band": enrich.band(F.col("lag"), "ingest_lag_seconds")})
+
+
 @query("hist_quantile", f"""WITH {O.PARSED}, {_buckets_sql(fixed.INGEST_LAG_BOUNDS)}, ranked AS (
   SELECT *, 0.95::DOUBLE * max(count) OVER (PARTITION BY service) AS rank,
     coalesce(lag(le) OVER w, 0) AS low, coalesce(lag(count) OVER w, 0) AS below

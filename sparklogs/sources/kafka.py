@@ -4,10 +4,12 @@ import os
 import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.text import iso_text
-from ..schemas import PARSED_TEXT_SCHEMA, TIME_COLUMNS
+from ..functions import jsonvalue as J
+from ..functions.text import iso_text, settled
+from ..functions.validate import unknown_json_fields
+from ..schemas import DLQ_SCHEMA, PARSED_TEXT_SCHEMA, TIME_COLUMNS
 
 _SECURITY = "org.apache.kafka.common.security"
 LOGIN_MODULES = {
@@ -104,15 +106,34 @@ def read_window_stream(spark: SparkSession, servers: str, topic: str = TOPICS["p
 def parse_rows(stream: DataFrame, value: str = "value", extra: tuple[str, ...] = (), skipped: bool = False) -> DataFrame:
     """Parsed rows from JSON text; unknown members are ignored and broken messages dropped.
 
-    With `skipped`, broken messages stay as rows whose `_broken` is true, to be counted.
+    A message is broken unless it is exactly one JSON object whose members have the types of the record and
+    that has an event id: nothing of it is taken then. With `skipped`, broken messages stay as rows of nulls with `_broken` true and
+    their text in `_rescued`; `_unknown` counts the members that the record type does not have.
     """
-    text = F.col(value).cast("string")
-    frame = stream.select(*[F.expr(e) for e in extra], text.alias("_text")).withColumn(
-        "_row", F.from_json("_text", PARSED_TEXT_SCHEMA, {"mode": "PERMISSIVE"}))
-    broken = F.col("_row").isNull() | F.col("_row.event_id").isNull()
-    names = [e.split(" AS ")[-1] for e in extra]
-    frame = frame.select(*names, "_row.*", F.coalesce(broken, F.lit(True)).alias("_broken"))
-    return frame if skipped else frame.filter(~F.col("_broken")).drop("_broken")
+    return _typed_messages(stream, PARSED_TEXT_SCHEMA, value, extra, skipped)
+
+
+def parse_dead_letters(stream: DataFrame, value: str = "value", extra: tuple[str, ...] = (), skipped: bool = False) -> DataFrame:
+    """Dead letters from JSON text, as strictly; their event id may be unknown, their stage may not. Times are ISO text."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in DLQ_SCHEMA])
+    return _typed_messages(stream, text, value, extra, skipped, required="error_stage")
+
+
+def _typed_messages(stream: DataFrame, schema: T.StructType, value: str, extra: tuple[str, ...], skipped: bool, required: str = "event_id") -> DataFrame:
+    text, names = F.col(value).cast("string"), [e.split(" AS ")[-1] for e in extra]
+    # The reader notes a message with a member of another type, but stops at the end of the first value.
+    noted = T.StructType([*schema, T.StructField("_wrong", T.StringType())])
+    row = F.from_json("_text", noted, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_wrong"})
+    frame = stream.select(*[F.expr(e) for e in extra], text.alias("_text"))
+    frame = frame.select(settled(*names, "_text", row.alias("_row"), J.is_json(F.col("_text")).alias("_json")))
+    good = F.col("_json") & F.col("_row").isNotNull() & F.col("_row._wrong").isNull() & F.col(f"_row.{required}").isNotNull()
+    frame = frame.select(*names, "_text", "_row", F.coalesce(~good, F.lit(True)).alias("_broken"))
+    fields = [F.when(~F.col("_broken"), F.col(f"_row.{f.name}")).alias(f.name) for f in schema]
+    if not skipped:
+        return frame.filter(~F.col("_broken")).select(*names, *[F.col(f"_row.{f.name}") for f in schema])
+    unknown = F.size(unknown_json_fields(F.col("_text"), schema.names))
+    return frame.select(*names, *fields, "_broken", F.when(F.col("_broken"), F.col("_text")).alias("_rescued"),
+                        F.when(F.col("_broken"), 0).otherwise(unknown).alias("_unknown"))
 
 
 def to_records(rows: DataFrame, key: str = "service") -> DataFrame:

@@ -18,8 +18,8 @@ _TIER_SCHEMA = T.StructType([
 ])
 
 
-def typed_rows(rows: DataFrame, stored_at: Column) -> DataFrame:
-    """Parsed rows, times as ISO text or TIMESTAMP, in the table's types and column order.
+def typed_rows(rows: DataFrame, stored_at: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Parsed rows, times as ISO text or TIMESTAMP, in the table's types and column order, after the columns to keep.
 
     Text that is no time becomes the epoch: one bad stamp must not stop a batch.
     """
@@ -30,7 +30,7 @@ def typed_rows(rows: DataFrame, stored_at: Column) -> DataFrame:
         if field.name in TIME_COLUMNS and kinds[field.name] == "string":
             column = best_effort_time(column)
         columns.append(column.cast(field.dataType).alias(field.name))
-    return rows.select(*columns, stored_at.alias("stored_at"))
+    return rows.select(*keep, *columns, stored_at.alias("stored_at"))
 
 
 def _by_day(frame: DataFrame) -> DataFrame:
