@@ -131,9 +131,12 @@ def intake_errors(judged: DataFrame, body: str, line: str, most: int | None = No
     return bad.withColumn("_n", first).filter(F.col("_n") <= most).drop("_n")
 
 
-def rejects_by_reason(judged: DataFrame) -> DataFrame:
-    return judged.select(F.col("reject").alias("reason")).filter(F.col("reason").isNotNull()).groupBy("reason").agg(
-        F.count("*").alias("lines"))
+def rejects_by_reason(judged: DataFrame, bodies: DataFrame | None = None) -> DataFrame:
+    """Rejected lines by reason; `bodies` (see files.rejected_bodies) adds those refused whole, each counted once."""
+    reasons = judged.select(F.col("reject").alias("reason")).filter(F.col("reason").isNotNull())
+    if bodies is not None:
+        reasons = reasons.unionByName(bodies.select("reason"))
+    return reasons.groupBy("reason").agg(F.count("*").alias("lines"))
 
 
 def raw_intake(lines: DataFrame, as_of: Column, source_format: str = "nginx_combined", **names: str) -> DataFrame:

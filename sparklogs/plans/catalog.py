@@ -5,13 +5,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import fixed
-from ..functions import enrich, envelope, redact
+from ..functions import enrich, envelope, jsonvalue as J, redact
 from ..functions.parsers import json_app_parser, parse
 from ..functions.text import iso_text
 from ..functions.validate import unknown_json_fields
 from ..operators import alerts, dedupe, intake, lookup, metrics, pipeline, recon, reports, sequences, wiki
 from ..session import configure, scratch_path, spread
-from ..sources import commits, files, kafka, sinks, store
+from ..sources import commits, files, folders, kafka, sinks, store
 from ..streaming import alert_state, jobs, progress
 from . import fixtures as X, oracle as O
 
@@ -352,6 +352,53 @@ def json_array_items(spark, sf_dir):
     return files.json_array_items(arrays, "text").select("id", "line", kind.alias("kind"))
 
 
+def _write_bodies(spark, sf_dir, path):
+    """Two bodies that are each one file: all lines as they are, and the whole ones as one array over many lines."""
+    lines = X.json_lines(spark, sf_dir).select("id", "raw_message").repartition(1).sortWithinPartitions("id")
+    lines.select("raw_message").write.text(f"{path}/lines")
+    good = lines.filter("id % 40 <> 1")
+    last = good.agg(F.max("id")).scalar()
+    item = F.concat(F.when(F.col("id") == good.agg(F.min("id")).scalar(), "[").otherwise(" "), "raw_message",
+                    F.when(F.col("id") == last, "]").otherwise(","))
+    good.select(item).write.text(f"{path}/array")
+
+
+_CALL_ID = r"call (\d+) by user"
+
+
+@query("large_bodies", f"""WITH {O.JSON_LINES}
+SELECT 'lines' AS body, row_number() OVER (ORDER BY id) AS line, id, cut FROM json_lines
+UNION ALL SELECT 'array', row_number() OVER (ORDER BY id), id, false FROM json_lines WHERE NOT cut""")
+def large_bodies(spark, sf_dir):
+    """Lines and array elements of bodies that are read from all their splits, with their numbers."""
+    path = scratch_path(spark, "bodies")
+    _write_bodies(spark, sf_dir, path)
+    lines = files.read_large_bodies(spark, f"{path}/lines").select(F.lit("lines").alias("body"), "line", "value")
+    items = files.read_large_arrays(spark, f"{path}/array").filter("not broken").select(
+        F.lit("array").alias("body"), F.col("line").cast("bigint").alias("line"), "value")
+    both = lines.unionByName(items)
+    return both.select("body", "line", F.regexp_extract("value", _CALL_ID, 1).cast("bigint").alias("id"), (~J.is_json(F.col("value"))).alias("cut"))
+
+
+@query("body_rejects", f"""WITH {O.JSON_LINES}
+SELECT 'invalid_json' AS reason, count(*) AS lines FROM json_lines WHERE cut AND host <> 'web-01' HAVING count(*) > 0
+UNION ALL SELECT 'too_large', 1 UNION ALL SELECT 'empty_body', 1""")
+def body_rejects(spark, sf_dir):
+    """Rejects of bodies by reason: refused lines, and bodies refused whole for being empty or too large."""
+    path = scratch_path(spark, "rejects")
+    lines = X.json_lines(spark, sf_dir).select("host", "raw_message")
+    for host in fixed.HOSTS[:6]:
+        own = lines.filter(F.col("host") == host).select("raw_message")
+        # One host sends everything it has fifty times over.
+        copies = own.select(F.explode(F.array_repeat("raw_message", 50))) if host == "web-01" else own
+        copies.coalesce(1).write.mode("append").text(path)
+    folders.write_new(spark, f"{path}/empty.txt", "")
+    sizes = spark.read.format("binaryFile").load(path).select("length").orderBy("length").collect()
+    largest = (sizes[-1].length + sizes[-2].length) // 2
+    judged = intake.judge_json(files.read_large_bodies(spark, path, largest), as_of=as_of())
+    return intake.rejects_by_reason(judged, files.rejected_bodies(spark, path, largest))
+
+
 # ---- enrich, redact -------------------------------------------------------------------------
 
 @query("geo_source", f"""WITH {O.PARSED}

@@ -1,10 +1,11 @@
 """Files of log lines, JSON logs, request bodies and page edits, as batches or streams."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import jsonvalue as J
 from ..functions.text import SPACES
 from ..schemas import CHANGE_SCHEMA
+from . import folders
 
 
 # Everything Python calls the end of a line.
@@ -86,6 +87,107 @@ def json_array_items(frame: DataFrame, text: str) -> DataFrame:
                            F.coalesce("_broken", F.to_json("value")).alias("value"))
 
 
+def _pieces(spark: SparkSession, path: str, separator: str | None, largest: int | None) -> DataFrame:
+    """(body, start, at, value): the pieces of files between separators, from as many tasks as the files have splits.
+
+    `start` is where the split begins in the file, `at` grows with the place in the split; both order the pieces of a body.
+    """
+    reader = spark.read.format("text")
+    pieces = (reader.option("lineSep", separator) if separator else reader).load(path)
+    if largest is not None:
+        pieces = pieces.filter(F.col("_metadata.file_size") <= largest)
+    return pieces.select(F.col("_metadata.file_path").alias("body"), F.col("_metadata.file_block_start").alias("start"),
+                         F.monotonically_increasing_id().alias("at"), "value")
+
+
+def _scanned(frame: DataFrame, sums: dict[str, Column], order: list[str]) -> DataFrame:
+    """Running sums over each body, up to and with the row: within a split, plus what the splits before it come to.
+
+    No task holds more than a split; one row per split takes part in the sums over splits.
+    """
+    inside = Window.partitionBy("body", "start").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("body").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = frame.groupBy("body", "start").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    splits = splits.select("body", "start", *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in sums])
+    running = frame.select("*", *[F.sum(c).over(inside).alias(n) for n, c in sums.items()]).join(splits, ["body", "start"])
+    return running.select(*[c for c in frame.columns], *[(F.col(n) + F.col(f"_{n}")).cast("bigint").alias(n) for n in sums])
+
+
+def _first_is_bracket(pieces: DataFrame) -> DataFrame:
+    """body, is_array: whether the first thing in the file is `[`."""
+    bare = F.btrim(F.regexp_replace("value", _BOM, ""), F.lit(SPACES))
+    seen = pieces.select("body", "start", "at", bare.alias("bare")).filter("bare <> ''")
+    return seen.groupBy("body").agg(F.min_by("bare", F.struct("start", "at")).startswith("[").alias("is_array"))
+
+
+def read_large_bodies(spark: SparkSession, path: str, largest: int | None = None) -> DataFrame:
+    """As `read_bodies`, for bodies of any size: lines come from all splits of a file, with their number in the body.
+
+    A line must fit into a task, a body need not.
+    """
+    pieces = _pieces(spark, path, None, largest)
+    clean = F.when(F.col("start") == 0, F.regexp_replace("value", _BOM, "")).otherwise(F.col("value"))
+    lines = pieces.select("body", "start", "at", F.posexplode(F.split(clean, _LINE_END)).alias("pos", "value")).filter(_not_blank("value"))
+    numbered = _scanned(lines, {"line": F.lit(1)}, ["at", "pos"])
+    kinds = _first_is_bracket(pieces).filter("not is_array")
+    return numbered.join(kinds.select("body"), "body", "left_semi").select("body", "line", "value")
+
+
+def read_large_arrays(spark: SparkSession, path: str, largest: int | None = None) -> DataFrame:
+    """Elements of files that are each one JSON array of any size: (body, line, value, broken), numbered from 1.
+
+    Files are read in pieces between commas, from all their splits. Quotes before a piece say whether it starts within a
+    text, brackets outside texts how deep it is, both as running sums; a piece that starts at the depth of the array, outside a text, starts an
+    element, and the pieces of an element are put together again. An element must fit into a task, a body need not.
+    `broken` marks all elements of a body whose brackets or quotes do not come out even; whether an element is JSON is for
+    intake to say.
+    """
+    pieces = _pieces(spark, path, ",", largest)
+    kinds = _first_is_bracket(pieces).filter("is_array")
+    pieces = pieces.join(kinds.select("body"), "body", "left_semi")
+    clean = F.when(F.col("start") == 0, F.regexp_replace("value", _BOM, "")).otherwise(F.col("value"))
+    parts = F.split(F.regexp_replace(clean, r"\\.", ""), '"', -1)
+
+    def depth_change(parity: int) -> Column:
+        """Brackets in every other part: outside texts, if the piece starts outside (0) or within (1) one."""
+        outside = F.filter(F.col("_parts"), lambda x, i: i % 2 == parity)
+
+        def count(signs: str) -> Column:
+            return F.aggregate(outside, F.lit(0), lambda a, x: a + F.length(x) - F.length(F.translate(x, signs, "")))
+
+        return count("[{") - count("]}")
+
+    rows = pieces.select("body", "start", "at", clean.alias("value"), parts.alias("_parts"))
+    rows = rows.select("body", "start", "at", "value", (F.size("_parts") - 1).alias("quotes"), depth_change(0).alias("out"), depth_change(1).alias("in"))
+    rows = _scanned(rows, {"quoted": F.col("quotes")}, ["at"])
+    within = (F.col("quoted") - F.col("quotes")) % 2 == 1
+    rows = rows.withColumn("within", within).withColumn("step", F.when(within, F.col("in")).otherwise(F.col("out")))
+    rows = _scanned(rows.drop("in", "out"), {"depth": F.col("step")}, ["at"])
+    before = F.col("depth") - F.col("step")
+    starts = ~F.col("within") & (before <= 1)  # the first piece is at depth 0, later elements at depth 1
+    rows = _scanned(rows.withColumn("starts", F.when(starts, 1).otherwise(0)), {"line": F.col("starts")}, ["at"])
+    # Depth 0 after a piece is the end of the array: nothing may follow it.
+    whole = rows.groupBy("body").agg(
+        (F.sum("step") != 0).alias("open"), (F.sum("quotes") % 2 != 0).alias("quoted"), F.count_if(F.col("depth") <= 0).alias("ends"), F.max("line").alias("last"))
+    whole = whole.select("body", "last", (F.col("open") | F.col("quoted") | (F.col("ends") != 1)).alias("broken"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "at", "value"))), lambda p: p["value"]), ",")
+    items = rows.groupBy("body", "line").agg(joined.alias("value")).join(whole, "body")
+    bare = F.btrim("value", F.lit(SPACES))
+    opened = F.when(F.col("line") == 1, F.regexp_replace(bare, r"^\[", "")).otherwise(bare)
+    closed = F.when(F.col("line") == F.col("last"), F.regexp_replace(opened, r"\]$", "")).otherwise(opened)
+    items = items.select("body", F.col("line").cast("int").alias("line"), F.btrim(closed, F.lit(SPACES)).alias("value"), "broken", "last")
+    return items.filter((F.col("value") != "") | (F.col("last") > 1)).drop("last")
+
+
+def rejected_bodies(spark: SparkSession, path: str, largest: int) -> DataFrame:
+    """(body, reason) of the files that are refused before they are opened: empty_body or too_large.
+
+    They are told from the listing: readers pass over empty files.
+    """
+    refused = [(name, "too_large" if size else "empty_body") for name, size in folders.sizes(spark, path).items() if not size or size > largest]
+    return spark.createDataFrame(refused, "body string, reason string")
+
+
 def read_changes(spark: SparkSession, path: str, stream: bool = False, **options) -> DataFrame:
     """Page-edit documents, one JSON object per line."""
     return _reader(spark, stream, **options).format("json").schema(CHANGE_SCHEMA).load(path)

@@ -29,6 +29,17 @@ def matching(spark: SparkSession, path: str, pattern: str) -> dict[str, int]:
     return {s.getPath().toUri().getPath()[start:]: s.getModificationTime() for s in found}
 
 
+def sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """The files below a path, by full name, with their lengths; hidden ones are left out, as readers do."""
+    hadoop, system = _folder(spark, path)
+    found, files = {}, system.listFiles(hadoop, True)
+    while files.hasNext():
+        status = files.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            found[status.getPath().toString()] = status.getLen()
+    return found
+
+
 def delete(spark: SparkSession, path: str) -> None:
     hadoop, system = _folder(spark, path)
     system.delete(hadoop, True)

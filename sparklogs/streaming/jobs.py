@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import alerts, reports
+from ..operators import alerts, metrics, reports
 from ..operators.pipeline import Options, decode, process, route
 from ..sources import kafka
 from ..sources.sinks import read_routes, upsert_windows, write_routes
@@ -55,15 +55,20 @@ def run_pipeline(
 
 def run_hot_store(
     records: DataFrame, root: str, checkpoint: str, stored_at: Column | None = None, name: str = "stream",
-    trigger: str | None = TRIGGER,
+    trigger: str | None = TRIGGER, watch: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
     """Parsed rows from topic records into the hot tier, by day; rows that are no good records are left to the topic.
 
+    `watch` is told, per batch, how many messages came, how many were broken and how many had unknown members.
+
     A batch has one name, made of the stream's and its number, so one that is repeated after a failure replaces all
     its days, and readers see a batch whole or not at all.
     """
     def one_batch(batch: DataFrame, number: int) -> None:
-        append_hot(kafka.parse_rows(batch), root, stored_at, f"{name}-{number}", repeated=True)
+        rows, counters = metrics.watched(kafka.parse_rows(batch, skipped=True), f"{name}-{number}")
+        append_hot(rows, root, stored_at, f"{name}-{number}", repeated=True)
+        if watch:
+            watch(number, counters.get)
 
     return _start(records.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint), trigger)
 
