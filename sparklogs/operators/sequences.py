@@ -131,7 +131,20 @@ def in_service_order(frame: DataFrame, *more: str) -> DataFrame:
 
 
 def storage_order(frame: DataFrame) -> DataFrame:
-    return frame.sortWithinPartitions("service", "timestamp", "event_id")
+    """Rows as the store writes them, within whatever parts they are in."""
+    return frame.sortWithinPartitions("event_date", "service", "timestamp", "event_id")
+
+
+def out_of_order(frame: DataFrame, unit: str, order: list[str], keys: list[str]) -> DataFrame:
+    """Rows per key, units (files, partitions) that hold some, and rows that come before their predecessor in a unit.
+
+    `frame` is read or computed in the order that is asked about; a unit is what one task reads or makes.
+    """
+    placed = frame.withColumn("_at", F.monotonically_increasing_id())
+    before = Window.partitionBy(unit, *keys).orderBy("_at")
+    own = F.struct(*order)
+    checked = placed.withColumn("_late", F.coalesce(F.lag(own).over(before) > own, F.lit(False)))
+    return checked.groupBy(*keys).agg(F.count("*").alias("rows"), F.count_distinct(unit).alias("units"), F.count_if("_late").alias("out_of_order"))
 
 
 def interval_key(time: Column, seconds: int) -> Column:

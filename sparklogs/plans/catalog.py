@@ -104,6 +104,15 @@ def _routed_lines(spark, sf_dir):
     return pipeline.route(pipeline.process(X.log_lines(spark, sf_dir), as_of(), X.OPTIONS))
 
 
+@query("process_without_client", f"""WITH {O.LOG_LINES}
+SELECT id, CAST(NULL AS VARCHAR) AS client_ip, substr(sha256('{X.OPTIONS.salt}|' || coalesce(client_ip, 'unknown')), 1, 32) AS client_ip_hash
+FROM log_lines WHERE stage IS NULL""")
+def process_without_client(spark, sf_dir):
+    options = pipeline.Options(salt=X.OPTIONS.salt, keep_client=False)
+    routed = pipeline.route(pipeline.process(X.log_lines(spark, sf_dir), as_of(), options))
+    return pipeline.parsed_rows(routed, extra=("id",)).select("id", "client_ip", "client_ip_hash")
+
+
 @query("decode_validate_dlq", f"""WITH {O.RAW_JSON}
 SELECT id, CASE WHEN stage <> 'decode' THEN event_id END AS event_id, stage AS error_stage,
   CASE WHEN stage <> 'decode' THEN service END AS service,
@@ -770,6 +779,45 @@ def move_to_cold(spark, sf_dir):
         F.count("*").alias("rows"), F.count("client_ip").alias("clients"))
 
 
+@query("storage_order", f"""WITH {O.PARSED}
+SELECT service, CAST(timestamp AS DATE) AS event_date, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order FROM parsed GROUP BY 1, 2""")
+def storage_order(spark, sf_dir):
+    """The files of the hot tier, read back in the order they were written in."""
+    root = scratch_path(spark, "ordered")
+    store.append_hot(X.parsed(spark, sf_dir).select(*[
+        F.col(c) if c in X.parsed(spark, sf_dir).columns else F.lit(None).cast("string").alias(c) for c in store.PARSED_COLUMNS]), root, as_of())
+    rows = store.read_tier(spark, root, "hot").select("service", "event_date", "timestamp", "event_id", F.input_file_name().alias("file"))
+    found = sequences.out_of_order(rows, "file", ["timestamp", "event_id"], ["service", "event_date"])
+    return found.select("service", "event_date", "rows", "out_of_order")
+
+
+@query("stream_skew", f"""WITH {O.PARSED}, skewed AS (SELECT CASE WHEN id % 2 = 0 THEN 'svc-hot' ELSE service END AS service FROM parsed)
+SELECT service, count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order, service = 'svc-hot' AS spread FROM skewed GROUP BY 1""")
+def stream_skew(spark, sf_dir):
+    """One service with half of all rows is spread over tasks, and every service stays in order within them."""
+    name = F.when(F.col("id") % 2 == 0, "svc-hot").otherwise(F.col("service"))
+    rows = X.parsed(spark, sf_dir).withColumn("service", name).select("service", "timestamp", "event_id")
+    order = ["service", "timestamp", "event_id"]
+    parts = rows.repartitionByRange(8, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    found = sequences.out_of_order(parts, "part", ["timestamp", "event_id"], ["service"])
+    return found.select("service", "rows", "out_of_order", (F.col("units") > 2).alias("spread"))
+
+
+@query("retier", f"""WITH {O.PARSED}, aged AS (SELECT *, CASE WHEN id % 50 = 0 THEN TIMESTAMP '1970-01-01' ELSE timestamp END AS t FROM parsed)
+SELECT CASE WHEN CAST(t AS DATE) < DATE '2024-01-28' THEN 'cold' ELSE 'hot' END AS tier, CAST(t AS DATE) AS event_date, count(*) AS rows,
+  count(CASE WHEN CAST(t AS DATE) >= DATE '2024-01-28' THEN client_ip END) AS clients
+FROM aged WHERE CAST(t AS DATE) <> DATE '2024-01-30' GROUP BY 1, 2""")
+def retier(spark, sf_dir):
+    """Days moved at the usual age, then once more at a lower one, and one day dropped."""
+    root = scratch_path(spark, "retier")
+    store.append_hot(_store_rows(spark, sf_dir), root, as_of(), batch="1")
+    store.move_to_cold(spark, root, X.AS_OF[:10])
+    store.move_to_cold(spark, root, X.AS_OF[:10], hot_days=3)
+    store.drop_day(spark, f"{root}/hot", "2024-01-30")
+    return store.read_store(spark, root).groupBy("tier", "event_date").agg(
+        F.count("*").alias("rows"), F.count("client_ip").alias("clients"))
+
+
 @query("stream_counts", f"""WITH {O.LOG_LINES}
 SELECT 'raw' AS stream, count(*) AS rows FROM log_lines UNION ALL
 SELECT 'parsed', count(*) FROM log_lines WHERE stage IS NULL UNION ALL
@@ -1173,6 +1221,56 @@ def stream_parse(spark, sf_dir):
     return _count_routes(sinks.read_routes(spark, f"{path}/out"))
 
 
+_ARRIVAL_1M = _METRICS_1M.replace("date_trunc('minute', timestamp)", "date_trunc('minute', ingested_at)")
+
+
+@query("metrics_by_arrival", _ARRIVAL_1M)
+def metrics_by_arrival(spark, sf_dir):
+    """The windowed metrics by the time of arrival instead of the event's own."""
+    path = scratch_path(spark, "arrival")
+    _finish(jobs.run_windowed_metrics(
+        X.parsed_from(_event_stream(spark, sf_dir)), f"{path}/out", f"{path}/checkpoint", time_col="ingested_at", trigger=None))
+    return sinks.latest_windows(spark, f"{path}/out", "service", "window_start")
+
+
+def _batches(spark, path, frame, parts):
+    """The rows as a folder of files, one after the other, for a stream that takes a file per batch."""
+    for part in parts:
+        frame.filter(part).coalesce(1).write.mode("append").parquet(path)
+    return files.read_stream_files(spark, path, frame.schema, files_per_batch=1)
+
+
+@query("late_rows", """SELECT count(*) FILTER (ts >= TIMESTAMP '2024-01-10') AS admitted, count(*) FILTER (ts < TIMESTAMP '2024-01-10') AS dropped,
+  count(*) AS read FROM events""")
+def late_rows(spark, sf_dir):
+    """Rows of earlier days that come after later ones are dropped, and the run says how many it read."""
+    path, events = scratch_path(spark, "late"), X.table(spark, sf_dir, "events")
+    late = F.col("ts").cast("timestamp") < X.time("2024-01-10 00:00:00")
+    # The watermark moves between batches, so the first two are admitted whole.
+    odd = F.col("event_id") % 2 == 1
+    stream = _batches(spark, f"{path}/events", events, (~late & odd, ~late & ~odd, late))
+    run = jobs.run_windowed_metrics(X.parsed_from(stream), f"{path}/out", f"{path}/checkpoint", trigger=None)
+    _finish(run)
+    table = progress.ProgressTable(spark, f"{path}/progress")
+    table.add([p.json for p in run.recentProgress])
+    table.flush()
+    read = progress.read_progress(spark, f"{path}/progress").agg(F.sum("input_rows")).scalar()
+    admitted = sinks.latest_windows(spark, f"{path}/out", "service", "window_start").agg(
+        F.coalesce(F.sum("request_count"), F.lit(0)).cast("bigint").alias("admitted"))
+    return admitted.select("admitted", (read - F.col("admitted")).alias("dropped"), read.alias("read"))
+
+
+@query("batch_dlq_ratio", f"""WITH {O.RAW_JSON}, b AS (SELECT CAST(id % 3 AS VARCHAR) AS batch, stage FROM raw_json)
+SELECT batch, count(*) FILTER (stage IS NULL) AS parsed, count(*) FILTER (stage IS NOT NULL) AS dlq,
+  round((count(*) FILTER (stage IS NOT NULL))::DOUBLE / count(*), 6) AS dlq_ratio FROM b GROUP BY 1""")
+def batch_dlq_ratio(spark, sf_dir):
+    """Dead letters as a share of each micro-batch of the pipeline."""
+    path, events = scratch_path(spark, "ratio"), X.table(spark, sf_dir, "events")
+    stream = _batches(spark, f"{path}/events", events, [F.col("event_id") % 3 == i for i in range(3)])
+    _finish(jobs.run_pipeline(X.raw_json_from(stream).select("value"), f"{path}/out", f"{path}/checkpoint", X.OPTIONS, as_of(), trigger=None))
+    return jobs.batch_ratio(spark, f"{path}/out")
+
+
 @query("stream_dedupe", f"WITH {O.PARSED} SELECT event_id, service FROM parsed")
 def stream_dedupe(spark, sf_dir):
     path = scratch_path(spark, "dedupe")

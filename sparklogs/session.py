@@ -9,7 +9,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A repeated JSON key means its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # The JVM never compiles methods above 8,000 bytes; Spark then splits the projections instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Stream state lives on disk, so it may outgrow executor memory.

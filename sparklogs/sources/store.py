@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from .. import fixed
 from ..functions.text import best_effort_time
 from ..operators.dedupe import latest_copy
+from ..operators.sequences import storage_order
 from ..schemas import PARSED_COLUMNS, PARSED_SCHEMA, TIME_COLUMNS
 from . import commits
 
@@ -39,8 +40,7 @@ def _by_day(frame: DataFrame) -> DataFrame:
     The rebalance gathers a day's rows and splits days that are large, so neither many small files nor
     one huge task results; files are sorted for row-group skipping.
     """
-    days = frame.withColumn("event_date", F.to_date("timestamp")).hint("rebalance", "event_date")
-    return days.sortWithinPartitions("event_date", "service", "timestamp", "event_id")
+    return storage_order(frame.withColumn("event_date", F.to_date("timestamp")).hint("rebalance", "event_date"))
 
 
 def _write_days(frame: DataFrame, path: str, batch: str, repeated: bool = False) -> None:
