@@ -1,13 +1,14 @@
 """Main text of web pages by tree scoring.
 
-A page becomes a list of nodes and of text blocks. Subtrees that are never article text (menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, comments of readers: by element, role, or the words of class and id) give
-no blocks. Each paragraph passes points for its length and commas to its ancestors, less with every level, and a
+A page becomes a list of nodes and of text blocks. Subtrees that are never article text by element or role (menus, headers,
+footers, asides, scripts) give no blocks; the header of an article or main element belongs to it. Forms and the words of class
+and id (sidebar, social, comment ..) are only signs: such a subtree is left out unless it holds nearly all the running text of the
+page, as a form or a `page-with-sidebar` around everything does. Adverts, consent boxes and comments of readers are not spared
+so. Each paragraph passes points for its length and commas to its ancestors, less with every level, and a
 container's points are discounted by its link density. The best container, raised to an enclosing article or
 main element, is kept with those of its siblings that score or read like text; all blocks in them come out in page order.
 
-When that leaves no text, the page is read again with forms and without regard to the words of class and id, as either may wrap the
-whole page; links alone are no text then. Lists of links go with all else inside the best container, and are left out beside it.
+When that leaves no text at all, forms and words of class and id are not looked at; links alone are no text then. Lists of links go with all else inside the best container, and are left out beside it.
 
 Nulls and odd pages: a null or empty page has an empty text; so has one without any text outside the above. Text
 without any markup is one block. Unclosed, misnested and unknown elements are read as browsers roughly do; a page
@@ -42,6 +43,14 @@ _BAD_WORDS = frozenset(
     "notification popup modal overlay newsletter subscribe subscription signup login social share sharing related recommended "
     "recommendations comment comments commentlist disqus reply replies respond responses widget toolbar pagination pager "
     "paging search skip skyscraper alert disclaimer copyright outbrain taboola teaser trending hidden".split())
+# Not spared however much text they hold, unless the words also name an article.
+_NEVER_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adbox cookie cookies consent gdpr newsletter popup modal overlay comment "
+    "comments commentlist disqus reply replies respond responses outbrain taboola disclaimer copyright hidden".split())
+# On a paragraph or heading these say what it is about, not that it is none.
+_TOPIC_WORDS = frozenset("related trending teaser header masthead banner search notice alert social promo recommended".split())
+#: The share of the running text that makes a marked subtree the page itself.
+_NEARLY_ALL = 0.8
 _HEAD_WORDS = frozenset(("header", "masthead", "banner", "search", "related", "alert", "notice"))
 _TEXT_WORDS = frozenset("article post entry story content body main text blog page".split())
 _WRAPPING = frozenset(("with", "has", "no", "without", "is"))
@@ -53,34 +62,67 @@ _CLOSES = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": (
 _INSIDE_P = frozenset(_BLOCK) - {"body", "html", "head"}
 
 
-def _unwanted(tag: str, attributes: str, wrapped: bool) -> bool:
-    if tag in _DROPPED and not (wrapped and tag == "form"):
-        return True
+_TEXT, _MARKED, _NEVER, _GONE = range(4)
+
+
+def _verdict(tag: str, attributes: str, in_article: bool) -> int:
+    """_GONE: no text at all; _NEVER, _MARKED: left out, the latter unless it is nearly the whole page; else _TEXT."""
+    if tag in _DROPPED and tag != "form" and not (tag == "header" and in_article):
+        return _GONE
+    found = _MARKED if tag == "form" else _TEXT
     if not attributes or tag in _ROOTS:
-        return False
+        return found
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "role" and value.lower() in _ROLES:
-            return True
+        if name == "hidden" or name == "role" and value.lower() in _ROLES and not (value.lower() == "form" and tag == "form"):
+            return _GONE
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if name in ("class", "id") and not wrapped:
-            for token in value.split():
-                words = [w.lower() for w in _WORDS.findall(token)]
+            return _GONE
+        if name in ("class", "id"):
+            tokens = [[w.lower() for w in _WORDS.findall(token)] for token in value.split()]
+            named = any(_TEXT_WORDS.intersection(words) for words in tokens)
+            for words in tokens:
                 bad = _BAD_WORDS.intersection(words)
+                if tag in _PARAGRAPHS:
+                    bad -= _TOPIC_WORDS
                 if bad and words[0] not in _WRAPPING and not (bad <= _HEAD_WORDS and _TEXT_WORDS.intersection(words)):
-                    return True
-    return False
+                    found = max(found, _NEVER if bad & _NEVER_WORDS and not named else _MARKED)
+    return found
 
 
 class _Page:
     """Nodes by number (parent before child) and the blocks of text in page order."""
 
-    def __init__(self, source: str, wrapped: bool):
-        self.wrapped = wrapped
+    def __init__(self, source: str):
         self.parent, self.tag, self.dropped, self.cue = [-1], ["#root"], [False], [False]
+        self.verdict, self.in_article, self.bare = [_TEXT], [False], False
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         self._read(source)
+        self._sift()
+
+    def _sift(self) -> None:
+        """Leave the marked subtrees out, but for those that hold nearly all the running text."""
+        def plain(gone: list[bool]) -> list[int]:
+            size = [0] * len(gone)
+            for node, text, in_links in self.blocks:
+                size[node] += 0 if gone[node] or in_links >= 0.66 * len(text) else len(text) - in_links
+            for node in range(len(gone) - 1, 0, -1):
+                size[self.parent[node]] += size[node]
+            return size
+
+        def below(own: list[bool]) -> list[bool]:
+            for node in range(1, len(own)):
+                own[node] = own[node] or own[self.parent[node]]
+            return own
+
+        never = below([v == _NEVER for v in self.verdict])
+        size = plain(never)
+        gone = below([v == _NEVER or v == _MARKED and not (size[0] and size[i] >= _NEARLY_ALL * size[0]) for i, v in enumerate(self.verdict)])
+        left = [b for b in self.blocks if not gone[b[0]]]
+        self.bare = not left
+        if left:
+            self.blocks = left
+            self.dropped = [d or g for d, g in zip(self.dropped, gone)]
 
     def _read(self, source: str) -> None:
         stack, open_tags, links = [0], {}, 0
@@ -162,8 +204,10 @@ class _Page:
             node = len(self.parent)
             self.parent.append(stack[-1])
             self.tag.append(tag)
-            self.dropped.append(self.dropped[stack[-1]] or _unwanted(tag, attributes, self.wrapped))
+            self.verdict.append(_verdict(tag, attributes, self.in_article[stack[-1]]))
+            self.dropped.append(self.dropped[stack[-1]] or self.verdict[-1] == _GONE)
             self.cue.append(tag in ("article", "main") or "articleBody" in attributes or 'role="main"' in attributes)
+            self.in_article.append(self.cue[-1] or self.in_article[stack[-1]])
             if tag in _RAW:
                 stop = _RAW[tag].search(source, position)
                 position = source.find(">", stop.start()) + 1 or end if stop else end
@@ -182,10 +226,8 @@ def main_text(source: str | None) -> str:
     """The article of one page; see the module."""
     if not source:
         return ""
-    page = _Page(source, False)
-    if not page.blocks:
-        page = _Page(source, True)
-    if not page.blocks or page.wrapped and all(in_links >= 0.66 * len(text) for _, text, in_links in page.blocks):
+    page = _Page(source)
+    if not page.blocks or page.bare and all(in_links >= 0.66 * len(text) for _, text, in_links in page.blocks):
         return ""
     parent, n = page.parent, len(page.parent)
     points, size, linked = [0.0] * n, [0] * n, [0] * n

@@ -83,6 +83,23 @@ def test_html(spark):
     assert frame.filter("false").select(html_extract.extract("html")).count() == 0
 
 
+@pytest.mark.parametrize("wrapper", ["form", 'div class="page-with-sidebar"', 'div id="nav-open"', 'div class="social-post"',
+                                     'div class="trending-story"', 'section class="comment-on-law article"'])
+def test_html_keeps_wrapped_articles(wrapper):
+    inner = ("<h1>Head</h1><p>First words of a text, with commas, that goes on for a while.</p><div class='social share'>Tell all</div>"
+             "<p>Second paragraph, as long as the first one or a little longer than that.</p>")
+    page = f"<body><p>Site title</p><{wrapper}>{inner}</{wrapper.split()[0]}><div class='comments'><p>{'Nice one, thanks. ' * 40}</p></div></body>"
+    got = html_extract.main_text(page)
+    assert "First words" in got and "Second paragraph" in got and "Head" in got
+    assert "Tell all" not in got and "Nice one" not in got
+
+
+def test_html_titles_and_topics():
+    page = ("<body><header><p>The site, its motto, and more</p></header><article><header><h1>Title</h1></header><p class='related'>A related matter, told at "
+            "some length, with commas.</p><p>More of it, in full, and to the end.</p><p class='ad'>Buy now, cheap, today.</p></article></body>")
+    assert html_extract.main_text(page) == "Title\nA related matter, told at some length, with commas.\nMore of it, in full, and to the end."
+
+
 def test_html_wrapped():
     body = "<h1>Head</h1><p>First, with commas, and words.</p><p>Second one.</p>"
     for wrapper in ("form", 'div class="page-with-sidebar"', 'div class="layout-sidebar-right"', 'div id="nav-open"'):
