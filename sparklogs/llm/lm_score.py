@@ -49,7 +49,7 @@ class _Numbers(dict):
     """Words to even 64-bit numbers, remembered; pairs have odd ones."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 60_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word) & ~1
         return value
@@ -233,6 +233,7 @@ def _answered(cells: pa.Table) -> pa.Table:
         exact.append(packed(counts[own][word[own]]))
         start += len(cell)
     totals = [int(counts[word].sum()), int((word & trained).sum())]
+    pa.default_memory_pool().release_unused()  # what the group took goes back before the next one
     return pa.table([cells["shard"], cells["part"], pa.array(answers, pa.binary()), pa.array(exact, pa.binary()),
                      *[pa.array([t] + [0] * (len(asked) - 1), pa.int64()) for t in totals]],
                     ["shard", "part", "levels", "counts", "tokens", "words"])
