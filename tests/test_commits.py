@@ -141,3 +141,21 @@ def test_outputs_expire_by_route_and_compact(spark, tmp_path):
     assert counts == {"parsed": 6, "errors": 4, "dlq": 5} and before.count() == 15
     days = sinks.read_parsed(spark, path).select(F.to_date("processed_at").cast("string").alias("d")).distinct().collect()
     assert {r.d for r in days} == {"2026-01-20", "2026-01-24"}
+
+
+def test_the_log_does_not_grow_with_history(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(6):
+        commits.write(rows(spark, i), path, "same", ["day"])
+        if i % 2:
+            commits.vacuum(spark, path, older_than=-60)
+    commits.write(rows(spark, 77), path, "b", ["day"])
+    old = commits.entries(spark, path)
+    commits.merge(commits.read(spark, path, SCHEMA, only=old), path, old, ["day"])
+    commits.vacuum(spark, path, older_than=-60)
+    names = sorted(n for n in folders.children(spark, f"{path}/{commits.LOG}") if n.endswith(".json"))
+    _, live, gone, merged = commits._load(spark, path)
+    assert len(names) <= 4 and not gone and set(merged) == {"same", "b"} and seen(spark, path) == [5, 77]
+    commits.vacuum(spark, path, older_than=-60, forget=-60)
+    assert not commits._load(spark, path)[3] and seen(spark, path) == [5, 77]
+    assert commits.vacuum(spark, str(tmp_path / "nothing"), older_than=-60) == []
