@@ -29,7 +29,8 @@ class AlertStates(StatefulProcessor):
         frame = pd.concat(list(rows)).sort_values("eval_s")
         for moment, value in zip(frame["eval_s"].tolist(), frame["value"].tolist()):
             if since >= 0 and moment - last > self._step:
-                out.append((*key, last + self._step, None, 0, "Normal"))
+                if self._timed:
+                    out.append((*key, last + self._step, None, 0, "Normal"))
                 since = -1
             last = moment
             if value > self._threshold:
@@ -56,10 +57,10 @@ class AlertStates(StatefulProcessor):
 def stateful_alerts(evaluations: DataFrame, rule: dict, step: int = STEP) -> DataFrame:
     """States of a stream of evaluations (rule, service, eval_s, value), one instance per service.
 
-    A gap between evaluations ends a breach: the first evaluation that is missing counts as Normal, without a value. If
-    `evaluations` has eval_time with a watermark, as the windows of `jobs` do, a timer tells that as soon as the evaluation
-    can no longer come, and the evaluations may come from aggregations of the same stream; without it, the next
-    evaluation tells. Evaluations must reach a service in order of time.
+    A gap between evaluations ends a breach. If `evaluations` has eval_time with a watermark, as the windows of `jobs` do, the
+    first evaluation that is missing is told as Normal, without a value, by a timer as soon as it can no longer come, and
+    the evaluations may come from aggregations of the same stream; without it, only evaluations that exist are told.
+    Evaluations must reach a service in order of time.
     """
     timed = "eval_time" in evaluations.columns
     processor = AlertStates(rule["threshold"], rule["hold_seconds"], step, timed)
