@@ -12,7 +12,8 @@ a link, best bounds first, and what survives is verified on the sets.
 One tree over all texts would have to be searched by all texts, and rectangles of unlike texts prune nothing. So texts first
 get the trees in which they have partners. All shingles have one order, by how often their counter (one of 2 ** COUNTER_BITS, a
 table of fixed size) was hit, then by number: linked sets share one of their first n - ceil(0.8 n) + 1 shingles, so nodes
-without a path of such shared keys never link. The components of those paths are the candidates' groups, found
+without a path of such shared keys never link. Sizes of linked sets differ by a quarter at most, so a key counts only between nodes of
+one band of sizes, the bands overlapping by half. The components of those paths are the candidates' groups, found
 in tables of numbers without any set.
 
 1. Each group is a tree; groups above BLOCK shingles are dealt into blocks by hash, twice with different hashes, the
@@ -46,6 +47,7 @@ GROUPS, FAN = 64, 16
 COUNTER_BITS, SLICE_BITS = 24, 16
 #: Shingles in one tree, and points in one tree of keys.
 BLOCK, POINTS = 2_000_000, 4_096
+_BAND = 1.26  # above 100 / PERCENT, so linked sizes lie in one band or in two neighbours
 
 _LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -275,7 +277,7 @@ def _prefixes(levels, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
         """The first shingles of each set in the common order, rare ones first."""
         table, powers = np.frombuffer(levels.value, np.uint8), Powers()
         for batch in batches:
-            keys, ids = [], []
+            keys, ids, sizes = [], [], []
             for text in batch.column("text"):
                 own = shingles(text.as_py(), powers)
                 if not len(own):
@@ -283,16 +285,18 @@ def _prefixes(levels, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                 order = np.argsort(table[(own >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)], kind="stable")
                 keys.append(own[order[:prefix_length(len(own))]])
                 ids.append(np.full(len(keys[-1]), xxhash.xxh64_intdigest(own.tobytes(), seed), np.uint64))
+                sizes.append(np.full(len(keys[-1]), len(own), np.int32))
                 if sum(map(len, keys)) > 1 << 18:
-                    yield _posted(keys, ids)
-                    keys, ids = [], []
-            yield _posted(keys, ids)
+                    yield _posted(keys, ids, sizes)
+                    keys, ids, sizes = [], [], []
+            yield _posted(keys, ids, sizes)
 
     return prefixes
 
 
-def _posted(keys: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *v]).view(np.int64)) for v in (keys, ids)], ["key", "id"])
+def _posted(keys: list[np.ndarray], ids: list[np.ndarray], sizes: list[np.ndarray]) -> pa.RecordBatch:
+    key, number = (np.concatenate([np.zeros(0, np.uint64), *v]).view(np.int64) for v in (keys, ids))
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(number), pa.array(np.concatenate([np.zeros(0, np.int32), *sizes]))], ["key", "id", "n"])
 
 
 def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +345,7 @@ class Nodes:
 
 
 def _postings(nodes: Nodes) -> DataFrame:
-    """key, id of the keys that several nodes share, with the smallest of them as `pivot`; written."""
+    """key, id, n of the keys that several nodes share; written."""
     texts = nodes.texts()
     spark = texts.sparkSession
     slices = nodes.counts.groupBy("slice").applyInArrow(_summed, "slice int, levels binary").collect()  # 2 ** COUNTER_BITS bytes at most
@@ -349,9 +353,19 @@ def _postings(nodes: Nodes) -> DataFrame:
     for row in slices:
         levels[row["slice"]] = np.frombuffer(row["levels"], np.uint8)
     prefixes = _prefixes(spark.sparkContext.broadcast(levels.tobytes()), nodes.seed)
-    posted = stored(texts.mapInArrow(prefixes, "key bigint, id bigint"), "rtree-posted")
-    shared = posted.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).filter("pivot <> last")
-    return stored(posted.join(bounded(stored(shared.select("key", "pivot"), "rtree-keys")), "key").distinct(), "rtree-postings")
+    posted = stored(texts.mapInArrow(prefixes, "key bigint, id bigint, n int"), "rtree-posted")
+    shared = posted.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first <> last")
+    return stored(posted.join(bounded(stored(shared.select("key"), "rtree-keys")), "key").distinct(), "rtree-postings")
+
+
+def _paths(postings: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the nodes which share a key within a band of sizes: all of them with the smallest; written."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(_BAND))).cast("int")
+    banded = postings.select("key", "id", F.explode(F.array(band, band + 1)).alias("band"))
+    pivots = banded.groupBy("key", "band").agg(F.min("id").alias("a"), F.max("id").alias("last")).filter("a <> last")
+    pivots = bounded(stored(pivots.select("key", "band", "a"), "rtree-pivots"))
+    edges = banded.join(pivots, ["key", "band"]).filter("a <> id").select("a", F.col("id").alias("b"))
+    return stored(edges.distinct(), "rtree-edges")
 
 
 def _rest(postings: DataFrame, nodes: Nodes, roots: DataFrame, dealt: DataFrame) -> DataFrame:
@@ -386,7 +400,7 @@ def _rest(postings: DataFrame, nodes: Nodes, roots: DataFrame, dealt: DataFrame)
 def _roots(nodes: Nodes) -> DataFrame | None:
     """node and root of the nodes that link with others; None if none do."""
     postings = _postings(nodes)
-    edges = stored(postings.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), "rtree-edges")
+    edges = _paths(postings)
     if edges.isEmpty():
         return None
     sizes = nodes.nodes.select("id", "n")
