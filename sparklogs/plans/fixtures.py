@@ -10,7 +10,7 @@ from ..functions.enrich import is_error
 from ..functions.parsers import level_from_status
 from ..operators.pipeline import Options
 from ..schemas import CHANGE_SCHEMA
-from ..session import spread
+from ..session import dealt
 
 START = "2024-01-01 00:00:00"
 AS_OF = "2024-01-31 00:00:00"
@@ -125,7 +125,7 @@ def log_lines_from(events: DataFrame, client: Column | None = None) -> DataFrame
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_lines_from(spread(table(spark, sf_dir, "events")))
+    return log_lines_from(dealt(table(spark, sf_dir, "events")))
 
 
 # Names the same fields go by, one list per kind of client.
@@ -161,7 +161,7 @@ def json_lines_from(events: DataFrame) -> DataFrame:
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return json_lines_from(spread(table(spark, sf_dir, "events")))
+    return json_lines_from(dealt(table(spark, sf_dir, "events")))
 
 
 def raw_json_from(events: DataFrame) -> DataFrame:
@@ -181,7 +181,7 @@ def raw_json_from(events: DataFrame) -> DataFrame:
 
 
 def raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_json_from(spread(table(spark, sf_dir, "events")))
+    return raw_json_from(dealt(table(spark, sf_dir, "events")))
 
 
 def dup_from(events: DataFrame) -> DataFrame:

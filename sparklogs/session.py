@@ -63,3 +63,20 @@ def spread(frame: DataFrame) -> DataFrame:
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
     return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
+#: Rows of a task that parses; a row takes up to half a millisecond.
+ROWS_A_TASK = 200_000
+
+
+def tasks_for(frame: DataFrame) -> int:
+    """As many tasks as there are cores, and more where one would get above ROWS_A_TASK rows."""
+    return max(frame.sparkSession.sparkContext.defaultParallelism, -(-frame.count() // ROWS_A_TASK))
+
+
+def dealt(frame: DataFrame) -> DataFrame:
+    """The rows of a narrow table dealt evenly to tasks of bounded length.
+
+    The splits of a file do not tell how many rows they hold: a large row group lies in one of them, whatever their number.
+    """
+    return frame.repartition(tasks_for(frame))
