@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from sparklogs import session
+from sparklogs.plans import catalog
 
 
 def test_rows_of_one_row_group_are_dealt_to_bounded_tasks(spark, tmp_path, monkeypatch):
@@ -18,3 +19,13 @@ def test_rows_of_one_row_group_are_dealt_to_bounded_tasks(spark, tmp_path, monke
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sum(held) == 4000 and len(held) == 16 and max(held) <= 300
+
+
+def test_a_stream_of_one_file_is_parsed_by_all_cores(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS event_id").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    parts = []
+    stream = catalog._dealt_stream(spark, str(tmp_path))
+    stream.writeStream.foreachBatch(lambda batch, n: parts.extend(
+        batch.groupBy(F.spark_partition_id()).count().toPandas()["count"])).option(
+        "checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert sum(parts) == 1000 and len(parts) == spark.sparkContext.defaultParallelism
