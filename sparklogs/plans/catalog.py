@@ -1239,10 +1239,15 @@ def metrics_by_arrival(spark, sf_dir):
 
 
 def _batches(spark, path, frame, parts):
-    """The rows as a folder of files, one after the other, for a stream that takes a file per batch."""
+    """The rows as a folder of files, part after part, for a stream that takes the files of one part per batch."""
+    tasks, total = tasks_for(frame), 0
     for part in parts:
-        frame.filter(part).coalesce(1).write.mode("append").parquet(path)
-    return files.read_stream_files(spark, path, frame.schema, files_per_batch=1)
+        frame.filter(part).repartition(tasks).write.mode("append").parquet(path)
+        total += tasks
+        # Tasks without rows write no file; empty ones in their place keep the number of files the same.
+        for _ in range(total - len(folders.sizes(spark, path))):
+            frame.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return files.read_stream_files(spark, path, frame.schema, files_per_batch=tasks)
 
 
 @query("late_rows", """SELECT count(*) FILTER (ts >= TIMESTAMP '2024-01-10') AS admitted, count(*) FILTER (ts < TIMESTAMP '2024-01-10') AS dropped,

@@ -29,3 +29,19 @@ def test_a_stream_of_one_file_is_parsed_by_all_cores(spark, tmp_path):
         batch.groupBy(F.spark_partition_id()).count().toPandas()["count"])).option(
         "checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     assert sum(parts) == 1000 and len(parts) == spark.sparkContext.defaultParallelism
+
+
+def test_batches_of_many_files_are_still_one_part_each(spark, tmp_path):
+    rows = spark.range(50).selectExpr("id AS event_id")
+    # The middle part has fewer rows than there are tasks, the last one none.
+    parts = [F.col("event_id") < 47, F.col("event_id") >= 47, F.col("event_id") < 0]
+    stream = catalog._batches(spark, f"{tmp_path}/events", rows, parts)
+    seen = {}
+
+    def note(batch, number):
+        own = batch.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        seen[number] = (sum(r["count"] for r in own), len(own))
+
+    stream.writeStream.foreachBatch(note).option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert [seen[n][0] for n in sorted(seen)] == [47, 3, 0]
+    assert seen[0][1] > 1
