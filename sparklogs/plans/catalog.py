@@ -199,8 +199,10 @@ def failures_by_stage(spark, sf_dir):
 SELECT '{kafka.TOPICS["parsed"]}' AS topic, * FROM parsed_rows UNION ALL SELECT '{kafka.TOPICS["errors"]}', * FROM parsed_rows WHERE is_error
 UNION ALL SELECT '{kafka.TOPICS["dlq"]}', event_id, service, NULL, NULL, NULL, NULL, stage FROM log_lines WHERE stage IS NOT NULL""")
 def topic_roundtrip(spark, sf_dir):
-    """All outputs as topic records and back into typed rows."""
-    records = sinks.topic_records(_routed_lines(spark, sf_dir))
+    """All outputs as topic records and back into typed rows. The records are written once, as a topic has them, and read by two readers."""
+    path = scratch_path(spark, "topics")
+    sinks.topic_records(_routed_lines(spark, sf_dir)).write.partitionBy("topic").parquet(path)
+    records = spark.read.schema("key string, value string, topic string").parquet(path)
     is_letter = F.col("topic") == kafka.TOPICS["dlq"]
     rows = kafka.parse_rows(records.filter(~is_letter), extra=("topic",))
     typed = store.typed_rows(rows, as_of(), keep=("topic",)).select(
