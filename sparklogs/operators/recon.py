@@ -48,8 +48,8 @@ def errors_also_parsed(errors: DataFrame, parsed: DataFrame) -> DataFrame:
 
 
 def error_trace(errors: DataFrame, parsed: DataFrame) -> DataFrame:
-    """One row: error copies, those with a parsed row and those without."""
-    marked = errors_also_parsed(errors, parsed).select(F.lit("also_parsed").alias("_k")).unionByName(
-        errors_not_parsed(errors, parsed).select(F.lit("orphans").alias("_k")))
-    counts = [F.count_if(F.col("_k") == name).alias(name) for name in ("also_parsed", "orphans")]
-    return marked.agg(F.count("*").alias("error_copies"), *counts)
+    """One row: error copies, those with a parsed row and those without; each side is looked at once."""
+    known = parsed.select("event_id").distinct().withColumn("_known", F.lit(True))
+    marked = errors.select("event_id").join(known, "event_id", "left")
+    return marked.agg(F.count("*").alias("error_copies"), F.count_if(F.col("_known").isNotNull()).alias("also_parsed"),
+                      F.count_if(F.col("_known").isNull()).alias("orphans"))

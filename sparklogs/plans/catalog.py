@@ -699,9 +699,10 @@ def dlq_replay(spark, sf_dir):
 SELECT count(*) AS error_copies, count(*) AS also_parsed, CAST(0 AS BIGINT) AS orphans
 FROM log_lines WHERE stage IS NULL AND is_error""")
 def error_trace(spark, sf_dir):
-    routed = _routed_lines(spark, sf_dir)
-    errors, parsed = pipeline.error_rows(routed), pipeline.parsed_rows(routed)
-    return recon.error_trace(errors, parsed)
+    """The stored outputs of one pass against each other."""
+    path = scratch_path(spark, "trace")
+    sinks.write_routes(_routed_lines(spark, sf_dir), path)
+    return recon.error_trace(sinks.read_errors(spark, path), sinks.read_parsed(spark, path))
 
 
 # ---- store ----------------------------------------------------------------------------------

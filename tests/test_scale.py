@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from sparklogs import session
+from sparklogs.operators import recon
 from sparklogs.plans import catalog
 
 
@@ -45,3 +46,17 @@ def test_batches_of_many_files_are_still_one_part_each(spark, tmp_path):
     stream.writeStream.foreachBatch(note).option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     assert [seen[n][0] for n in sorted(seen)] == [47, 3, 0]
     assert seen[0][1] > 1
+
+
+def test_error_trace_looks_at_each_side_once(spark):
+    errors = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "event_id string")
+    parsed = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "event_id string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    assert tuple(recon.error_trace(*[f.mapInArrow(counted, f.schema) for f in (errors, parsed)]).first()) == (4, 2, 2)
+    assert seen.value == 8
