@@ -6,6 +6,7 @@ from .. import fixed
 from ..functions import envelope as E, jsonvalue as J
 from ..functions.text import iso_text, settled
 from ..schemas import RAW_SCHEMA
+from . import lookup
 
 
 def build_envelope(
@@ -64,9 +65,11 @@ def build_envelope(
 def check_bodies(lines: DataFrame, body: str, longest: int) -> DataFrame:
     """Add `too_many`: true for every line of a body with more lines than allowed; `judge_json` rejects these.
 
-    Lines per body are counted with partial aggregation; the counts come back by a join.
+    Lines per body are counted with partial aggregation; only the bodies above the limit come back, by a broadcast up to
+    a number of them, so that no task is given the lines of a whole body.
     """
     sizes = lines.groupBy(body).agg(F.count("*").alias("_size")).filter(F.col("_size") > longest)
+    sizes = lookup.bounded(sizes, "long-bodies")
     return lines.join(sizes, body, "left").withColumn("too_many", F.col("_size").isNotNull()).drop("_size")
 
 

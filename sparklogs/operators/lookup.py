@@ -112,7 +112,7 @@ def load_networks(networks: DataFrame) -> Networks:
     heads = parts.filter("start is null").groupBy(F.col("block").alias("head"))
     wide = heads.agg(F.max_by("country", "bits").alias("country"))
     ranges = parts.filter("start is not null").groupBy("block").applyInArrow(_flat, "block string, start string, end string, country string")
-    return Networks(_bounded(ranges, "networks"), _bounded(wide, "wide-networks"))
+    return Networks(bounded(ranges, "networks"), bounded(wide, "wide-networks"))
 
 
 def load_ranges(ranges: DataFrame, most_rows: int = MAX_BROADCAST_ROWS) -> Networks:
@@ -145,7 +145,7 @@ def _stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def _bounded(frame: DataFrame, name: str) -> DataFrame:
+def bounded(frame: DataFrame, name: str) -> DataFrame:
     """The frame as a table, to be broadcast if its counted rows (some 100 bytes each) are within the bound."""
     return maybe_broadcast(_stored(frame, name))
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from sparklogs import session
-from sparklogs.operators import recon
+from sparklogs.operators import intake, recon
 from sparklogs.plans import catalog
 
 
@@ -60,3 +60,17 @@ def test_error_trace_looks_at_each_side_once(spark):
 
     assert tuple(recon.error_trace(*[f.mapInArrow(counted, f.schema) for f in (errors, parsed)]).first()) == (4, 2, 2)
     assert seen.value == 8
+
+
+def test_lines_of_a_long_body_stay_in_their_tasks(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = spark.range(900).select(F.when(F.col("id") > 0, F.lit("long")).otherwise("short").alias("body"), F.lit("{}").alias("value"))
+        sized = intake.check_bodies(lines.repartition(9), "body", 10)
+        held = {(r.task, r.too_many): r["count"] for r in sized.groupBy(F.spark_partition_id().alias("task"), "too_many").count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(n for (_, many), n in held.items() if many) == 899
+    assert max(held.values()) <= 200
