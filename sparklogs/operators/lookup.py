@@ -108,7 +108,7 @@ def load_networks(networks: DataFrame) -> Networks:
     """
     schema = "block string, start string, end string, bits int, country string"
     parts = networks.select("network", "country").mapInArrow(_network_blocks, schema)
-    parts = _stored(parts, "network-blocks")
+    parts = stored(parts, "network-blocks")
     heads = parts.filter("start is null").groupBy(F.col("block").alias("head"))
     wide = heads.agg(F.max_by("country", "bits").alias("country"))
     ranges = parts.filter("start is not null").groupBy("block").applyInArrow(_flat, "block string, start string, end string, country string")
@@ -117,7 +117,7 @@ def load_networks(networks: DataFrame) -> Networks:
 
 def load_ranges(ranges: DataFrame, most_rows: int = MAX_BROADCAST_ROWS) -> Networks:
     """An index of IPv4 ranges (start, end, country) by number; ranges that overlap are an error."""
-    parts = maybe_broadcast(check_ranges(_stored(_range_blocks(ranges), "ranges")), most_rows)
+    parts = maybe_broadcast(check_ranges(stored(_range_blocks(ranges), "ranges")), most_rows)
     return Networks(parts, ranges.sparkSession.createDataFrame([], "head string, country string"))
 
 
@@ -139,7 +139,7 @@ def check_ranges(ranges: DataFrame) -> DataFrame:
     return ranges
 
 
-def _stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str) -> DataFrame:
     path = scratch_path(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
@@ -147,7 +147,7 @@ def _stored(frame: DataFrame, name: str) -> DataFrame:
 
 def bounded(frame: DataFrame, name: str) -> DataFrame:
     """The frame as a table, to be broadcast if its counted rows (some 100 bytes each) are within the bound."""
-    return maybe_broadcast(_stored(frame, name))
+    return maybe_broadcast(stored(frame, name))
 
 
 def located(frame: DataFrame, networks: Networks, address: str = "_address", geo: str = "_geo") -> DataFrame:

@@ -363,15 +363,30 @@ def json_array_items(spark, sf_dir):
     return files.json_array_items(arrays, "text").select("id", "line", kind.alias("kind"))
 
 
+#: Ids of a body: more than a split, and no more than a task can write.
+_BODY_IDS = 1_000_000
+
+
 def _write_bodies(spark, sf_dir, path):
-    """Two bodies that are each one file: all lines as they are, and the whole ones as one array over many lines."""
-    lines = X.json_lines(spark, sf_dir).select("id", "raw_message").repartition(1).sortWithinPartitions("id")
-    lines.select("raw_message").write.text(f"{path}/lines")
-    good = lines.filter("id % 40 <> 1")
-    last = good.agg(F.max("id")).scalar()
-    item = F.concat(F.when(F.col("id") == good.agg(F.min("id")).scalar(), "[").otherwise(" "), "raw_message",
-                    F.when(F.col("id") == last, "]").otherwise(","))
-    good.select(item).write.text(f"{path}/array")
+    """Bodies that are each one file, by ranges of ids: all lines as they are, and the whole ones as one array over many lines.
+
+    Returns part, lines_before, items_before: what the bodies of earlier parts hold.
+    """
+    part = F.floor(F.col("id") / _BODY_IDS).alias("part")
+    lines = X.json_lines(spark, sf_dir).select("id", part, "raw_message")
+    whole = F.col("id") % 40 != 1
+    parts = lookup.stored(lines.groupBy("part").agg(
+        F.count("*").alias("lines"), F.count_if(whole).alias("items"), F.min(F.when(whole, F.col("id"))).alias("first"), F.max(F.when(whole, F.col("id"))).alias("last")), "parts")
+    bodies = max(1, parts.count())
+
+    def write(rows, name):
+        rows.repartition(bodies, "part").sortWithinPartitions("part", "id").drop("id").write.partitionBy("part").text(f"{path}/{name}")
+
+    write(lines, "lines")
+    item = F.concat(F.when(F.col("id") == F.col("first"), "[").otherwise(" "), "raw_message", F.when(F.col("id") == F.col("last"), "]").otherwise(","))
+    write(lines.filter(whole).join(F.broadcast(parts), "part").select("part", "id", item.alias("value")), "array")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select("part", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_before") for n in ("lines", "items")])
 
 
 _CALL_ID = r"call (\d+) by user"
@@ -381,12 +396,16 @@ _CALL_ID = r"call (\d+) by user"
 SELECT 'lines' AS body, row_number() OVER (ORDER BY id) AS line, id, cut FROM json_lines
 UNION ALL SELECT 'array', row_number() OVER (ORDER BY id), id, false FROM json_lines WHERE NOT cut""")
 def large_bodies(spark, sf_dir):
-    """Lines and array elements of bodies that are read from all their splits, with their numbers."""
+    """Lines and array elements of bodies that are read from all their splits, with their numbers, which go on over bodies."""
     path = scratch_path(spark, "bodies")
-    _write_bodies(spark, sf_dir, path)
-    lines = files.read_large_bodies(spark, f"{path}/lines").select(F.lit("lines").alias("body"), "line", "value")
-    items = files.read_large_arrays(spark, f"{path}/array").filter("not broken").select(
-        F.lit("array").alias("body"), F.col("line").cast("bigint").alias("line"), "value")
+    parts = F.broadcast(_write_bodies(spark, sf_dir, path))  # a row for so many lines that a task can write
+
+    def numbered(rows, before):
+        part = F.regexp_extract("body", r"/part=(-?\d+)/[^/]*$", 1).cast("bigint")
+        return rows.withColumn("part", part).join(parts, "part").select((F.col("line") + F.col(before)).alias("line"), "value")
+
+    lines = numbered(files.read_large_bodies(spark, f"{path}/lines"), "lines_before").withColumn("body", F.lit("lines"))
+    items = numbered(files.read_large_arrays(spark, f"{path}/array").filter("not broken"), "items_before").withColumn("body", F.lit("array"))
     both = lines.unionByName(items)
     return both.select("body", "line", F.regexp_extract("value", _CALL_ID, 1).cast("bigint").alias("id"), (~J.is_json(F.col("value"))).alias("cut"))
 

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import jsonvalue as J
 from ..functions.text import SPACES
+from ..operators.lookup import bounded, stored
 from ..schemas import CHANGE_SCHEMA
 from . import folders
 
@@ -100,17 +101,15 @@ def _pieces(spark: SparkSession, path: str, separator: str | None, largest: int
                          F.monotonically_increasing_id().alias("at"), "value")
 
 
-def _scanned(frame: DataFrame, sums: dict[str, Column], order: list[str]) -> DataFrame:
-    """Running sums over each body, up to and with the row: within a split, plus what the splits before it come to.
+def _inside(*order: str) -> Window:
+    """The pieces of a split, up to and with the row."""
+    return Window.partitionBy("body", "start").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    No task holds more than a split; one row per split takes part in the sums over splits.
-    """
-    inside = Window.partitionBy("body", "start").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+def _before(total: str) -> Column:
+    """What the splits of a body before the row's come to. One row per split takes part, and no task holds more than a split."""
     earlier = Window.partitionBy("body").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = frame.groupBy("body", "start").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
-    splits = splits.select("body", "start", *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in sums])
-    running = frame.select("*", *[F.sum(c).over(inside).alias(n) for n, c in sums.items()]).join(splits, ["body", "start"])
-    return running.select(*[c for c in frame.columns], *[(F.col(n) + F.col(f"_{n}")).cast("bigint").alias(n) for n in sums])
+    return F.coalesce(F.sum(total).over(earlier), F.lit(0))
 
 
 def _first_is_bracket(pieces: DataFrame) -> DataFrame:
@@ -128,23 +127,27 @@ def read_large_bodies(spark: SparkSession, path: str, largest: int | None = None
     pieces = _pieces(spark, path, None, largest)
     clean = F.when(F.col("start") == 0, F.regexp_replace("value", _BOM, "")).otherwise(F.col("value"))
     lines = pieces.select("body", "start", "at", F.posexplode(F.split(clean, _LINE_END)).alias("pos", "value")).filter(_not_blank("value"))
-    numbered = _scanned(lines, {"line": F.lit(1)}, ["at", "pos"])
-    kinds = _first_is_bracket(pieces).filter("not is_array")
-    return numbered.join(kinds.select("body"), "body", "left_semi").select("body", "line", "value")
+    # The bodies come to their lines, or a body would be one task's.
+    kinds = bounded(_first_is_bracket(pieces).filter("not is_array").select("body"), "bodies")
+    lines = lines.join(kinds, "body", "left_semi")
+    splits = lines.groupBy("body", "start").agg(F.count("*").alias("n"))
+    splits = bounded(splits.select("body", "start", _before("n").alias("earlier")), "splits")
+    numbered = lines.withColumn("line", F.count("*").over(_inside("at", "pos"))).join(splits, ["body", "start"])
+    return numbered.select("body", (F.col("line") + F.col("earlier")).alias("line"), "value")
 
 
 def read_large_arrays(spark: SparkSession, path: str, largest: int | None = None) -> DataFrame:
     """Elements of files that are each one JSON array of any size: (body, line, value, broken), numbered from 1.
 
     Files are read in pieces between commas, from all their splits. Quotes before a piece say whether it starts within a
-    text, brackets outside texts how deep it is, both as running sums; a piece that starts at the depth of the array, outside a text, starts an
+    text, brackets outside texts how deep it is, both as running sums within splits and over splits; a piece that starts at the depth of the array, outside a text, starts an
     element, and the pieces of an element are put together again. An element must fit into a task, a body need not.
     `broken` marks all elements of a body whose brackets or quotes do not come out even; whether an element is JSON is for
     intake to say.
     """
     pieces = _pieces(spark, path, ",", largest)
-    kinds = _first_is_bracket(pieces).filter("is_array")
-    pieces = pieces.join(kinds.select("body"), "body", "left_semi")
+    kinds = bounded(_first_is_bracket(pieces).filter("is_array").select("body"), "bodies")
+    pieces = pieces.join(kinds, "body", "left_semi")
     clean = F.when(F.col("start") == 0, F.regexp_replace("value", _BOM, "")).otherwise(F.col("value"))
     parts = F.split(F.regexp_replace(clean, r"\\.", ""), '"', -1)
 
@@ -159,17 +162,30 @@ def read_large_arrays(spark: SparkSession, path: str, largest: int | None = None
 
     rows = pieces.select("body", "start", "at", clean.alias("value"), parts.alias("_parts"))
     rows = rows.select("body", "start", "at", "value", (F.size("_parts") - 1).alias("quotes"), depth_change(0).alias("out"), depth_change(1).alias("in"))
-    rows = _scanned(rows, {"quoted": F.col("quotes")}, ["at"])
-    within = (F.col("quoted") - F.col("quotes")) % 2 == 1
-    rows = rows.withColumn("within", within).withColumn("step", F.when(within, F.col("in")).otherwise(F.col("out")))
-    rows = _scanned(rows.drop("in", "out"), {"depth": F.col("step")}, ["at"])
+    # Whether a split starts within a text is known only when all earlier ones are summed up, so both cases are carried: step0 and depth0 if it does not.
+    within = (F.sum("quotes").over(_inside("at")) - F.col("quotes")) % 2 == 1
+    rows = rows.withColumn("within0", within).select(
+        "body", "start", "at", "value", "quotes", "within0", F.when(F.col("within0"), F.col("in")).otherwise(F.col("out")).alias("step0"),
+        F.when(F.col("within0"), F.col("out")).otherwise(F.col("in")).alias("step1"))
+    rows = stored(rows.select("*", *[F.sum(f"step{i}").over(_inside("at")).alias(f"depth{i}") for i in (0, 1)]), "pieces")
+    splits = rows.groupBy("body", "start").agg(F.sum("quotes").alias("quotes"), F.sum("step0").alias("sum0"), F.sum("step1").alias("sum1"))
+    splits = splits.withColumn("cut", _before("quotes") % 2 == 1).withColumn("steps", F.when(F.col("cut"), F.col("sum1")).otherwise(F.col("sum0")))
+    splits = bounded(splits.select("body", "start", "cut", _before("steps").alias("deep")), "splits")
+    step, depth = (F.when(F.col("cut"), F.col(f"{n}1")).otherwise(F.col(f"{n}0")) for n in ("step", "depth"))
+    rows = rows.join(splits, ["body", "start"]).select(
+        "body", "start", "at", "value", "quotes", (F.col("within0") != F.col("cut")).alias("within"), step.alias("step"), (F.col("deep") + depth).alias("depth"))
     before = F.col("depth") - F.col("step")
     starts = ~F.col("within") & (before <= 1)  # the first piece is at depth 0, later elements at depth 1
-    rows = _scanned(rows.withColumn("starts", F.when(starts, 1).otherwise(0)), {"line": F.col("starts")}, ["at"])
+    rows = rows.withColumn("starts", F.when(starts, 1).otherwise(0))
     # Depth 0 after a piece is the end of the array: nothing may follow it.
-    whole = rows.groupBy("body").agg(
-        (F.sum("step") != 0).alias("open"), (F.sum("quotes") % 2 != 0).alias("quoted"), F.count_if(F.col("depth") <= 0).alias("ends"), F.max("line").alias("last"))
-    whole = whole.select("body", "last", (F.col("open") | F.col("quoted") | (F.col("ends") != 1)).alias("broken"))
+    sums = stored(rows.groupBy("body", "start").agg(
+        F.sum("step").alias("step"), F.sum("quotes").alias("quotes"), F.count_if(F.col("depth") <= 0).alias("ends"), F.sum("starts").alias("starts")), "sums")
+    whole = sums.groupBy("body").agg(
+        (F.sum("step") != 0).alias("open"), (F.sum("quotes") % 2 != 0).alias("quoted"), F.sum("ends").alias("ends"), F.sum("starts").alias("last"))
+    whole = bounded(whole.select("body", "last", (F.col("open") | F.col("quoted") | (F.col("ends") != 1)).alias("broken")), "bodies")
+    earlier = bounded(sums.select("body", "start", _before("starts").alias("earlier")), "splits")
+    rows = rows.withColumn("line", F.sum("starts").over(_inside("at"))).join(earlier, ["body", "start"])
+    rows = rows.withColumn("line", F.col("line") + F.col("earlier"))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "at", "value"))), lambda p: p["value"]), ",")
     items = rows.groupBy("body", "line").agg(joined.alias("value")).join(whole, "body")
     bare = F.btrim("value", F.lit(SPACES))

@@ -5,14 +5,15 @@ from pyspark.sql import functions as F
 from sparklogs import session
 from sparklogs.operators import intake, recon
 from sparklogs.plans import catalog
+from sparklogs.sources import files
 
 
 def test_rows_of_one_row_group_are_dealt_to_bounded_tasks(spark, tmp_path, monkeypatch):
-    spark.range(4000).coalesce(1).write.parquet(str(tmp_path))
+    spark.range(4000).coalesce(1).write.parquet(f"{tmp_path}/rows")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "512")  # many splits, and the rows in one of them
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        rows = spark.read.parquet(str(tmp_path))
+        rows = spark.read.parquet(f"{tmp_path}/rows")
         assert rows.rdd.getNumPartitions() > 8
         monkeypatch.setattr(session, "ROWS_A_TASK", 250)
         held = [n for n in session.dealt(rows).rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()]
@@ -74,3 +75,22 @@ def test_lines_of_a_long_body_stay_in_their_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert sum(n for (_, many), n in held.items() if many) == 899
     assert max(held.values()) <= 200
+
+
+def test_numbers_go_on_over_bodies_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "_BODY_IDS", 40)
+    events = spark.range(100).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS user_id", "'view' AS event_type", "1.0D AS value", "'{\"k\": 1}' AS props")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    rows = catalog.QUERIES["large_bodies"](spark, str(tmp_path)).collect()
+    lines = sorted((r.line, r.id) for r in rows if r.body == "lines")
+    assert lines == [(n + 1, n) for n in range(100)]
+    whole = [n for n in range(100) if n % 40 != 1]
+    assert sorted((r.line, r.id) for r in rows if r.body == "array") == list(enumerate(whole, 1))
+
+
+def test_arrays_are_scanned_once_per_pass(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": "x,[y"}, 2]')
+    rows = files.read_large_arrays(spark, str(tmp_path))
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 4
+    assert sorted((r.line, r.value) for r in rows.collect()) == [(1, '{"a": "x,[y"}'), (2, "2")]
