@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from sparklogs import session
 from sparklogs.operators import intake, recon
 from sparklogs.plans import catalog
-from sparklogs.sources import files
+from sparklogs.sources import files, folders
 
 
 def test_rows_of_one_row_group_are_dealt_to_bounded_tasks(spark, tmp_path, monkeypatch):
@@ -94,3 +94,25 @@ def test_arrays_are_scanned_once_per_pass(spark, tmp_path):
     rows = files.read_large_arrays(spark, str(tmp_path))
     assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 4
     assert sorted((r.line, r.value) for r in rows.collect()) == [(1, '{"a": "x,[y"}'), (2, "2")]
+
+
+def _events(spark, path):
+    spark.range(600).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS user_id", "'view' AS event_type", "1.0D AS value",
+        "'{\"k\": 1}' AS props").write.parquet(f"{path}/events.parquet")
+
+
+def test_the_large_body_is_no_larger_than_it_needs_to_be(spark, tmp_path, monkeypatch):
+    _events(spark, tmp_path)
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    rows = {r.reason: r.lines for r in catalog.QUERIES["body_rejects"](spark, str(tmp_path)).collect()}
+    assert rows["too_large"] == 1 and rows["empty_body"] == 1
+    sizes = sorted(folders.sizes(spark, f"{tmp_path}/rejects").values())
+    assert 1.2 * sizes[-2] < sizes[-1] < 6 * sizes[-2]
+
+
+def test_topic_records_are_made_once(spark, tmp_path):
+    _events(spark, tmp_path)
+    rows = catalog.QUERIES["topic_roundtrip"](spark, str(tmp_path))
+    assert "events.parquet" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert {r.topic for r in rows.collect()} >= {"parsed-logs", "dead-letter-queue"}
