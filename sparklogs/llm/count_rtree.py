@@ -2,7 +2,7 @@
 
 A text is the set of its distinct shingles of five words, as 64-bit numbers; texts with equal sets are one node. Two
 nodes link when 100 * intersection >= 80 * union; groups are connected components, named by the smallest id. Sets are larger than
-texts, so they are made anew from the texts where they are needed and never stored.
+texts, so they are made anew from the texts where they are needed, and trees get packed texts where these are shorter.
 
 The tokens (shingles) are hashed into GROUPS groups, and the counts per group are a text's point. For two points the sum of
 the coordinate minima bounds the intersection from above, and so it does for a point and the upper corner of a rectangle.
@@ -12,9 +12,10 @@ a link, best bounds first, and what survives is verified on the sets.
 One tree over all texts would have to be searched by all texts, and rectangles of unlike texts prune nothing. So texts first
 get the trees in which they have partners. All shingles have one order, by how often their counter (one of 2 ** COUNTER_BITS, a
 table of fixed size) was hit, then by number: linked sets share one of their first n - ceil(0.8 n) + 1 shingles, so nodes
-without a path of such shared keys never link. Sizes of linked sets differ by a quarter at most, so a key counts only between nodes of
-one band of sizes, the bands overlapping by half. The components of those paths are the candidates' groups, found
-in tables of numbers without any set.
+without a path of such shared keys never link. Sizes of linked sets differ by a quarter at most, so a key counts only within a
+run of its nodes by size without a greater step. The components of those paths are the candidates' groups, found
+in tables of numbers without any set. Nearly all keys are of one node, so they cross the network once, to a window that drops them.
+The rows of a key whose counter passes MOST are dealt to parts, joined again by the first rows of each part's bands of sizes.
 
 1. Each group is a tree; groups above BLOCK shingles are dealt into blocks by hash, twice with different hashes, the
    second time with what is linked so far. Within a tree, nodes already connected are not compared.
@@ -35,7 +36,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
 
 from . import graph
@@ -47,13 +48,15 @@ GROUPS, FAN = 64, 16
 COUNTER_BITS, SLICE_BITS = 24, 16
 #: Shingles in one tree, and points in one tree of keys.
 BLOCK, POINTS = 2_000_000, 4_096
+#: Rows of a key that one task gets, by its counter.
+MOST = 20_000
 _BAND = 1.26  # above 100 / PERCENT, so linked sizes lie in one band or in two neighbours
 
 _LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 _MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _PIECE = 1 << 20
 _NAMED = [T.StructField(n, t) for n, t in (("mark", T.LongType()), ("n", T.IntegerType()), ("id", T.LongType()), ("digest", T.BinaryType()), ("slice", T.IntegerType()),
-                                           ("places", T.BinaryType()), ("counts", T.BinaryType()))]
+                                           ("counts", T.BinaryType()))]
 
 
 def word_numbers(text: str | None, powers: Powers) -> np.ndarray:
@@ -93,6 +96,16 @@ def shingles(text: str | None, powers: Powers) -> np.ndarray:
 _NAMES = [f.name for f in _NAMED]
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """The counters of a slice byte by byte, as most are 0 or 1: the first bytes of all, then the second ones."""
+    return pa.compress(counts.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: pa.Buffer) -> np.ndarray:
+    data = pa.decompress(packed, 4 << SLICE_BITS, codec="zstd")
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view(np.uint32).reshape(-1)
+
+
 def _named(seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per text the size of its set, a number that names it, and a digest to tell whether the number is its own.
@@ -110,14 +123,13 @@ def _named(seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             sizes, ids, digests = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("mark"), pa.array(sizes, pa.int32()), pa.array(np.array(ids, np.uint64).view(np.int64)),
-                pa.array(digests, pa.binary()), *[pa.nulls(len(rows), t) for t in (pa.int32(), pa.binary(), pa.binary())]],
+                pa.array(digests, pa.binary()), pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())],
                 ["doc_id", *_NAMES])
         for i, own in enumerate(counts.reshape(-1, 1 << SLICE_BITS)):
-            hit = np.flatnonzero(own)
-            if len(hit):
+            if own.any():
                 yield pa.RecordBatch.from_arrays([
                     pa.nulls(1, own_type), *[pa.nulls(1, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.binary())], pa.array([i], pa.int32()),
-                    pa.array([hit.astype(np.uint16).tobytes()], pa.binary()), pa.array([own[hit].tobytes()], pa.binary())], ["doc_id", *_NAMES])
+                    pa.array([_packed(own)], pa.binary())], ["doc_id", *_NAMES])
 
     return name
 
@@ -129,6 +141,26 @@ def _sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array([shingles(t.as_py(), powers).tobytes() for t in texts], pa.binary())
 
 
+@arrow_udf(T.BinaryType())
+def _sent(texts: pa.Array, sizes: pa.Array) -> pa.Array:
+    powers = Powers()
+    return pa.array([sent(t.as_py(), n.as_py(), powers) for t, n in zip(texts, sizes)], pa.binary())
+
+
+def sent(text: str, n: int, powers: Powers) -> bytes:
+    """The set of n shingles of a text, or the text packed where that is shorter; before it the bytes of the text, or 0."""
+    data = text.encode()
+    packed = pa.compress(data, codec="zstd", asbytes=True)
+    if len(packed) < 8 * n:
+        return len(data).to_bytes(8, "little") + packed
+    return bytes(8) + shingles(text, powers).tobytes()
+
+
+def received(data: pa.Buffer, powers: Powers) -> np.ndarray:
+    size, rest = int.from_bytes(data[:8].to_pybytes(), "little"), data[8:]
+    return shingles(pa.decompress(rest, size, codec="zstd", asbytes=True).decode(), powers) if size else _of(rest)
+
+
 def _of(mers: bytes) -> np.ndarray:
     return np.frombuffer(mers, np.uint64)
 
@@ -230,10 +262,10 @@ def _runs(*keys: np.ndarray) -> Iterator[np.ndarray]:
 def _trees(block: pa.Table) -> pa.Table:
     """The links of the groups in one block, each a tree."""
     group, ids, roots = (block[c].to_numpy() for c in ("group", "id", "root"))
-    mers, out = block["mers"], []
+    sets, powers, out = block["sent"], Powers(), []
     for rows in _runs(group):
         if len(rows) > 1:
-            out += links(ids[rows], roots[rows], [_of(mers[r].as_buffer()) for r in rows.tolist()])
+            out += links(ids[rows], roots[rows], [received(sets[r].as_buffer(), powers) for r in rows.tolist()])
     return _edges(out)
 
 
@@ -264,39 +296,42 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The counters of a slice as levels of one byte; tasks' counts are added one by one."""
     total, number = np.zeros(1 << SLICE_BITS, np.int64), None
     for batch in batches:
-        for i, places, counts in zip(*(batch.column(c) for c in ("slice", "places", "counts"))):
-            number = i
-            total[np.frombuffer(places.as_buffer(), np.uint16)] += np.frombuffer(counts.as_buffer(), np.uint32)
+        for number, counts in zip(batch.column("slice"), batch.column("counts")):
+            total += _unpacked(counts.as_buffer())
     if number is not None:
         levels = np.minimum(np.floor(8 * np.log2(total + 1)), 255).astype(np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([number.as_py()], pa.int32()), pa.array([levels.tobytes()], pa.binary())], ["slice", "levels"])
 
 
-def _prefixes(levels, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _prefixes(levels, parts: np.ndarray, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The first shingles of each set in the common order, rare ones first."""
+        """The first shingles of each set in the common order, rare ones first, and the part of a key that is dealt (else 0)."""
         table, powers = np.frombuffer(levels.value, np.uint8), Powers()
         for batch in batches:
-            keys, ids, sizes = [], [], []
+            keys, ids, sizes, dealt = [], [], [], []
             for text in batch.column("text"):
                 own = shingles(text.as_py(), powers)
                 if not len(own):
                     continue
-                order = np.argsort(table[(own >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)], kind="stable")
-                keys.append(own[order[:prefix_length(len(own))]])
-                ids.append(np.full(len(keys[-1]), xxhash.xxh64_intdigest(own.tobytes(), seed), np.uint64))
-                sizes.append(np.full(len(keys[-1]), len(own), np.int32))
+                level = table[(own >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+                order = np.argsort(level, kind="stable")[:prefix_length(len(own))]
+                number, among = xxhash.xxh64_intdigest(own.tobytes(), seed), parts[level[order]]
+                keys.append(own[order])
+                ids.append(np.full(len(order), number, np.uint64))
+                sizes.append(np.full(len(order), len(own), np.int32))
+                dealt.append(np.where(among > 1, 1 + np.uint64(number) % among, 0).astype(np.int32))
                 if sum(map(len, keys)) > 1 << 18:
-                    yield _posted(keys, ids, sizes)
-                    keys, ids, sizes = [], [], []
-            yield _posted(keys, ids, sizes)
+                    yield _posted(keys, ids, sizes, dealt)
+                    keys, ids, sizes, dealt = [], [], [], []
+            yield _posted(keys, ids, sizes, dealt)
 
     return prefixes
 
 
-def _posted(keys: list[np.ndarray], ids: list[np.ndarray], sizes: list[np.ndarray]) -> pa.RecordBatch:
-    key, number = (np.concatenate([np.zeros(0, np.uint64), *v]).view(np.int64) for v in (keys, ids))
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(number), pa.array(np.concatenate([np.zeros(0, np.int32), *sizes]))], ["key", "id", "n"])
+def _posted(keys: list[np.ndarray], ids: list[np.ndarray], sizes: list[np.ndarray], dealt: list[np.ndarray]) -> pa.RecordBatch:
+    long = [np.concatenate([np.zeros(0, np.uint64), *v]).view(np.int64) for v in (keys, ids)]
+    short = [np.concatenate([np.zeros(0, np.int32), *v]) for v in (sizes, dealt)]
+    return pa.RecordBatch.from_arrays([pa.array(v) for v in long + short], ["key", "id", "n", "part"])
 
 
 def _pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +357,7 @@ class Nodes:
                                                   (F.min("digest") != F.max("digest")).alias("clash")), "rtree-nodes")
             clash = not nodes.filter("clash").isEmpty()  # two sets of one name: all names are made again
         self.rows = rows.select("doc_id", "mark", "n", "id")
-        self.counts = named.filter("slice is not null").select("slice", "places", "counts")
+        self.counts = named.filter("slice is not null").select("slice", "counts")
         self.nodes = nodes.select("id", "first.doc_id", "first.mark", "n", "least")
 
     def _picked(self, names: DataFrame, how: str) -> DataFrame:
@@ -337,35 +372,61 @@ class Nodes:
         copies = stored(copies.select("doc_id", "mark").distinct(), "rtree-copies")
         return (self._picked(F.broadcast(copies), "left_anti") if copies.count() <= BROADCAST_ROWS else self.docs).select("text")
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """The wanted nodes (id, further columns) with n and their sets."""
+    def _found(self, wanted: DataFrame, *made: Column) -> DataFrame:
         names = stored(wanted.join(bounded(self.nodes.select("id", "doc_id", "mark", "n")), "id"), "rtree-wanted")
         found = self._picked(bounded(names), "inner")
-        return found.select(*[names[c] for c in wanted.columns], names["n"], _sets("text").alias("mers"))
+        return found.select(*[names[c] for c in wanted.columns], names["n"], *made)
+
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """The wanted nodes (id, further columns) with n and their sets."""
+        return self._found(wanted, _sets("text").alias("mers"))
+
+    def packed(self, wanted: DataFrame) -> DataFrame:
+        """The same with what `received` makes their sets from."""
+        return self._found(wanted, _sent("text", "n").alias("sent"))
+
+
+def _band(size: str) -> Column:
+    return F.floor(F.log(F.col(size).cast("double")) / F.log(F.lit(_BAND))).cast("int")
 
 
 def _postings(nodes: Nodes) -> DataFrame:
-    """key, id, n of the keys that several nodes share; written."""
+    """key and id of the keys that several nodes share; written.
+
+    `head` is the first node of the run of sizes in which the node stands, `band` is told by the first row of each band of
+    sizes in a key's part. The keys of parts may be of one node only.
+    """
     texts = nodes.texts()
     spark = texts.sparkSession
     slices = nodes.counts.groupBy("slice").applyInArrow(_summed, "slice int, levels binary").collect()  # 2 ** COUNTER_BITS bytes at most
     levels = np.zeros((1 << COUNTER_BITS - SLICE_BITS, 1 << SLICE_BITS), np.uint8)
     for row in slices:
         levels[row["slice"]] = np.frombuffer(row["levels"], np.uint8)
-    prefixes = _prefixes(spark.sparkContext.broadcast(levels.tobytes()), nodes.seed)
-    posted = stored(texts.mapInArrow(prefixes, "key bigint, id bigint, n int"), "rtree-posted")
-    shared = posted.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first <> last")
-    return stored(posted.join(bounded(stored(shared.select("key"), "rtree-keys")), "key").distinct(), "rtree-postings")
+    hits = np.exp2(np.arange(256) / 8) - 1
+    # Where counters are full of unlike shingles, only what stands out is dealt.
+    most = max(MOST, 4 * np.average(hits, weights=np.bincount(levels.reshape(-1), minlength=256)))
+    parts = np.maximum(np.ceil(hits / most), 1).astype(np.uint64)
+    prefixes = _prefixes(spark.sparkContext.broadcast(levels.tobytes()), parts, nodes.seed)
+    posted = texts.mapInArrow(prefixes, "key bigint, id bigint, n int, part int")
+    by = Window.partitionBy("key", "part").orderBy("n", "id")
+    every = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = posted.select("key", "id", "n", "part", F.lag("id").over(by).alias("last"), F.lag("n").over(by).alias("last_n"),
+                         F.first("id").over(every).alias("least"), F.last("id").over(every).alias("greatest"))
+    seen = seen.filter("(least <> greatest or part > 0) and (last is null or last <> id)")
+    new_band = F.col("last").isNull() | (_band("last_n") < _band("n"))
+    new_run = F.col("last").isNull() | (new_band & (100 * F.col("last_n").cast("bigint") < PERCENT * F.col("n").cast("bigint")))
+    seen = seen.withColumns({"starts": F.when(new_run, F.col("id")), "band": F.when((F.col("part") > 0) & new_band, _band("n"))})
+    head = F.last("starts", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return stored(seen.select("key", "id", head.alias("head"), "band"), "rtree-postings")
 
 
 def _paths(postings: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect the nodes which share a key within a band of sizes: all of them with the smallest; written."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(_BAND))).cast("int")
-    banded = postings.select("key", "id", F.explode(F.array(band, band + 1)).alias("band"))
-    pivots = banded.groupBy("key", "band").agg(F.min("id").alias("a"), F.max("id").alias("last")).filter("a <> last")
-    pivots = bounded(stored(pivots.select("key", "band", "a"), "rtree-pivots"))
-    edges = banded.join(pivots, ["key", "band"]).filter("a <> id").select("a", F.col("id").alias("b"))
-    return stored(edges.distinct(), "rtree-edges")
+    """Edges (a, b) that connect the nodes which share a key within a run of sizes; written."""
+    by = Window.partitionBy("key").orderBy("band", "id")
+    gates = postings.filter("band is not null").select(
+        F.lag("id").over(by).alias("a"), F.col("id").alias("b"), (F.col("band") - F.lag("band").over(by)).alias("step"))
+    edges = postings.select(F.col("head").alias("a"), F.col("id").alias("b")).unionByName(gates.filter("step <= 1").select("a", "b"))
+    return stored(edges.filter("a <> b").distinct(), "rtree-edges")
 
 
 def _rest(postings: DataFrame, nodes: Nodes, roots: DataFrame, dealt: DataFrame) -> DataFrame:
@@ -416,8 +477,8 @@ def _roots(nodes: Nodes) -> DataFrame | None:
         """Links within the trees of the groups; members are id, group, blocks, root."""
         block = F.when(F.col("blocks") > 1, F.xxhash64("group", F.pmod(F.xxhash64("id", F.lit(salt)), "blocks"))).otherwise(
             F.pmod(F.xxhash64("group"), F.lit(bins)))
-        rows = nodes.sets(members.withColumn("block", block).select("id", "group", "root", "block"))
-        found = rows.select("block", "group", "id", "root", "mers").groupBy("block").applyInArrow(_trees, "a bigint, b bigint")
+        rows = nodes.packed(members.withColumn("block", block).select("id", "group", "root", "block"))
+        found = rows.select("block", "group", "id", "root", "sent").groupBy("block").applyInArrow(_trees, "a bigint, b bigint")
         return stored(found, "rtree-links")
 
     found = joined(placed.withColumn("root", F.col("id")), 0)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparklogs.llm import count_rtree
@@ -86,3 +87,61 @@ def test_tree_finds_all():
         found = tree.search(at[x], int(sizes[x]))
         assert set(found.tolist()) == set(np.flatnonzero(fit).tolist())
         assert {y for y in range(300) if count_rtree.linked(count_rtree.overlap(sets[x], sets[y]), sizes[x], sizes[y])} <= set(found.tolist())
+
+
+@pytest.mark.parametrize("block, points", [(2_000_000, 4096), (700, 7)])
+def test_dealt_keys(spark, monkeypatch, block, points):
+    """Keys above MOST rows are dealt to parts, whose nodes meet again; sizes lie at the edges of bands and of what links."""
+    monkeypatch.setattr(count_rtree, "MOST", 2)
+    monkeypatch.setattr(count_rtree, "BLOCK", block)
+    monkeypatch.setattr(count_rtree, "POINTS", points)
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(500)]
+    rows = [" ".join(words[:n]) for n in (84, 104, 105, 129, 130, 131, 204, 254, 255, 318, 319, 397, 398, 399, 499)]
+    rows += [" ".join([*words[:100], *(f"own{i}-{j}" for j in range(i))]) for i in range(40)] + texts(rng) + rows[:3]
+    docs = list(enumerate(rows))
+    rng.shuffle(docs)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    got = sorted((tuple(r) for r in count_rtree.jaccard_components(frame).collect()), key=str)
+    assert got == brute(docs)
+
+
+def test_keys_of_one_node_are_not_stored(spark, monkeypatch):
+    """Nearly all keys are of one text only; they go in the one exchange and are in no table."""
+    tables, stored = {}, count_rtree.stored
+
+    def counted(frame, name):
+        out = stored(frame, name)
+        tables[name] = out
+        return out
+
+    monkeypatch.setattr(count_rtree, "stored", counted)
+    docs = [(i, " ".join(f"t{i}w{j}" for j in range(500 + i))) for i in range(40)] + [(99, "a b c d e"), (100, "A b c d e")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(2)
+    assert {tuple(r) for r in count_rtree.jaccard_components(frame).collect()} == {(i, 496 + i, i) for i in range(40)} | {(99, 1, 99), (100, 1, 99)}
+    named = tables.pop("rtree-rows")
+    assert all(t.count() <= len(docs) for t in tables.values())
+    # Counters of a task: a byte and a half per hit at most, where places and counts took six.
+    sent = named.filter("slice is not null").agg({"slice": "count"}).first()[0], sum(len(r[0]) for r in named.filter("slice is not null").select("counts").collect())
+    assert 256 <= sent[0] <= 512 and sent[1] < 512 * 400
+
+
+def test_counters_return():
+    rng = np.random.default_rng(6)
+    own = rng.poisson(0.2, 1 << count_rtree.SLICE_BITS).astype(np.uint32)
+    own[[3, 77, 65535]] = 255, 256, 4_000_000_000
+    packed = count_rtree._packed(own)
+    assert len(packed) < 1.5 * np.count_nonzero(own)
+    assert (count_rtree._unpacked(pa.py_buffer(packed)) == own).all()
+
+
+def test_sets_are_sent_short():
+    """As packed texts, or as sets where a text is long and has few shingles."""
+    powers, rng = count_rtree.Powers(), random.Random(7)
+    prose = " ".join(rng.choice(["the", "River", "house", "Ünder", "walked", "old", "and", "stone"]) for _ in range(3000))
+    for text in ("a", "a b c d e f", "x " * 100_000, " ".join(f"{rng.getrandbits(4000):x}" for _ in range(20)), prose):
+        own = count_rtree.shingles(text, powers)
+        sent = count_rtree.sent(text, len(own), powers)
+        assert (count_rtree.received(pa.py_buffer(sent), powers) == own).all()
+        assert len(sent) <= 8 + 8 * len(own)
+    assert len(sent) < 3 * len(own)
